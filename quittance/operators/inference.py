@@ -6,9 +6,11 @@ from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from quittance import fixed_values as fv
+from quittance.functions.labels import regex_amount, regex_date, regex_filename, regex_product, regex_vat_rate
+from quittance.operators.requests import AMOUNT_INSTRUCTION, DATE_INSTRUCTION, build_prompt, fill_template
 
 Ask = Callable[[str], str]
 
@@ -66,3 +68,44 @@ def join_responses(requests: DataFrame, responses: DataFrame, key: str = "reques
         .withColumn("response_state", F.when(F.col("_found"), "ok").otherwise("no_response"))
         .drop("_found")
     )
+
+
+def two_pass_extract(
+    documents: DataFrame, connect: Callable[[], Ask], first_prompt: Column, second_template: str, **options
+) -> DataFrame:
+    """The first answer goes into the second prompt; fields come from the second answer.
+
+    A failed first call sends ``[]`` on. A failed second call leaves the fields
+    NULL and its message in ``second_error``.
+    """
+    first = apply_inference(
+        documents.withColumn("_prompt", first_prompt), connect, "_prompt", "first_answer", "first_error", **options
+    )
+    passed_on = fill_template(second_template, F.coalesce("first_answer", F.lit("[]")))
+    second = apply_inference(
+        first.withColumn("_prompt", passed_on), connect, "_prompt", "second_answer", "second_error", **options
+    )
+    answer = F.col("second_answer")
+    return second.drop("_prompt").select(
+        "*",
+        regex_amount(answer).alias("amount"), regex_vat_rate(answer).alias("vat_rate"),
+        regex_product(answer).alias("product"), regex_filename(answer).alias("suggested_name"),
+        regex_date(answer).alias("date"),
+    )
+
+
+def multi_prompt_fields(
+    documents: DataFrame, connect: Callable[[], Ask], text: str = "text",
+    date_instruction: str = DATE_INSTRUCTION, amount_instruction: str = AMOUNT_INSTRUCTION, **options,
+) -> DataFrame:
+    """One call per field on the same text, as two columns: no explode, no pivot.
+
+    A failed call gives an empty answer.
+    """
+    rows = documents
+    for name, instruction in (("date", date_instruction), ("amount", amount_instruction)):
+        asked = rows.withColumn("_prompt", build_prompt(F.col(text), instruction))
+        rows = apply_inference(asked, connect, "_prompt", f"{name}_answer", f"{name}_error", **options).drop("_prompt")
+    return rows.withColumns(
+        {f"{name}_answer": F.coalesce(f"{name}_answer", F.lit("")) for name in ("date", "amount")}
+    )

@@ -5,14 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quittance import fixed_values as fv
 from quittance.functions.scalars import basename
 
-MANIFEST_SCHEMA = "path string, file_name string, length bigint, modified timestamp"
-_CONTENT_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
-
 
 def _glob(suffixes: Sequence[str], case_sensitive: bool) -> str:
     def either_case(char: str) -> str:
@@ -24,12 +21,25 @@ def _glob(suffixes: Sequence[str], case_sensitive: bool) -> str:
     return "*." + (names[0] if len(names) == 1 else "{" + ",".join(names) + "}")
 
 
-def _files(spark: SparkSession, root: str, pattern: str | None, recursive: bool) -> DataFrame:
-    # A fixed schema: folder names of the form key=value must not become columns.
-    reader = spark.read.format("binaryFile").schema(_CONTENT_SCHEMA)
+def _depth(path: Column) -> Column:
+    local = F.regexp_replace(path, r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "")
+    return F.length(local) - F.length(F.replace(local, F.lit("/"), F.lit("")))
+
+
+def _files(spark: SparkSession, root: str, pattern: str | None, recursive: bool, **options: str) -> DataFrame:
+    """Files of an absolute path, which may hold wildcards.
+
+    Spark lists subfolders in any case. Reading with recursive lookup keeps
+    folder names of the form key=value from becoming columns; where subfolders
+    are not wanted, their files are dropped by depth.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").options(**options)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.option("recursiveFileLookup", str(recursive).lower()).load(root)
+    files = reader.load(root)
+    if recursive:
+        return files
+    return files.filter(_depth(F.col("path")) == _depth(F.lit(root.rstrip("/"))) + 1)
 
 
 def _manifest(files: DataFrame) -> DataFrame:
@@ -60,15 +70,8 @@ def scan_images(spark: SparkSession, root: str, recursive: bool = False) -> Data
 
 def read_bytes(spark: SparkSession, root: str, pattern: str | None = None, recursive: bool = False) -> DataFrame:
     """Path and content. Files that vanish or cannot be read are left out."""
-    reader = (
-        spark.read.format("binaryFile").schema(_CONTENT_SCHEMA)
-        .option("ignoreMissingFiles", "true")
-        .option("ignoreCorruptFiles", "true")
-        .option("recursiveFileLookup", str(recursive).lower())
-    )
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(root).select("path", "length", "content")
+    files = _files(spark, root, pattern, recursive, ignoreMissingFiles="true", ignoreCorruptFiles="true")
+    return files.select("path", "length", "content")
 
 
 def bytes_of_manifest(manifest: DataFrame, contents: DataFrame) -> DataFrame:

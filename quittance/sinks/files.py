@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-CSV_OPTIONS = {"header": "true", "escape": '"', "emptyValue": "", "encoding": "UTF-8"}
+# Quotes, line breaks and outer white space of values have to survive.
+CSV_OPTIONS = {
+    "header": "true", "escape": '"', "emptyValue": "", "encoding": "UTF-8",
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def _by_category(rows: DataFrame, category: str) -> DataFrame:

@@ -7,30 +7,37 @@ strings apart.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from quittance.functions.scalars import float_text, null_if, parse_german_date, parse_german_float, strip
+from quittance.functions.scalars import parse_german_date, parse_german_float
+from quittance.session import use_last_duplicate_key
 
 # Closing mark put behind a candidate. Text that contains it is refused, so no
 # candidate can fake it.
 _END = "#quittance-end-of-candidate#"
 
 
-def strict_json(text: Column) -> Column:
-    """The whole text as one JSON value (VARIANT), NULL if it is not exactly that.
+def with_strict_json(rows: DataFrame, text: Column, name: str) -> DataFrame:
+    """Add ``name``: the whole text as one JSON value (VARIANT), or NULL.
 
     Spark's parser stops after the first value and ignores what follows. The
     text is therefore parsed as the first element of an array whose second
     element is a known mark; any trailing text breaks or displaces the mark.
+
+    Takes and gives a DataFrame because the parse needs a projection of its own:
+    inside one CASE, Spark would parse for the condition and again for the value.
     """
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')))
-    marked = F.try_variant_get(wrapped, "$[1]", "string") == _END
-    return F.when(marked & ~F.contains(text, F.lit(_END)), F.try_variant_get(wrapped, "$[0]", "variant"))
+    use_last_duplicate_key(rows.sparkSession)
+    safe = F.when(~F.contains(text, F.lit(_END)), text)
+    wrapped = F.try_parse_json(F.concat(F.lit("["), safe, F.lit(f',"{_END}"]')))
+    marked = F.try_variant_get("_wrapped", "$[1]", "string") == _END
+    value = F.when(marked, F.try_variant_get("_wrapped", "$[0]", "variant"))
+    return rows.withColumn("_wrapped", wrapped).withColumn(name, value).drop("_wrapped")
 
 
 def widest_object(text: Column) -> Column:
-    """From the first ``{`` to the last ``}`` after it; NULL without such a pair."""
-    return null_if(F.regexp_extract(text, r"(?s)\{.*\}", 0), "")
+    """From the first ``{`` to the last ``}`` after it; empty without such a pair."""
+    return F.regexp_extract(text, r"(?s)\{.*\}", 0)
 
 
 def without_fence(text: Column, ignore_case: bool = False) -> Column:
@@ -41,8 +48,8 @@ def without_fence(text: Column, ignore_case: bool = False) -> Column:
 
 
 def fenced_object(text: Column) -> Column:
-    """The first object that fills a whole fenced block; NULL if there is none."""
-    return null_if(F.regexp_extract(text, r"(?sU)```(?:json)?\s*(\{.*?\})\s*```", 1), "")
+    """The first object that fills a whole fenced block; empty if there is none."""
+    return F.regexp_extract(text, r"(?sU)```(?:json)?\s*(\{.*?\})\s*```", 1)
 
 
 def is_object_text(text: Column) -> Column:
@@ -58,37 +65,50 @@ def field(value: Column, key: str) -> Column:
     return F.try_variant_get(value, f'$["{key}"]', "variant")
 
 
+def field_text(value: Column, key: str) -> Column:
+    """One key as text: numbers in plain form, nested values as JSON."""
+    return F.try_variant_get(value, f'$["{key}"]', "string")
+
+
+def field_kind(value: Column, key: str) -> Column:
+    """The type name of one key: STRING, BIGINT, VOID for JSON null, ... or NULL if absent."""
+    return F.schema_of_variant(field(value, key))
+
+
 def is_string(value: Column) -> Column:
     return F.schema_of_variant(value) == "STRING"
 
 
-def text_of(value: Column) -> Column:
-    """A field as text: numbers as Python prints them, nested values as JSON."""
-    kind = F.schema_of_variant(value)
-    as_text = F.try_variant_get(value, "$", "string")
+# The functions below take the kind and the text of a field as columns of their
+# own. Deriving both in each expression would make the generated code of a row
+# with eight fields too long for the JVM to compile.
+
+
+def shown_text(kind: Column, text: Column) -> Column:
+    """A field as text, JSON numbers as Python prints them."""
+    decimal = F.when(F.contains(text, F.lit(".")), text).otherwise(F.concat(text, F.lit(".0")))
     return (
-        F.when(kind == "STRING", as_text)
-        .when(
-            F.startswith(kind, F.lit("DECIMAL")) | (kind == "DOUBLE"),
-            float_text(F.try_variant_get(value, "$", "double")),
-        )
-        .when(kind == "BOOLEAN", F.initcap(as_text))
-        .otherwise(as_text)
+        F.when(kind == "STRING", text)
+        .when(F.startswith(kind, F.lit("DECIMAL")), decimal)
+        .when(kind == "BOOLEAN", F.initcap(text))
+        .otherwise(text)
     )
 
 
-def text_or(value: Column, missing: str) -> Column:
+def text_or(kind: Column, text: Column, missing: str) -> Column:
     """``missing`` only for an absent key; JSON null stays NULL."""
-    return F.when(value.isNull(), F.lit(missing)).otherwise(text_of(value))
+    return F.when(kind.isNull(), F.lit(missing)).otherwise(shown_text(kind, text))
 
 
-def amount_of(value: Column) -> Column:
+def amount_of(kind: Column, text: Column) -> Column:
     """JSON numbers pass unchanged, strings are read as German numbers."""
-    return F.when(
-        is_string(value), parse_german_float(F.try_variant_get(value, "$", "string"))
-    ).otherwise(F.try_variant_get(value, "$", "double"))
+    return (
+        F.when(kind == "STRING", parse_german_float(text))
+        .when(kind == "BOOLEAN", (text == "true").cast("double"))
+        .otherwise(text.try_cast("double"))
+    )
 
 
-def date_of(value: Column) -> Column:
+def date_of(kind: Column, text: Column) -> Column:
     """Only strings can be dates."""
-    return F.when(is_string(value), parse_german_date(F.try_variant_get(value, "$", "string")))
+    return F.when(kind == "STRING", parse_german_date(text))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from quittance import fixed_values as fv
-from quittance.functions.scalars import limit_description, null_if, strip
+from quittance.functions.scalars import limit_description, strip
 
 
 def parse_label_lines(text: Column) -> dict[str, Column]:
@@ -19,7 +19,7 @@ def parse_label_lines(text: Column) -> dict[str, Column]:
     for label, name in fv.LINE_LABELS:
         ahead = "".join(rf"(?![^\n]*{word})" for word in earlier)
         line = F.regexp_extract(text, rf"(?s)^(?:.*\n)?{ahead}([^\n]*{label}[^\n]*)", 1)
-        columns[name] = strip(F.substring_index(null_if(line, ""), ":", -1))
+        columns[name] = strip(F.substring_index(F.nullif(line, F.lit("")), ":", -1))
         earlier.append(label)
     return columns
 
@@ -44,7 +44,8 @@ def parse_label_positions(text: Column) -> dict[str, Column]:
 
 
 def _first_match(text: Column, pattern: str) -> Column:
-    return F.when(text.rlike(pattern), strip(F.regexp_extract(text, pattern, 1)))
+    """For patterns that cannot match the empty text."""
+    return strip(F.nullif(F.regexp_extract(text, pattern, 1), F.lit("")))
 
 
 def regex_amount(text: Column) -> Column:
@@ -56,7 +57,8 @@ def regex_vat_rate(text: Column) -> Column:
 
 
 def regex_product(text: Column) -> Column:
-    return limit_description(_first_match(text, fv.PRODUCT_PATTERN))
+    found = strip(F.regexp_extract(text, fv.PRODUCT_PATTERN, 1))
+    return limit_description(F.when(text.rlike(fv.PRODUCT_PATTERN), found))
 
 
 def regex_filename(text: Column) -> Column:

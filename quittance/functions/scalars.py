@@ -8,12 +8,12 @@ from quittance import fixed_values as fv
 
 # A number as Python's float() reads it: single underscores between digits are
 # allowed, letter suffixes and hexadecimal forms (which a Spark cast takes) not.
+# The sign of "nan" stays outside the match, because a Spark cast refuses it.
 _DIGITS = r"\d+(?:_\d+)*"
 _NUMBER = (
     rf"(?i)^[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:e[+-]?{_DIGITS})?$"
-    r"|^[+-]?(?:inf|infinity)$"
+    r"|^[+-]?(?:inf|infinity)$|(?<=^[+-]?)nan$"
 )
-_NOT_A_NUMBER = r"(?i)^[+-]?nan$"
 _GERMAN_DATE = r"^\d{1,2}\.\d{1,2}\.(?!0000)\d{4}$"
 
 
@@ -22,19 +22,14 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(fv.WHITESPACE))
 
 
-def null_if(text: Column, value: str) -> Column:
-    return F.when(text != F.lit(value), text)
-
-
 def parse_german_float(text: Column) -> Column:
     """``1.234,56`` -> 1234.56; NULL where the text is not a number.
 
     Every dot counts as a thousands separator, so ``19.00`` is 1900.
     """
-    plain = strip(F.replace(F.replace(text, F.lit("."), F.lit("")), F.lit(","), F.lit(".")))
-    return F.when(
-        plain.rlike(_NUMBER), F.replace(plain, F.lit("_"), F.lit("")).try_cast("double")
-    ).when(plain.rlike(_NOT_A_NUMBER), F.lit(float("nan")))
+    plain = strip(F.translate(text, ",.", "."))  # the comma becomes a dot, dots go
+    number = F.regexp_extract(plain, _NUMBER, 0)  # empty if it is no number, and so NULL
+    return F.replace(number, F.lit("_"), F.lit("")).try_cast("double")
 
 
 def parse_german_date(text: Column) -> Column:

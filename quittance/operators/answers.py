@@ -6,6 +6,7 @@ absent key, how failed documents are filled, and whether fields are typed.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field as data_field
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -13,7 +14,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from quittance import fixed_values as fv
 from quittance.functions import json_text as jt
 from quittance.functions.scalars import strip
-from quittance.session import use_last_duplicate_key
 
 FAILURES = [
     "no_json", "not_object", "empty_text", "render_error", "page_missing",
@@ -54,24 +54,25 @@ def parse_answers(answers: DataFrame, dialect: Dialect, response: str = "respons
     One parse per row; ``direct_first`` needs a second one only for answers
     that are not JSON as a whole.
     """
-    use_last_duplicate_key(answers.sparkSession)
     text = F.col("_text")
-    stripped = answers.withColumn("_text", strip(F.col(response)))
+    found = answers.withColumn("_text", strip(F.col(response)))
     if dialect.finder == "direct_first":
+        whole = F.col("_whole")
         inner = jt.widest_object(jt.without_fence(text, ignore_case=True))
-        found = (
-            stripped.withColumn("_whole", jt.strict_json(text))
-            .withColumn("_source", F.when(F.col("_whole").isNotNull(), text).otherwise(inner))
-            .withColumn("answer", F.coalesce("_whole", jt.strict_json(F.col("_source"))))
+        found = jt.with_strict_json(found, text, "_whole").withColumn(
+            "_source", F.when(whole.isNotNull(), text).otherwise(inner)
         )
+        found = jt.with_strict_json(found, F.when(whole.isNull(), F.col("_source")), "_inner")
+        found = found.withColumn("answer", F.coalesce("_whole", "_inner"))
     else:
         if dialect.finder == "strip_fence":
-            candidate = jt.widest_object(jt.without_fence(text))
+            found = found.withColumn("_source", jt.widest_object(jt.without_fence(text)))
         else:
-            candidate = F.coalesce(jt.fenced_object(text), jt.widest_object(text))
-        found = stripped.withColumn("_source", candidate).withColumn(
-            "answer", jt.strict_json(F.col("_source"))
-        )
+            fenced = F.col("_fenced")
+            found = found.withColumn("_fenced", jt.fenced_object(text)).withColumn(
+                "_source", F.when(fenced == "", jt.widest_object(text)).otherwise(fenced)
+            )
+        found = jt.with_strict_json(found, F.col("_source"), "answer")
     source = F.col("_source")
     kind = (
         F.when(F.col("answer").isNull(), "none")
@@ -82,20 +83,24 @@ def parse_answers(answers: DataFrame, dialect: Dialect, response: str = "respons
     return found.select(*answers.columns, "answer", kind.alias("answer_kind"))
 
 
-def _fields(parsed: DataFrame) -> DataFrame:
-    """Add one VARIANT column per field, named ``_f_<column>``."""
+def field_parts(parsed: DataFrame, keys: Sequence[tuple[str, str]] = tuple(fv.FIELDS)) -> DataFrame:
+    """Replace ``answer`` by the kind and the text of each key, as ``_k_<name>``
+    and ``_t_<name>``."""
+    value = F.col("answer")
     return parsed.select(
-        "*", *[jt.field(F.col("answer"), key).alias(f"_f_{name}") for key, name in fv.FIELDS]
+        *[c for c in parsed.columns if c != "answer"],
+        *[jt.field_kind(value, key).alias(f"_k_{name}") for key, name in keys],
+        *[jt.field_text(value, key).alias(f"_t_{name}") for key, name in keys],
     )
 
 
 def field_value(name: str, typed: bool, absent: str) -> Column:
-    value = F.col(f"_f_{name}")
+    kind, text = F.col(f"_k_{name}"), F.col(f"_t_{name}")
     if typed and name == fv.DATE_FIELD:
-        return jt.date_of(value)
+        return jt.date_of(kind, text)
     if typed and name in fv.AMOUNT_FIELDS:
-        return jt.amount_of(value)
-    return jt.text_or(value, absent)
+        return jt.amount_of(kind, text)
+    return jt.text_or(kind, text, absent)
 
 
 def project_fields(parsed: DataFrame, dialect: Dialect) -> DataFrame:
@@ -106,14 +111,8 @@ def project_fields(parsed: DataFrame, dialect: Dialect) -> DataFrame:
     """
     kept = [c for c in parsed.columns if c != "answer"]
     values = [field_value(name, dialect.typed, dialect.absent).alias(name) for _, name in fv.FIELDS]
-    return _fields(parsed).select(*kept, *values, _any_missing().alias("fields_missing"))
-
-
-def _any_missing() -> Column:
-    missing = F.lit(False)
-    for _, name in fv.FIELDS:
-        missing = missing | F.col(f"_f_{name}").isNull()
-    return missing
+    missing = F.array_contains(F.array(*[F.col(f"_k_{name}").isNull() for _, name in fv.FIELDS]), True)
+    return field_parts(parsed).select(*kept, *values, missing.alias("fields_missing"))
 
 
 def validate_schema(parsed: DataFrame) -> DataFrame:
@@ -137,7 +136,7 @@ def validate_schema(parsed: DataFrame) -> DataFrame:
 
 
 def _whole_number(value: Column, key: str) -> Column:
-    number = F.try_variant_get(value, f"$.{key}", "double")
+    number = F.when(~jt.is_string(jt.field(value, key)), F.try_variant_get(value, f"$.{key}", "double"))
     return F.when(number == F.floor(number), number.try_cast("int"))
 
 

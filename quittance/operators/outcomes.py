@@ -13,7 +13,6 @@ from quittance import fixed_values as fv
 from quittance.functions.scalars import strip
 from quittance.operators.answers import Dialect, parse_answers, project_fields
 from quittance.operators.responses import parse_envelope, request_message, status_failed, status_message
-from quittance.session import use_last_duplicate_key
 
 INPUT_COLUMNS = ["input_state", "input_error", "ocr_text", "status", "body"]
 
@@ -25,7 +24,6 @@ def outcome_rows(documents: DataFrame, dialect: Dialect, page_no: int = 0) -> Da
     render_error, page_missing, http_error, bad_envelope, no_response.
     No shuffle; the body and the answer are parsed once each.
     """
-    use_last_duplicate_key(documents.sparkSession)
     kept = [c for c in documents.columns if c not in INPUT_COLUMNS]
     opened = parse_envelope(documents).withColumn("_early", _before_answer(dialect))
     asked = opened.withColumn("response", F.when(F.col("_early").isNull(), F.col("content")))

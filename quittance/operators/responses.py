@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quittance import fixed_values as fv
-from quittance.functions.json_text import strict_json
+from quittance.functions.json_text import with_strict_json
 from quittance.functions.scalars import strip
 
 
@@ -41,7 +41,7 @@ def parse_envelope(responses: DataFrame, body: str = "body") -> DataFrame:
     States: ``ok``; ``no_content`` for JSON of another shape; ``invalid`` for a
     body that is not JSON, or a content that is not a string.
     """
-    parsed = responses.withColumn("_envelope", strict_json(F.col(body))).withColumn(
+    parsed = with_strict_json(responses, F.col(body), "_envelope").withColumn(
         "_content", F.try_variant_get("_envelope", "$.choices[0].message.content", "variant")
     )
     kind = F.schema_of_variant("_content")

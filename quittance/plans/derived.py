@@ -69,39 +69,38 @@ def dotted(name: str) -> Column:
     )
 
 
-def answer_text(case: Column) -> Column:
-    """The model answer of an invoice in one of sixteen shapes."""
-
-    def unless(hidden: int, value: Column) -> Column:
-        return F.when(case != hidden, value)
+def _answer_values() -> list[Column]:
+    case = F.col("case_no")
 
     def or_not_found(value: Column) -> Column:
         return F.when(case == 9, F.lit(fv.NOT_FOUND)).otherwise(value)
 
-    values = [
+    net = F.when(case != 5, or_not_found(german("net_c")))
+    return [
         F.col("number"), or_not_found(F.col("day_text")), F.col("product"), F.col("rate_pct").cast("string"),
-        german("vat_c"), german("gross_c"), unless(5, or_not_found(german("net_c"))), or_not_found(F.col("issuer")),
+        german("vat_c"), F.col("gross_text"), net, or_not_found(F.col("issuer")),
     ]
-    plain = F.to_json(F.struct(*[v.alias(key) for v, (key, _) in zip(values, fv.FIELDS)]))
+
+
+def _answer_shapes() -> Column:
+    """The model answer around the plain object, in one of sixteen shapes."""
+    case, plain = F.col("case_no"), F.col("plain_object")
 
     def swapped(text: Column, key: str, old: Column, new: Column) -> Column:
         return F.replace(text, F.concat(F.lit(f'"{key}":"'), old, F.lit('"')), F.concat(F.lit(f'"{key}":'), new))
 
-    numeric = swapped(plain, "Gesamtbetrag", german("gross_c"), dotted("gross_c"))
-    nulls = swapped(
-        swapped(plain, "Datum", F.col("day_text"), F.lit("null")), "Gesamtbetrag", german("gross_c"), F.lit("null")
-    )
-    repeated = F.concat(F.lit('{"Lieferant":"alt",'), F.substr(plain, F.lit(2)))
-
     def around(before: str, text: Column, after: str) -> Column:
         return F.concat(F.lit(before), text, F.lit(after))
 
+    gross, null = F.col("gross_text"), F.lit("null")
+    nulls = swapped(swapped(plain, "Datum", F.col("day_text"), null), "Gesamtbetrag", gross, null)
+    repeated = F.concat(F.lit('{"Lieferant":"alt",'), F.substr(plain, F.lit(2)))
     two_fences = F.concat(around("```json\n", plain, "\n```\n"), around("```json\n", plain, "\n```"))
     return (
         F.when(case == 0, around("```json\n", plain, "\n```"))
         .when(case == 1, around("  ```\n", plain, "```\n"))
         .when(case == 3, around("Gerne! Hier ist das Ergebnis:\n", repeated, "\nViele Grüße"))
-        .when(case == 4, numeric)
+        .when(case == 4, swapped(plain, "Gesamtbetrag", gross, dotted("gross_c")))
         .when(case == 6, F.concat(F.lit("Leider nichts gefunden zu "), F.col("number")))
         .when(case == 7, F.concat(F.substring(plain, 1, 40), F.lit("}")))
         .when(case == 8, nulls)
@@ -117,9 +116,12 @@ def answer_text(case: Column) -> Column:
 
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Invoices with ``case_no`` and ``response``; cases above 15 answer plainly."""
-    case = F.col("case_no")
-    return invoice(spark, sf_dir).withColumn("case_no", F.col("doc_id") % CASES).withColumn(
-        "response", answer_text(case)
+    named = [value.alias(key) for value, (key, _) in zip(_answer_values(), fv.FIELDS)]
+    return (
+        invoice(spark, sf_dir)
+        .select("*", (F.col("doc_id") % CASES).alias("case_no"), german("gross_c").alias("gross_text"))
+        .withColumn("plain_object", F.to_json(F.struct(*named)))
+        .withColumn("response", _answer_shapes())
     )
 
 

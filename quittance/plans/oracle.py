@@ -61,8 +61,9 @@ word AS (
   SELECT doc_id, unnest(string_split(text, ' ')) AS text, unnest(range(len(string_split(text, ' ')))) AS pos
   FROM documents),
 ocr AS (
-  SELECT doc_id, text, (pos * 37 + doc_id * 11) % 101 AS conf, (pos % 10) * 80 AS "left", (pos // 10) * 20 AS top,
-         length(text) * 8 AS width, 16 AS height
+  SELECT doc_id, text, CAST((pos * 37 + doc_id * 11) % 101 AS INTEGER) AS conf,
+         CAST((pos % 10) * 80 AS INTEGER) AS "left", CAST((pos // 10) * 20 AS INTEGER) AS top,
+         CAST(length(text) * 8 AS INTEGER) AS width, 16 AS height
   FROM word)
 """
 
@@ -372,7 +373,7 @@ def _widths() -> str:
         width = f"greatest({len(header)}, max(length(coalesce({expr}, 'None')))) + {fv.WIDTH_PADDING}"
         if header == fv.RAW_HEADER:
             width = f"least({width}, {fv.WIDTH_CAP})"
-        parts.append(f"SELECT category, {quoted(header)} AS header, {width} AS width FROM rows GROUP BY category")
+        parts.append(f"SELECT category, {quoted(header)} AS header, CAST({width} AS INTEGER) AS width FROM rows GROUP BY category")
     return f"WITH {_INVOICE}, {_rows('typed')} " + " UNION ALL ".join(parts)
 
 
@@ -439,7 +440,7 @@ UNION ALL SELECT 'input_missing', NULL""",
   CASE WHEN len(string_split(text, chr(10))) > 2 THEN 'ok' ELSE 'page_missing' END AS page_state FROM documents""",
         "first_page": "SELECT doc_id, string_split(text, chr(10))[1] AS text FROM documents",
         "concat_pages": "SELECT doc_id, replace(text, chr(10), '') AS text FROM documents",
-        "explode_pages": f"WITH {_PAGE} SELECT doc_id, page_no, text FROM page",
+        "explode_pages": f"WITH {_PAGE} SELECT doc_id, CAST(page_no AS INTEGER) AS page_no, text FROM page",
         "explode_ocr_words": f"WITH {_WORD} SELECT * FROM ocr",
         "filter_confident_words": f"WITH {_WORD} SELECT doc_id, text, conf FROM ocr WHERE conf > 60",
         "word_boxes": f"""WITH {_WORD}
@@ -523,8 +524,8 @@ SELECT doc_id, CASE WHEN {_OBJECT['typed']} THEN 'object' WHEN c = 14 THEN 'empt
   {_columns(projected)}, NOT {_OBJECT['typed']} OR c = 5 AS fields_missing FROM invoice""",
         "validate_schema": _invoices(
             """CASE WHEN doc_id % 5 <> 2 THEN day END AS date,
-            CASE WHEN doc_id % 5 <> 1 THEN gross_c // 100 END AS amount,
-            CASE WHEN doc_id % 5 <> 3 THEN rate_pct END AS vat, product AS description,
+            CASE WHEN doc_id % 5 <> 1 THEN CAST(gross_c // 100 AS INTEGER) END AS amount,
+            CASE WHEN doc_id % 5 <> 3 THEN CAST(rate_pct AS INTEGER) END AS vat, product AS description,
             number || '.pdf' AS filename, doc_id % 5 NOT IN (1, 2, 3) AS valid"""
         ),
         # labelled text

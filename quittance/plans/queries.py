@@ -13,7 +13,7 @@ from quittance.operators import (
     requests as rq, responses,
 )
 from quittance.plans import derived as d, sample_model
-from quittance.session import new_folder, use_last_duplicate_key
+from quittance.session import new_folder
 from quittance.sinks import files as sinks
 from quittance.sources import files as sources
 
@@ -258,11 +258,13 @@ def apply_inference(spark, sf):
     texts = d.receipt_texts(spark, sf).select("doc_id", "text")
     asked = rq.skip_empty_text(texts.withColumn("prompt", rq.build_prompt(F.col("text"))))
     answered = inference.apply_inference(asked.select("doc_id", "prompt"), sample_model.json_reader)
-    fields = an.parse_answers(answered, an.MARKED)
-    value = F.col("answer")
-    return fields.select(
-        "doc_id", "error", jt.text_of(jt.field(value, "Rechnungsnummer")).alias("number"),
-        jt.date_of(jt.field(value, "Datum")).alias("day"), jt.amount_of(jt.field(value, "Gesamtbetrag")).alias("gross"),
+    parsed = an.parse_answers(answered, an.MARKED)
+    keys = [("Rechnungsnummer", "number"), ("Datum", "day"), ("Gesamtbetrag", "gross")]
+    part = F.col
+    return an.field_parts(parsed, keys).select(
+        "doc_id", "error", part("_t_number").alias("number"),
+        jt.date_of(part("_k_day"), part("_t_day")).alias("day"),
+        jt.amount_of(part("_k_gross"), part("_t_gross")).alias("gross"),
     )
 
 
@@ -299,14 +301,12 @@ def check_status(spark, sf):
 
 @query
 def parse_envelope(spark, sf):
-    use_last_duplicate_key(spark)
     given = d.http_responses(spark, sf).filter("body is not null").select("doc_id", "body")
     return responses.parse_envelope(given).select("doc_id", "envelope_state", "content")
 
 
 @query
 def envelope_fallback(spark, sf):
-    use_last_duplicate_key(spark)
     given = d.http_responses(spark, sf).filter("body is not null").select("doc_id", "body")
     content = F.col("content")
     return responses.parse_envelope(given).select(
@@ -320,10 +320,9 @@ def envelope_fallback(spark, sf):
 
 def _extracted(spark: SparkSession, sf: str, dialect: an.Dialect) -> DataFrame:
     parsed = an.parse_answers(d.answers(spark, sf).select("doc_id", "response"), dialect)
-    value = F.col("answer")
-    return parsed.select(
+    return an.field_parts(parsed).select(
         "doc_id", "answer_kind",
-        *[jt.text_of(jt.field(value, key)).alias(name) for key, name in fv.FIELDS],
+        *[jt.shown_text(F.col(f"_k_{name}"), F.col(f"_t_{name}")).alias(name) for _, name in fv.FIELDS],
     )
 
 
@@ -345,8 +344,7 @@ def extract_json_fenced_block(spark, sf):
 @query
 def strict_json(spark, sf):
     """Which answers are one JSON value as they stand."""
-    use_last_duplicate_key(spark)
-    parsed = d.answers(spark, sf).withColumn("value", jt.strict_json(sc.strip(F.col("response"))))
+    parsed = jt.with_strict_json(d.answers(spark, sf), sc.strip(F.col("response")), "value")
     return parsed.select(
         "doc_id", F.col("value").isNotNull().alias("is_json"),
         F.try_variant_get("value", "$.Rechnungsnummer", "string").alias("number"),
@@ -362,7 +360,6 @@ def project_fields(spark, sf):
 @query
 def validate_schema(spark, sf):
     """Schema-bound answers, of which some do not fit."""
-    use_last_duplicate_key(spark)
     key = F.col("doc_id")
     amount = F.when(key % 5 != 1, F.expr("gross_c div 100"))
     record = F.to_json(
@@ -374,7 +371,7 @@ def validate_schema(spark, sf):
             F.concat(F.col("number"), F.lit(".pdf")).alias("filename"),
         )
     )
-    given = d.invoice(spark, sf).select("doc_id", jt.strict_json(record).alias("answer"))
+    given = jt.with_strict_json(d.invoice(spark, sf), record, "answer").select("doc_id", "answer")
     return an.validate_schema(given)
 
 

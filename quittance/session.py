@@ -11,6 +11,9 @@ from pyspark.sql import SparkSession
 RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Texts are long to parse for their size: keep all cores busy on small inputs.
+    # Large inputs still get parts of the advisory size.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }

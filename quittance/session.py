@@ -15,6 +15,11 @@ RECOMMENDED = {
     # Large inputs still get parts of the advisory size.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The JVM does not compile methods of more than 8000 bytes; a generated stage
+    # that gets longer runs faster as separate, compiled operators.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Recording the Python call site of every column costs more than building it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -1,0 +1,111 @@
+"""Answers in untidy text: what each dialect finds, and strictness."""
+
+from __future__ import annotations
+
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from quittance.functions import json_text as jt
+from quittance.operators.answers import MARKED, PLAIN, TYPED, parse_answers, project_fields
+
+STRICT = [
+    '{"a":1}', "{}", "[]", "null", "42", '"x"', '{"a":1,"a":2}', '{"a":{"b":1,"b":2}}', ' {"a":1} ',
+    '{"a":1} y {"b":2}', '{"a":1},{"b":2}', '{"a":1}],[{"b":2}', '{"a":1},"x"],[{}', '{"a":1,}', "{'a':1}", "{a:1}",
+    '{"a":"x\ny"}', '{"a":01}', '{"a":1', "", "nix", '{"a":"\\u00e4"}', '{"a":[1,2,{"c":null}]}', '{"a":1}}', '{"a":tru}',
+    '{"a":1},"#quittance-end-of-candidate#"],[{}',
+]
+
+
+def accepted(text):
+    try:
+        json.loads(text)
+        return True
+    except ValueError:
+        return False
+
+
+def strict(spark, texts):
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, x string")
+    rows = jt.with_strict_json(frame, F.col("x"), "v").select("i", F.col("v").isNotNull().alias("ok"))
+    return [row.ok for row in sorted(rows.collect(), key=lambda row: row.i)]
+
+
+def test_strict_json_accepts_what_json_loads_accepts(spark):
+    assert list(zip(STRICT, strict(spark, STRICT))) == [(t, accepted(t)) for t in STRICT]
+
+
+def test_strict_json_on_random_text(spark):
+    rng = random.Random(3)
+    parts = ['{"a":1}', "{", "}", "[", "]", ",", ":", '"a"', "1", " ", "null", "\\"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 6))) for _ in range(3000)]
+    assert list(zip(texts, strict(spark, texts))) == [(t, accepted(t)) for t in texts]
+
+
+def test_last_duplicate_key_wins(spark):
+    frame = spark.createDataFrame([('{"a":1,"a":"zwei"}',)], "x string")
+    assert jt.with_strict_json(frame, F.col("x"), "v").select(jt.field_text(F.col("v"), "a").alias("a")).first().a == "zwei"
+
+
+# answer, then kind and supplier in the dialects strip_fence, direct_first, fenced_block
+O = '{"Lieferant":"A"}'
+CASES = [
+    (O, ("object", "A"), ("object", "A"), ("object", "A")),
+    (f"```json\n{O}\n```", ("object", "A"), ("object", "A"), ("object", "A")),
+    (f"```\n{O}\n```  ", ("object", "A"), ("object", "A"), ("object", "A")),
+    (f"```JSON {O} ```", ("object", "A"), ("object", "A"), ("object", "A")),
+    (f"Hier:\n```json\n{O}\n```\nBitte {{sehr}}", ("none", None), ("none", None), ("object", "A")),
+    (f"x {O} y", ("object", "A"), ("object", "A"), ("object", "A")),
+    (f"x {O} y {O}", ("none", None), ("none", None), ("none", None)),
+    (f"```json\n{O}\n```\n```json\n{{}}\n```", ("none", None), ("none", None), ("object", "A")),
+    (f"```json\n{{kaputt}}\n``` {O}", ("none", None), ("none", None), ("none", None)),
+    (f"[{O}]", ("object", "A"), ("not_object", None), ("object", "A")),
+    (f"[{O},{O}]", ("none", None), ("not_object", None), ("none", None)),
+    ("[]", ("none", None), ("not_object", None), ("none", None)),
+    ("42", ("none", None), ("not_object", None), ("none", None)),
+    ("null", ("none", None), ("not_object", None), ("none", None)),
+    ('"nur Text"', ("none", None), ("not_object", None), ("none", None)),
+    ("{}", ("empty", None), ("empty", None), ("empty", None)),
+    ("{ \n}", ("empty", None), ("empty", None), ("empty", None)),
+    ("", ("none", None), ("none", None), ("none", None)),
+    (None, ("none", None), ("none", None), ("none", None)),
+    ('{"Lieferant":"A",}', ("none", None), ("none", None), ("none", None)),
+    ('{"Lieferant":"A{B}C"}', ("object", "A{B}C"), ("object", "A{B}C"), ("object", "A{B}C")),
+    (' {"Lieferant":"A"} ', ("object", "A"), ("object", "A"), ("object", "A")),
+]
+
+
+@pytest.mark.parametrize("place, dialect", [(1, PLAIN), (2, MARKED), (3, TYPED)], ids=["plain", "marked", "typed"])
+def test_dialects(spark, place, dialect):
+    frame = spark.createDataFrame([(i, case[0]) for i, case in enumerate(CASES)], "i int, response string")
+    parsed = parse_answers(frame, dialect)
+    rows = parsed.select("i", "answer_kind", jt.field_text(F.col("answer"), "Lieferant").alias("s")).collect()
+    found = [(row.answer_kind, row.s) for row in sorted(rows, key=lambda row: row.i)]
+    assert [(c[0], f) for c, f in zip(CASES, found)] == [(c[0], c[place]) for c in CASES]
+
+
+def one(spark, dialect, response):
+    frame = spark.createDataFrame([(response,)], "response string")
+    return project_fields(parse_answers(frame, dialect), dialect).first()
+
+
+def test_absent_null_and_types(spark):
+    answer = (
+        '{"Datum":null,"Rechnungsnummer":17,"Bezeichnung":{"x":1},"MwSt-Satz":19.0,'
+        '"MwSt-Betrag":19.5,"Gesamtbetrag":"19.5","Nettobetrag":true}'
+    )
+    plain, marked, typed = (one(spark, d, answer) for d in (PLAIN, MARKED, TYPED))
+    assert (plain.invoice_date, plain.supplier) == (None, "")
+    assert (marked.invoice_date, marked.supplier, marked.fields_missing) == (None, "NICHT GEFUNDEN", True)
+    assert (marked.invoice_no, marked.description, marked.vat_rate) == ("17", '{"x":1}', "19.0")
+    assert (marked.vat_amount, marked.gross_amount, marked.net_amount) == ("19.5", "19.5", "True")
+    # numbers pass, strings lose their dots, JSON true counts as 1
+    assert (typed.vat_amount, typed.gross_amount, typed.net_amount) == (19.5, 195.0, 1.0)
+    assert typed.invoice_date is None and typed.invoice_no == "17"
+
+
+def test_only_strings_are_dates(spark):
+    assert one(spark, TYPED, '{"Datum":5.12}').invoice_date is None
+    assert str(one(spark, TYPED, '{"Datum":"5.12.2024"}').invoice_date) == "2024-12-05"

@@ -1,0 +1,179 @@
+"""Table operators: numbering, pages, statistics, invoice rules."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from quittance.functions import scalars as sc
+from quittance.operators import invoice_math as im, manifest as mf, numbering, pages, reports, requests as rq
+
+
+def skewed_files(n=4000):
+    rng = random.Random(5)
+    names = [f"{rng.randint(0, 10**9)}_Ä{i}.{rng.choice(['pdf', 'PDF', 'txt'])}" for i in range(n)]
+    return [("heiss" if rng.random() < 0.6 else f"k{rng.randint(0, 40)}", name) for name in names]
+
+
+def test_numbers_with_one_large_group(spark):
+    files = skewed_files()
+    frame = spark.createDataFrame(files, "category string, file_name string").repartition(16)
+    numbered = numbering.number_files(frame, 800).collect()
+    groups = defaultdict(list)
+    for category, name in files:
+        if name.lower().endswith(".pdf"):
+            groups[category].append(name)
+    expected = {(c, n): f"{800 + i}_{n}" for c, names in groups.items() for i, n in enumerate(sorted(names))}
+    assert {(r.category, r.file_name): r.new_name for r in numbered} == expected
+    assert len(numbered) == len(expected)
+
+
+def test_one_large_group_is_spread_over_tasks(spark):
+    files = [("heiss", f"{i:07d}.pdf") for i in range(20000)]
+    frame = spark.createDataFrame(files, "category string, file_name string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        numbered = numbering.number_rows(frame, ["file_name"], ["category"])
+        sizes = numbered.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert max(row["count"] for row in sizes) < 10000
+    assert sorted(r.number for r in numbered.collect()) == list(range(20000))
+
+
+def test_global_numbers(spark):
+    files = [(f"{c}/{n}", n) for c, n in skewed_files(3000)]
+    frame = spark.createDataFrame(files, "path string, file_name string").repartition(7)
+    numbered = {r.path: r.number for r in numbering.number_global(frame).collect()}
+    assert numbered == {path: i for i, path in enumerate(sorted(p for p, _ in files))}
+
+
+def test_sorting_is_by_code_point(spark):
+    names = ["b.pdf", "B.pdf", "ä.pdf", "a.pdf", "10.pdf", "2.pdf", "_.pdf", "😀.pdf"]
+    frame = spark.createDataFrame([(n,) for n in names], "file_name string")
+    assert [r.file_name for r in numbering.sort_by_name(frame).collect()] == sorted(names)
+
+
+def test_numbering_nothing(spark):
+    empty = spark.createDataFrame([], "category string, file_name string")
+    assert numbering.number_all_files(empty).count() == 0
+
+
+@pytest.mark.parametrize(
+    "path, category", [("/r/A/x.pdf", "A"), ("/r/x.pdf", None), ("/r/A/B/x.pdf", None), ("/s/A/x.pdf", None), ("/r/Ä ö/x", "Ä ö")]
+)
+def test_category(spark, path, category):
+    rows = mf.category_from_path(spark.createDataFrame([(path,)], "path string"), "/r/").collect()
+    assert [r.category for r in rows] == ([category] if category else [])
+
+
+def test_pages(spark):
+    docs = spark.createDataFrame([(1, ["a", "b"]), (2, ["c"]), (3, [])], "doc_id int, pages array<string>")
+    rows = pages.explode_pages(docs)
+    assert {(r.doc_id, r.page_no, r.text) for r in rows.collect()} == {(1, 0, "a"), (1, 1, "b"), (2, 0, "c")}
+    second = {r.doc_id: (r.page_text, r.page_state) for r in pages.select_page(docs.select("doc_id"), rows, 1).collect()}
+    assert second == {1: ("b", "ok"), 2: (None, "page_missing"), 3: (None, "page_missing")}
+    assert {(r.doc_id, r.text) for r in pages.first_page(rows).collect()} == {(1, "a"), (2, "c")}
+    shuffled = rows.orderBy(F.desc("page_no"))
+    assert {(r.doc_id, r.text) for r in pages.concat_pages(shuffled).collect()} == {(1, "ab"), (2, "c")}
+
+
+def test_words(spark):
+    scan = spark.createDataFrame(
+        [(1, ["a", "b", "c"], ["60", "61", "-1"], [1, 2, 3], [4, 5, 6], [7, 8, 9], [1, 1, 1])],
+        "doc_id int, text array<string>, conf array<string>, left array<int>, top array<int>, width array<int>, height array<int>",
+    )
+    words = pages.word_boxes(pages.filter_confident_words(pages.explode_ocr_words(scan))).collect()
+    assert [(r.text, r.box) for r in words] == [("b", [2, 5, 10, 6])]
+
+
+def test_messages_and_payload(spark):
+    import json
+
+    frame = spark.createDataFrame([("hallo", "QUJD")], "t string, b string")
+    messages = rq.build_messages([F.col("t")], F.lit("system"))
+    row = frame.select(
+        rq.build_payload(messages, F.lit("m"), 0.1, 2048).alias("p"),
+        F.to_json(rq.build_multimodal_message(F.col("t"), F.col("b"))).alias("mm"),
+        rq.fill_template("a {text} {b}", F.lit("{text}")).alias("filled"),
+    ).first()
+    assert json.loads(row.p) == {
+        "model": "m", "temperature": 0.1, "max_tokens": 2048, "stream": False,
+        "messages": [{"role": "system", "content": "system"}, {"role": "user", "content": "hallo"}],
+    }
+    assert json.loads(row.mm)["content"] == [
+        {"type": "text", "text": "hallo"}, {"type": "image_url", "image_url": {"url": "data:image/png;base64,QUJD"}},
+    ]
+    assert row.filled == "a {text} {b}"
+
+
+def test_statistics_and_observation(spark):
+    frame = spark.createDataFrame([("ok",), ("missing_fields",), ("no_json",), ("http_error",)], "outcome string")
+    assert reports.batch_statistics(frame).first().asDict() == {"total": 4, "successful": 2, "failed": 2}
+    observed, figures = reports.observe_statistics(frame)
+    observed.write.format("noop").mode("overwrite").save()
+    assert figures.get == {"total": 4, "successful": 2, "failed": 2}
+
+
+def test_widths_count_none_and_dates_as_python(spark):
+    frame = spark.createDataFrame(
+        [("k", "abc", 10000000.0, None), ("k", None, None, "x" * 99)], "category string, a string, n double, raw string"
+    ).withColumn("d", F.when(F.col("a") == "abc", F.lit("2024-01-05").cast("date")))
+    widths = reports.column_width_profile(frame, [("a", "A"), ("n", "N"), ("d", "D"), ("raw", "Roh")])
+    assert {r.header: r.width for r in widths.collect()} == {
+        "A": len("None") + 2, "N": len(str(10000000.0)) + 2, "D": 21, "Roh": 50,
+    }
+
+
+def otsu_by_hand(values):
+    best, result = -1.0, None
+    for t in sorted(set(values)):
+        low, high = [v for v in values if v <= t], [v for v in values if v > t]
+        between = len(low) * len(high) * (sum(low) / len(low) - sum(high) / len(high)) ** 2 if high else 0.0
+        if between > best * (1 + 1e-12) + 1e-12:
+            best, result = between, t
+    return result
+
+
+def test_grey_values(spark):
+    rng = random.Random(2)
+    images = {
+        "dark": [min(255, max(0, int(rng.gauss(rng.choice([40, 200]), 20)))) for _ in range(3000)],
+        "white": [255] * 500, "few": [0] * 50 + [255] * 50,
+    }
+    frame = spark.createDataFrame([(k, v) for k, vs in images.items() for v in vs], "image string, grey int")
+    thresholds = reports.otsu_threshold(frame, "image", "grey")
+    assert {r.image: r.threshold for r in thresholds.collect()} == {k: otsu_by_hand(v) for k, v in images.items()}
+    gate = {r.image: (r.dark_points, r.act) for r in reports.mean_gate(frame, "image", "grey").collect()}
+    dark = sum(v < sum(images["dark"]) / 3000 * 0.8 for v in images["dark"])
+    assert gate == {"dark": (dark, True), "white": (0, False), "few": (50, False)}
+    bits = Counter((r.image, r.bit) for r in reports.binarize(frame, thresholds, "image", "grey").collect())
+    assert bits[("few", 0)] == 50 and bits[("few", 255)] == 50 and bits[("white", 0)] == 500
+
+
+def test_vat_rules(spark):
+    lines = spark.createDataFrame(
+        [(1, 7, 10), (1, 19, 30), (1, 7, 5), (2, 7, 1), (2, 19, 2), (3, 0, 0)], "doc_id int, rate_pct int, vat_c int"
+    )
+    assert {r.doc_id: r.vat_c for r in im.sum_vat(lines).collect()} == {1: 45, 2: 3, 3: 0}
+    assert {r.doc_id: (r.main_rate, r.main_vat_c) for r in im.main_vat(lines).collect()} == {1: (7, 15), 2: (19, 2), 3: (0, 0)}
+    assert {r.doc_id: r.main_rate for r in im.dominant_vat_rate(lines).collect()} == {1: 7, 2: 19, 3: 0}
+
+
+@pytest.mark.parametrize(
+    "product, expected",
+    [
+        ("Monitor 27\"", "monitor_27_31_5_2024.pdf"), ("Rechnung Grafikkarte", "grafikkarte_31_5_2024.pdf"),
+        ("RECHNUNG", "31_5_2024.pdf"), ("Büro-Stühle & Tische", "büro_stühle_tische_31_5_2024.pdf"),
+    ],
+)
+def test_suggested_names(spark, product, expected):
+    day = F.lit("2024-05-31").cast("date")
+    assert spark.range(1).select(im.suggest_filename(F.lit(product), day).alias("n")).first().n == expected
+
+
+def test_limits(column):
+    assert column(lambda c: sc.limit_description(c, 60), ["ä" * 70]) == ["ä" * 60]

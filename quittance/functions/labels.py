@@ -24,6 +24,15 @@ def parse_label_lines(text: Column) -> dict[str, Column]:
     return columns
 
 
+def label_record(file_name: Column, text: Column, generated_name: Column) -> Column:
+    """JSON text with the file, the labelled fields and a generated name; NULL fields stay."""
+    fields = [column.alias(name) for name, column in parse_label_lines(text).items()]
+    info = F.struct(*fields, generated_name.alias("generated_filename"))
+    return F.to_json(
+        F.struct(file_name.alias("file"), info.alias("extracted_info")), {"ignoreNullFields": "false"}
+    )
+
+
 def _after_first(text: Column, label: str) -> Column:
     """Text behind the first label, up to the next one or the end of the line."""
     rest = F.substr(text, F.instr(text, label) + F.lit(len(label)))

@@ -14,7 +14,7 @@ _NUMBER = (
     rf"(?i)^[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:e[+-]?{_DIGITS})?$"
     r"|^[+-]?(?:inf|infinity)$|(?<=^[+-]?)nan$"
 )
-_GERMAN_DATE = r"^\d{1,2}\.\d{1,2}\.(?!0000)\d{4}$"
+_GERMAN_DATE = r"^(?: [1-9]|\d{1,2})\.\d{1,2}\.(?!0000)\d{4}$"
 
 
 def strip(text: Column) -> Column:
@@ -34,7 +34,7 @@ def parse_german_float(text: Column) -> Column:
 
 def parse_german_date(text: Column) -> Column:
     """``05.12.2024`` or ``5.1.2024`` -> DATE; NULL for anything else."""
-    return F.when(text.rlike(_GERMAN_DATE), F.try_to_timestamp(text, F.lit("d.M.yyyy")).cast("date"))
+    return F.when(text.rlike(_GERMAN_DATE), F.try_to_timestamp(F.ltrim(text), F.lit("d.M.yyyy")).cast("date"))
 
 
 def format_german_date(date: Column, missing: str = fv.NOT_FOUND) -> Column:

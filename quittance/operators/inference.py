@@ -30,7 +30,7 @@ def apply_inference(
     prompt. Only the prompt column travels to Python; all others stay in the
     JVM. The call counts as non-deterministic, so Spark neither repeats it nor
     moves filters through it. ``tasks`` bounds how many tasks call at a time.
-    Lost executors repeat their calls: write the result to a table before
+    Executors must be able to import what ``connect`` uses. Lost executors repeat their calls: write the result to a table before
     building on it, and attach that with ``join_responses``.
     """
 

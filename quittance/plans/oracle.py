@@ -335,6 +335,22 @@ _SPARSE = "'{' || " + " || ".join(
     f"""coalesce('"{key}":' || to_json({expr}) || ',', '')""" for key, expr in _REGEX.items()
 ) + f""" || '"extracted_text-1":' || to_json(number) || ',"response_content-2":' || to_json({_REGEX_TEXT}) || '}}'"""
 
+_LABEL_FIELDS = {
+    "date": f"""WHEN k IN (0,1,2,3,4) THEN day_text WHEN k = 5 THEN 'Datum ' || day_text
+      WHEN k = 6 THEN {german('gross_c')}""",
+    "amount": f"WHEN k IN (0,1,2,4) THEN {german('gross_c')} WHEN k = 3 THEN {german('vat_c')}",
+    "vat": "WHEN k IN (0,1,2,3,4,6) THEN CAST(rate_pct AS VARCHAR) WHEN k = 5 THEN ''",
+    "description": "WHEN k IN (0,1,3) THEN product WHEN k = 2 THEN 'zuletzt' WHEN k = 4 THEN '30'",
+}
+_SUGGESTED = """replace(lower(issuer), '#', '_') || '_' || day(day) || '_' || month(day) || '_' || year(day) || '.pdf'"""
+_LABEL_RECORD = (
+    """'{"file":"' || number || '.pdf","extracted_info":{' || """
+    + " || ".join(
+        f"""'"{name}":' || coalesce(to_json(CASE {expr} END), 'null') || ','""" for name, expr in _LABEL_FIELDS.items()
+    )
+    + f""" || '"generated_filename":"' || {_SUGGESTED} || '"}}}}'"""
+)
+
 _TAGGED = f"""'<s_number>' || number || '</s_number>' || {_NL} || '<s_day> ' || day_text || '</s_day><s_number>'
   || doc_id || '</s_number>'"""
 
@@ -529,14 +545,8 @@ SELECT doc_id, CASE WHEN {_OBJECT['typed']} THEN 'object' WHEN c = 14 THEN 'empt
             number || '.pdf' AS filename, doc_id % 5 NOT IN (1, 2, 3) AS valid"""
         ),
         # labelled text
-        "parse_label_lines": _label(
-            {
-                "date": f"WHEN k IN (0,1,2,3,4) THEN day_text WHEN k = 5 THEN 'Datum ' || day_text WHEN k = 6 THEN {german('gross_c')}",
-                "amount": f"WHEN k IN (0,1,2,4) THEN {german('gross_c')} WHEN k = 3 THEN {german('vat_c')}",
-                "vat": "WHEN k IN (0,1,2,3,4,6) THEN CAST(rate_pct AS VARCHAR) WHEN k = 5 THEN ''",
-                "description": "WHEN k IN (0,1,3) THEN product WHEN k = 2 THEN 'zuletzt' WHEN k = 4 THEN '30'",
-            }
-        ),
+        "parse_label_lines": _label(_LABEL_FIELDS),
+        "label_record": f"WITH {_INVOICE} SELECT number || '.pdf.json' AS name, {_LABEL_RECORD} AS record FROM invoice",
         "parse_label_positions": _label(
             {
                 "date": "WHEN k IN (0,1,4,6,7) THEN day_text",
@@ -631,9 +641,7 @@ SELECT image, grey, CASE WHEN grey > threshold THEN 255 ELSE 0 END AS bit FROM p
               WHEN doc_id % 4 = 1 THEN CASE WHEN doc_id % 3 <> 0 THEN issuer ELSE 'Einkauf' END
               ELSE product END AS description"""
         ),
-        "suggest_filename": _invoices(
-            """replace(lower(issuer), '#', '_') || '_' || day(day) || '_' || month(day) || '_' || year(day) || '.pdf' AS name"""
-        ),
+        "suggest_filename": _invoices(f"{_SUGGESTED} AS name"),
         "limit_description": _invoices(f'substr({long}, 1, 50) AS short, substr({long}, 1, 60) AS "long"'),
         # sinks
         "write_csv_by_category": _report("marked", with_ocr=True),

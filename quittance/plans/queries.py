@@ -384,6 +384,16 @@ def parse_label_lines(spark, sf):
     return d.label_answers(spark, sf).select("doc_id", *[c.alias(name) for name, c in fields.items()])
 
 
+@query
+def label_record(spark, sf):
+    """The sidecar record of labelled answers, with a suggested file name."""
+    name = F.concat("number", F.lit(".pdf"))
+    suggested = im.suggest_filename(F.col("issuer"), F.col("day"))
+    return d.label_answers(spark, sf).select(
+        sc.sidecar_filename(name).alias("name"), labels.label_record(name, F.col("response"), suggested).alias("record")
+    )
+
+
 @query
 def parse_label_positions(spark, sf):
     fields = labels.parse_label_positions(F.col("response"))

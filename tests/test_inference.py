@@ -1,0 +1,107 @@
+"""The model call: isolation of failures, no call for blank rows, one call per row."""
+
+from __future__ import annotations
+
+import re
+import sys
+from pathlib import Path
+
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
+
+from quittance.operators import inference, requests as rq
+
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def shout():
+    def ask(prompt):
+        if "bumm" in prompt:
+            raise RuntimeError("kaputt")
+        return prompt.upper()
+
+    return ask
+
+
+def test_errors_stay_in_their_row(spark):
+    rows = [(i, None if i % 5 == 0 else f"bumm {i}" if i % 5 == 1 else f"text {i}") for i in range(200)]
+    frame = spark.createDataFrame(rows, "i int, prompt string").repartition(6)
+    found = {r.i: (r.response, r.error) for r in inference.apply_inference(frame, shout).collect()}
+    assert len(found) == 200
+    for i, prompt in rows:
+        if prompt is None:
+            assert found[i] == (None, None)
+        elif "bumm" in prompt:
+            assert found[i] == (None, "kaputt")
+        else:
+            assert found[i] == (prompt.upper(), None)
+
+
+def test_each_prompt_is_asked_once(spark, tmp_path):
+    log = tmp_path / "calls"
+    log.mkdir()
+
+    def connect():
+        def ask(prompt):
+            with open(Path(log) / prompt, "a") as file:
+                file.write("x")
+            return prompt
+
+        return ask
+
+    frame = spark.range(50).select(F.col("id"), F.concat(F.lit("p"), "id").alias("prompt"))
+    answered = inference.apply_inference(rq.skip_empty_text(frame.withColumn("text", F.when(F.col("id") % 2 == 0, "t"))), connect)
+    kept = answered.filter(F.col("response").isNotNull()).filter("response <> 'p4'")
+    assert kept.count() == 24 and kept.columns == ["id", "prompt", "text", "response", "error"]
+    # both filters ran after the call; even numbers were asked, each exactly once
+    assert sorted(p.name for p in log.iterdir()) == sorted(f"p{i}" for i in range(0, 50, 2))
+    assert {p.read_text() for p in log.iterdir()} == {"x"}
+
+
+def test_number_of_tasks(spark):
+    frame = spark.range(100).select(F.col("id"), F.lit("a").alias("prompt"))
+    answered = inference.apply_inference(frame, shout, tasks=3)
+    assert answered.select(F.spark_partition_id().alias("p")).distinct().count() == 3
+
+
+def test_only_the_prompt_goes_to_python(spark):
+    frame = spark.range(3).select("id", F.lit("big").alias("content"), F.concat(F.lit("a"), "id").alias("prompt"))
+    plan = inference.apply_inference(frame, shout)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"ArrowEvalPython \[call\(prompt#\d+\)", plan) and "MapInPandas" not in plan
+
+
+def test_responses_from_a_table(spark):
+    asked = spark.createDataFrame([(1, "a"), (2, "b")], "request_id int, prompt string")
+    given = spark.createDataFrame([(1, None)], "request_id int, response string")
+    rows = {r.request_id: r.response_state for r in inference.join_responses(asked, given).collect()}
+    assert rows == {1: "ok", 2: "no_response"}
+
+
+def test_two_passes(spark):
+    def connect():
+        def ask(prompt):
+            if prompt.startswith("1 "):
+                if "bumm" in prompt:
+                    raise RuntimeError("kaputt")
+                return "Summe 5,00"
+            if "[]" in prompt:
+                raise RuntimeError("leer")
+            return "Betrag: 5,00\nMwSt: 19\nProduktbezeichnung: Maus\nDateiname: maus.pdf\nDatum: 01.02.2024"
+
+        return ask
+
+    frame = spark.createDataFrame([(1, "x"), (2, "bumm")], "i int, text string")
+    found = {r.i: r for r in inference.two_pass_extract(frame, connect, rq.build_prompt(F.col("text"), "1 "), "2 {text}").collect()}
+    good, bad = found[1], found[2]
+    assert (good.first_answer, good.amount, good.vat_rate, good.product, good.suggested_name, good.date) == (
+        "Summe 5,00", "5,00", "19", "Maus", "maus.pdf", "01.02.2024",
+    )
+    assert (bad.first_error, bad.second_answer, bad.second_error, bad.amount) == ("kaputt", None, "leer", None)
+
+
+def test_one_call_per_field(spark):
+    frame = spark.createDataFrame([(1, "x"), (2, "bumm")], "i int, text string")
+    found = {r.i: (r.date_answer, r.amount_answer) for r in inference.multi_prompt_fields(frame, shout).collect()}
+    assert found[1][0] == (rq.DATE_INSTRUCTION + "x").upper() and found[1][1] == (rq.AMOUNT_INSTRUCTION + "x").upper()
+    assert found[2] == ("", "")

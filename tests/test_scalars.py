@@ -57,6 +57,24 @@ def test_german_dates(column, text, expected):
     assert column(sc.parse_german_date, [text]) == [expected]
 
 
+def test_random_german_dates(column):
+    def as_date(text):
+        try:
+            return datetime.datetime.strptime(text, "%d.%m.%Y").date()
+        except ValueError:
+            return None
+
+    rng = random.Random(11)
+    texts = [
+        rng.choice(["", "", "", " ", "  "]) + f"{rng.randint(0, 32):{rng.choice(['d', '02d'])}}"
+        f".{rng.randint(0, 13):{rng.choice(['d', '02d'])}}.{rng.choice(['0000', '0999', '1900', '2023', '2024', '24'])}"
+        + rng.choice(["", "", "", " ", "\n"])
+        for _ in range(3000)
+    ]
+    found = column(sc.parse_german_date, texts)
+    assert [(t, f, as_date(t)) for t, f in zip(texts, found) if f != as_date(t)] == []
+
+
 def test_strip_is_unicode_strip(column):
     spaces = [chr(code) for code in range(0x3001) if chr(code).isspace()]
     texts = [space + "a b" + space * 2 for space in spaces] + ["", "  ", "a"]

@@ -27,7 +27,7 @@ def apply_inference(
     """One call per row with a prompt; a failing call gives an error text, not a failure.
 
     ``connect`` runs once per task and returns the function that is called per
-    prompt. Only the prompt column travels to Python; all others stay in the
+    prompt, up to ``parallel_calls`` at a time. Only the prompt column travels to Python; all others stay in the
     JVM. The call counts as non-deterministic, so Spark neither repeats it nor
     moves filters through it. ``tasks`` bounds how many tasks call at a time.
     Executors must be able to import what ``connect`` uses. Lost executors repeat their calls: write the result to a table before
@@ -43,9 +43,10 @@ def apply_inference(
     def call(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         ask = connect()
         with ThreadPoolExecutor(parallel_calls) as pool:
+            run = pool.map if parallel_calls > 1 else map  # threads only pay off for calls that wait
             for prompts in batches:
                 present = prompts.notna()
-                results = list(pool.map(lambda text: one_call(ask, text), prompts[present]))
+                results = list(run(lambda text: one_call(ask, text), prompts[present]))
                 found = pd.DataFrame(
                     results, columns=["answer", "error"], index=prompts.index[present], dtype=object
                 )

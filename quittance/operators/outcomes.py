@@ -27,9 +27,15 @@ def outcome_rows(documents: DataFrame, dialect: Dialect, page_no: int = 0) -> Da
     kept = [c for c in documents.columns if c not in INPUT_COLUMNS]
     opened = parse_envelope(documents).withColumn("_early", _before_answer(dialect))
     asked = opened.withColumn("response", F.when(F.col("_early").isNull(), F.col("content")))
-    rows = project_fields(parse_answers(asked, dialect), dialect).withColumn("outcome", _outcome())
-    broken = F.col("outcome").isin(sorted(dialect.broken_outcomes)) | _broken_envelope(dialect)
-    filled = [_fill(name, dialect, broken) for _, name in fv.FIELDS]
+    parsed = project_fields(parse_answers(asked, dialect), dialect).withColumn("outcome", _outcome())
+    # The same for all eight fields, so columns of their own.
+    rows = parsed.select(
+        "*",
+        F.col("outcome").isin("ok", "missing_fields").alias("_usable"),
+        (F.col("outcome").isin(sorted(dialect.broken_outcomes)) | _broken_envelope()).alias("_broken"),
+        F.substring(strip(F.col("response")), 1, 1).alias("_first"),
+    )
+    filled = [_fill(name, dialect) for _, name in fv.FIELDS]
     texts = [F.coalesce("ocr_text", F.lit("")).alias("ocr_text"), _raw(dialect, page_no).alias("raw_response")]
     return rows.select(*kept, *filled, *texts, "outcome")
 
@@ -56,18 +62,16 @@ def _outcome() -> Column:
     )
 
 
-def _broken_envelope(dialect: Dialect) -> Column:
+def _broken_envelope() -> Column:
     """An unreadable body is an error; JSON of another shape counts as ``{}``."""
     return (F.col("outcome") == "bad_envelope") & (F.col("envelope_state") == "invalid")
 
 
-def _fill(name: str, dialect: Dialect, broken: Column) -> Column:
-    usable = F.col("outcome").isin("ok", "missing_fields")
+def _fill(name: str, dialect: Dialect) -> Column:
+    value = F.when(F.col("_usable"), F.col(name))
     if dialect.typed and (name == fv.DATE_FIELD or name in fv.AMOUNT_FIELDS):
-        return F.when(usable, F.col(name)).alias(name)
-    return (
-        F.when(usable, F.col(name)).when(broken, F.lit(dialect.broken)).otherwise(F.lit(dialect.absent))
-    ).alias(name)
+        return value.alias(name)
+    return value.when(F.col("_broken"), dialect.broken).otherwise(dialect.absent).alias(name)
 
 
 def _raw(dialect: Dialect, page_no: int) -> Column:
@@ -80,9 +84,10 @@ def _raw(dialect: Dialect, page_no: int) -> Column:
         side = F.when(status < 500, " Client Error").otherwise(" Server Error")
         http = request_message(F.concat(status.cast("string"), side))
     render = F.coalesce("input_error", F.lit("")) if dialect.asks_blank_text else F.lit("")
-    blank = F.when(response == "", F.lit(fv.NO_ANSWER)) if dialect.typed else F.when(F.lit(False), "")
+    blank = F.when(response == "", F.lit(fv.NO_ANSWER)) if dialect.typed else None
+    raw = F.when(outcome == "not_object", _not_object_message()) if dialect.finder == "direct_first" else F
     return (
-        F.when(outcome == "render_error", render)
+        raw.when(outcome == "render_error", render)
         .when(outcome == "page_missing", _page_message(page_no))
         .when(outcome == "empty_text", "")
         .when(outcome == "no_response", request_message(F.lit("no response")))
@@ -93,8 +98,7 @@ def _raw(dialect: Dialect, page_no: int) -> Column:
                 request_message(F.lit("unreadable body"))
             ),
         )
-        .when(outcome == "not_object", _not_object_message())
-        .otherwise(F.coalesce(blank, response))
+        .otherwise(response if blank is None else F.coalesce(blank, response))
     )
 
 
@@ -105,13 +109,13 @@ def _page_message(page_no: int) -> Column:
 
 def _not_object_message() -> Column:
     """Names the Python type the JSON value would have, seen from its first character."""
-    text = strip(F.col("response"))
+    first = F.col("_first")
     kind = (
-        F.when(F.startswith(text, F.lit("[")), "list")
-        .when(F.startswith(text, F.lit('"')), "str")
-        .when(text.isin("true", "false"), "bool")
-        .when(text == "null", "NoneType")
-        .when(text.rlike("[.eE]"), "float")
+        F.when(first == "[", "list")
+        .when(first == '"', "str")
+        .when(first.isin("t", "f"), "bool")
+        .when(first == "n", "NoneType")
+        .when(F.col("response").rlike("[.eE]"), "float")
         .otherwise("int")
     )
     before, after = fv.NOT_OBJECT_MESSAGE.split("{type}")

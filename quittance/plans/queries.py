@@ -257,7 +257,9 @@ def skip_empty_text(spark, sf):
 def apply_inference(spark, sf):
     texts = d.receipt_texts(spark, sf).select("doc_id", "text")
     asked = rq.skip_empty_text(texts.withColumn("prompt", rq.build_prompt(F.col("text"))))
-    answered = inference.apply_inference(asked.select("doc_id", "prompt"), sample_model.json_reader)
+    answered = inference.apply_inference(
+        asked.select("doc_id", "prompt"), sample_model.json_reader, parallel_calls=1
+    )
     parsed = an.parse_answers(answered, an.MARKED)
     keys = [("Rechnungsnummer", "number"), ("Datum", "day"), ("Gesamtbetrag", "gross")]
     part = F.col
@@ -280,13 +282,15 @@ def two_pass_extract(spark, sf):
     texts = d.receipt_texts(spark, sf).select("doc_id", "text")
     first = rq.build_prompt(F.col("text"), sample_model.FIRST_INSTRUCTION)
     second = "Angaben:\n{text}\n" + rq.LINE_INSTRUCTION
-    return inference.two_pass_extract(texts, sample_model.two_pass_reader, first, second).drop("text")
+    return inference.two_pass_extract(
+        texts, sample_model.two_pass_reader, first, second, parallel_calls=1
+    ).drop("text")
 
 
 @query
 def multi_prompt_fields(spark, sf):
     texts = d.receipt_texts(spark, sf).select("doc_id", "text")
-    return inference.multi_prompt_fields(texts, sample_model.field_reader).drop("text")
+    return inference.multi_prompt_fields(texts, sample_model.field_reader, parallel_calls=1).drop("text")
 
 
 # ---------------------------------------------------------------- responses, JSON

@@ -95,6 +95,15 @@ def inline_image_prompt(base64_text: Column, prompt: Column) -> Column:
     return F.concat(F.lit("<image>"), base64_text, F.lit("</image>\n"), prompt)
 
 
+def local_path(path: Column) -> Column:
+    """A path without scheme and host, as in ``file:/a`` or ``hdfs://host/a``."""
+    return F.regexp_replace(path, r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "")
+
+
+def slashes(path: Column) -> Column:
+    return F.length(path) - F.length(F.replace(path, F.lit("/"), F.lit("")))
+
+
 def basename(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 

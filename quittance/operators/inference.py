@@ -62,7 +62,11 @@ def apply_inference(
 
 
 def join_responses(requests: DataFrame, responses: DataFrame, key: str = "request_id") -> DataFrame:
-    """Attach answers computed earlier; ``no_response`` marks requests without one."""
+    """Attach answers computed earlier; ``no_response`` marks requests without one.
+
+    Both sides are shuffled on the key unless one is small: leave payloads with
+    images out of ``requests``.
+    """
     found = responses.withColumn("_found", F.lit(True))
     return (
         requests.join(found, key, "left")

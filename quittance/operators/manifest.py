@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from quittance import fixed_values as fv
-from quittance.functions.scalars import has_suffix
+from quittance.functions.scalars import has_suffix, local_path, slashes
 
 
 def filter_by_suffix(
@@ -17,15 +17,13 @@ def filter_by_suffix(
 def category_from_path(manifest: DataFrame, root: str = "", path: str = "path") -> DataFrame:
     """Keep files that lie directly in a subfolder of ``root``; add its name as category.
 
-    Loose files in the root and files in deeper folders are dropped.
+    Loose files in the root and files in deeper folders are dropped. Without a
+    root, paths count as relative to it.
     """
     full = F.col(path)
     if root:
-        prefix = root.rstrip("/") + "/"
-        manifest = manifest.filter(F.startswith(full, F.lit(prefix)))
-        full = F.substr(full, F.lit(len(prefix) + 1))
-    return manifest.filter(_depth(full) == 2).withColumn("category", F.substring_index(full, "/", 1))
-
-
-def _depth(relative: Column) -> Column:
-    return F.length(relative) - F.length(F.replace(relative, F.lit("/"), F.lit(""))) + 1
+        full = local_path(full)
+        prefix = F.concat(local_path(F.lit(root.rstrip("/"))), F.lit("/"))
+        manifest = manifest.filter(F.startswith(full, prefix))
+        full = F.substr(full, F.length(prefix) + 1)
+    return manifest.filter(slashes(full) == 1).withColumn("category", F.substring_index(full, "/", 1))

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quittance import fixed_values as fv
-from quittance.functions.scalars import basename
+from quittance.functions.scalars import basename, local_path, slashes
 
 
 def _glob(suffixes: Sequence[str], case_sensitive: bool) -> str:
@@ -21,11 +21,6 @@ def _glob(suffixes: Sequence[str], case_sensitive: bool) -> str:
     return "*." + (names[0] if len(names) == 1 else "{" + ",".join(names) + "}")
 
 
-def _depth(path: Column) -> Column:
-    local = F.regexp_replace(path, r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "")
-    return F.length(local) - F.length(F.replace(local, F.lit("/"), F.lit("")))
-
-
 def _files(spark: SparkSession, root: str, pattern: str | None, recursive: bool, **options: str) -> DataFrame:
     """Files of an absolute path, which may hold wildcards.
 
@@ -39,7 +34,8 @@ def _files(spark: SparkSession, root: str, pattern: str | None, recursive: bool,
     files = reader.load(root)
     if recursive:
         return files
-    return files.filter(_depth(F.col("path")) == _depth(F.lit(root.rstrip("/"))) + 1)
+    depth = slashes(local_path(F.lit(root.rstrip("/")))) + 1
+    return files.filter(slashes(local_path(F.col("path"))) == depth)
 
 
 def _manifest(files: DataFrame) -> DataFrame:
@@ -75,8 +71,16 @@ def read_bytes(spark: SparkSession, root: str, pattern: str | None = None, recur
 
 
 def bytes_of_manifest(manifest: DataFrame, contents: DataFrame) -> DataFrame:
-    """Every listed file with its content, NULL for a file that was not readable."""
-    return manifest.join(contents.select("path", "content"), "path", "left")
+    """Every listed file with its content, NULL for a file that was not readable.
+
+    Contents do not go through a shuffle: only the paths of the files that were
+    read are matched with the listing, which reads the files a second time.
+    """
+    was_read = contents.filter(F.col("content").isNotNull()).select("path")
+    unreadable = manifest.join(was_read, "path", "left_anti").select(
+        "path", "length", F.lit(None).cast("binary").alias("content")
+    )
+    return contents.select("path", "length", "content").union(unreadable)
 
 
 def guarded_manifest(spark: SparkSession, root: str, **options) -> DataFrame:

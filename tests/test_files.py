@@ -7,6 +7,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from quittance.operators.manifest import category_from_path
 from quittance.operators.reports import results_map
 from quittance.sinks import files as sinks
 from quittance.sources import files as sources
@@ -40,12 +41,22 @@ def test_depth(spark, root):
     assert len(names(sources.scan_manifest(spark, str(root), recursive=True))) == 8
 
 
+def test_categories_of_a_scan(spark, root):
+    listed = sources.scan_manifest(spark, str(root), recursive=True)
+    rows = category_from_path(listed, str(root)).collect()
+    assert sorted((r.category, r.file_name) for r in rows) == [
+        ("A b", "1.pdf"), ("A b", "2.PDF"), ("A b", "3.pDf"), ("k=v", "5.pdf"), ("Ü", "ä%20ö.pdf"),
+    ]
+    assert category_from_path(listed, f"file://{root}").count() == 5
+
+
 def test_bytes(spark, root):
     rows = sources.read_bytes(spark, f"{root}/*", "*.txt").collect()
     assert [bytes(row.content) for row in rows] == ["A b/x.txt".encode()]
     listed = sources.scan_manifest(spark, f"{root}/A b")
     read = sources.read_bytes(spark, f"{root}/A b", "*.pdf")
-    both = {row.file_name: row.content is None for row in sources.bytes_of_manifest(listed, read).collect()}
+    joined = sources.bytes_of_manifest(listed, read)
+    both = {row.path.rsplit("/")[-1]: row.content is None for row in joined.collect()}
     assert both == {"1.pdf": False, "2.PDF": True, "3.pDf": True}
 
 

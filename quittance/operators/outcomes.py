@@ -1,32 +1,84 @@
 """One row per document, whatever happened to it.
 
-Input rows carry ``file_name, path, input_state, input_error, ocr_text, status,
-body``: ``input_state`` is NULL, ``render_error`` or ``page_missing``; status
-and body are NULL where no answer came back.
+Input rows carry ``file_name, path, input_state, input_error, ocr_text`` and
+either an HTTP response (``status, body``, NULL where none came back) or a plain
+answer (``response, error``). ``input_state`` is NULL, ``render_error`` or
+``page_missing``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quittance import fixed_values as fv
 from quittance.functions.scalars import strip
 from quittance.operators.answers import Dialect, parse_answers, project_fields
-from quittance.operators.responses import parse_envelope, request_message, status_failed, status_message
+from quittance.operators.inference import Ask, apply_inference
+from quittance.operators.requests import build_prompt, skip_empty_text
+from quittance.operators.responses import http_message, parse_envelope, request_message, status_failed
 
-INPUT_COLUMNS = ["input_state", "input_error", "ocr_text", "status", "body"]
+INPUT_COLUMNS = ["input_state", "input_error", "ocr_text", "status", "body", "response", "error"]
 
 
 def outcome_rows(documents: DataFrame, dialect: Dialect, page_no: int = 0) -> DataFrame:
-    """Eight fields, ``raw_response`` and ``outcome`` for every input document.
+    """Eight fields, ``raw_response`` and ``outcome`` for every document with its HTTP response.
 
     Outcomes: ok, missing_fields, no_json, not_object, empty_text,
     render_error, page_missing, http_error, bad_envelope, no_response.
     No shuffle; the body and the answer are parsed once each.
     """
+    status, state = F.col("status"), F.col("envelope_state")
+    failed = status_failed(status, dialect.only_status_200)
+    early = (
+        _before_call(dialect)
+        .when(status.isNull(), "no_response").when(failed, "http_error").when(state != "ok", "bad_envelope")
+    )
+    failure = (
+        F.when(status.isNull(), request_message(F.lit("no response")))
+        .when(failed, http_message(status, F.col("body"), dialect.only_status_200))
+        .when(state == "no_content", fv.EMPTY_OBJECT)
+        .when(state != "ok", request_message(F.lit("unreadable body")))
+    )
+    opened = parse_envelope(documents).select("*", early.alias("_early"), failure.alias("_failure"))
+    return _finish(opened.withColumnRenamed("content", "_content"), documents, dialect, page_no)
+
+
+def answer_rows(documents: DataFrame, dialect: Dialect, page_no: int = 0) -> DataFrame:
+    """The same for documents with a plain answer, or the error of the call."""
+    no_answer = F.col("error").isNotNull() | F.col("response").isNull()
+    early = _before_call(dialect).when(no_answer, "no_response")
+    failure = request_message(F.coalesce("error", F.lit("no response")))
+    opened = documents.select(
+        *[c for c in documents.columns if c != "response"], F.col("response").alias("_content"),
+        F.lit("ok").alias("envelope_state"), early.alias("_early"), failure.alias("_failure"),
+    )
+    return _finish(opened, documents, dialect, page_no)
+
+
+def process_documents(
+    documents: DataFrame, connect: Callable[[], Ask], dialect: Dialect, instruction: str | None = None, **options
+) -> DataFrame:
+    """Text to outcome rows: prompt, one call per document, parse, fill.
+
+    No call for documents without a page, nor for blank text where the dialect
+    skips it. ``options`` go to ``apply_inference``.
+    """
+    text = F.coalesce("ocr_text", F.lit(""))
+    prompt = F.when(F.col("input_state").isNull(), build_prompt(text, instruction))
+    asked = documents.withColumn("_prompt", prompt)
+    if not dialect.asks_blank_text:
+        asked = skip_empty_text(asked, "ocr_text", "_prompt")
+    return answer_rows(apply_inference(asked, connect, "_prompt", **options).drop("_prompt"), dialect)
+
+
+def _finish(opened: DataFrame, documents: DataFrame, dialect: Dialect, page_no: int) -> DataFrame:
     kept = [c for c in documents.columns if c not in INPUT_COLUMNS]
-    opened = parse_envelope(documents).withColumn("_early", _before_answer(dialect))
-    asked = opened.withColumn("response", F.when(F.col("_early").isNull(), F.col("content")))
+    response = F.when(F.col("_early").isNull(), F.col("_content"))
+    asked = opened.select(
+        *kept, "input_error", "ocr_text", "envelope_state", "_early", "_failure", response.alias("response")
+    )
     parsed = project_fields(parse_answers(asked, dialect), dialect).withColumn("outcome", _outcome())
     # The same for all eight fields, so columns of their own.
     rows = parsed.select(
@@ -40,15 +92,11 @@ def outcome_rows(documents: DataFrame, dialect: Dialect, page_no: int = 0) -> Da
     return rows.select(*kept, *filled, *texts, "outcome")
 
 
-def _before_answer(dialect: Dialect) -> Column:
+def _before_call(dialect: Dialect) -> Column:
     state = F.when(F.col("input_state").isNotNull(), F.col("input_state"))
     if not dialect.asks_blank_text:
         state = state.when(strip(F.coalesce("ocr_text", F.lit(""))) == "", "empty_text")
-    return (
-        state.when(F.col("status").isNull(), "no_response")
-        .when(status_failed(F.col("status"), dialect.only_status_200), "http_error")
-        .when(F.col("envelope_state") != "ok", "bad_envelope")
-    )
+    return state
 
 
 def _outcome() -> Column:
@@ -77,29 +125,18 @@ def _fill(name: str, dialect: Dialect) -> Column:
 def _raw(dialect: Dialect, page_no: int) -> Column:
     """The raw answer, or the message of the failure in its place."""
     outcome, response = F.col("outcome"), F.col("response")
-    status, body = F.col("status"), F.col("body")
-    if dialect.only_status_200:
-        http = status_message(status, body)
-    else:
-        side = F.when(status < 500, " Client Error").otherwise(" Server Error")
-        http = request_message(F.concat(status.cast("string"), side))
     render = F.coalesce("input_error", F.lit("")) if dialect.asks_blank_text else F.lit("")
-    blank = F.when(response == "", F.lit(fv.NO_ANSWER)) if dialect.typed else None
-    raw = F.when(outcome == "not_object", _not_object_message()) if dialect.finder == "direct_first" else F
-    return (
-        raw.when(outcome == "render_error", render)
+    raw = (
+        F.when(outcome == "render_error", render)
         .when(outcome == "page_missing", _page_message(page_no))
         .when(outcome == "empty_text", "")
-        .when(outcome == "no_response", request_message(F.lit("no response")))
-        .when(outcome == "http_error", http)
-        .when(
-            outcome == "bad_envelope",
-            F.when(F.col("envelope_state") == "no_content", F.lit(fv.EMPTY_OBJECT)).otherwise(
-                request_message(F.lit("unreadable body"))
-            ),
-        )
-        .otherwise(response if blank is None else F.coalesce(blank, response))
+        .when(outcome.isin("http_error", "bad_envelope", "no_response"), F.col("_failure"))
     )
+    if dialect.finder == "direct_first":
+        raw = raw.when(outcome == "not_object", _not_object_message())
+    if dialect.typed:
+        raw = raw.when(response == "", fv.NO_ANSWER)
+    return raw.otherwise(response)
 
 
 def _page_message(page_no: int) -> Column:

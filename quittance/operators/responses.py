@@ -23,16 +23,19 @@ def request_message(reason: Column) -> Column:
     return F.concat(F.lit(fv.REQUEST_MESSAGE.replace("{reason}", "")), reason)
 
 
-def check_status(responses: DataFrame, only_200: bool) -> DataFrame:
-    """Add ``status_error``: the message of a failed response, else NULL."""
-    status, body = F.col("status"), F.col("body")
-    text = status_message(status, body) if only_200 else request_message(_reason(status))
-    return responses.withColumn("status_error", F.when(status_failed(status, only_200), text))
+def http_message(status: Column, body: Column, only_200: bool) -> Column:
+    """The message of a failed response."""
+    if only_200:
+        return status_message(status, body)
+    side = F.when(status < 500, " Client Error").otherwise(" Server Error")
+    return request_message(F.concat(status.cast("string"), side))
 
 
-def _reason(status: Column) -> Column:
-    side = F.when(status < 500, " Client Error").otherwise(" Server Error")
-    return F.concat(status.cast("string"), side)
+def check_status(responses: DataFrame, only_200: bool) -> DataFrame:
+    """Add ``status_error``: the message of a failed response, else NULL."""
+    status = F.col("status")
+    message = http_message(status, F.col("body"), only_200)
+    return responses.withColumn("status_error", F.when(status_failed(status, only_200), message))
 
 
 def parse_envelope(responses: DataFrame, body: str = "body") -> DataFrame:

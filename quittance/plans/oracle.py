@@ -595,6 +595,15 @@ SELECT doc_id, file_name, outcome, {field_columns} FROM rows""",
 SELECT doc_id, file_name, outcome, {field_columns}, ocr_text, raw_response FROM rows""",
         "outcome_policy_ba": f"""WITH {_INVOICE}, {_rows('typed')}
 SELECT doc_id, file_name, outcome, {field_columns}, raw_response FROM rows""",
+        "process_documents": f"""WITH {_INVOICE}, called AS (
+  SELECT *, CASE WHEN doc_id % 13 = 5 THEN 'render_error' WHEN doc_id % 13 = 6 THEN 'page_missing'
+    WHEN {_BLANK} THEN 'empty_text' WHEN {_FAILS} THEN 'no_response' ELSE 'missing_fields' END AS outcome
+  FROM invoice)
+SELECT doc_id, outcome, {_columns({name: f"""CASE WHEN outcome = 'missing_fields' THEN {expr}
+    WHEN outcome IN ('page_missing', 'no_response') THEN {quoted(fv.ERROR)} ELSE {quoted(fv.NOT_FOUND)} END"""
+    for name, expr in {'invoice_no': 'number', 'invoice_date': 'day_text', 'gross_amount': german('gross_c'),
+                       'supplier': quoted(fv.NOT_FOUND)}.items()})},
+  CASE WHEN doc_id % 13 IN (5, 6) THEN '' ELSE {_RECEIPT} END AS ocr_text FROM called""",
         "report_skipped": f"""WITH {_INVOICE}
 SELECT doc_id, CASE WHEN doc_id % 6 = 1 THEN 'no_text' ELSE 'no_info' END AS reason FROM invoice
 WHERE doc_id % 6 = 1 OR doc_id % 4 IN (2, 3)""",

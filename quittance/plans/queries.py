@@ -539,6 +539,19 @@ def outcome_policy_ba(spark, sf):
     return _outcome_rows(spark, sf, an.TYPED).drop("path", "category", "ocr_text")
 
 
+@query
+def process_documents(spark, sf):
+    """Receipt texts through prompt, model and outcome rows."""
+    key = F.col("doc_id")
+    state = F.when(key % 13 == 5, "render_error").when(key % 13 == 6, "page_missing")
+    texts = d.receipt_texts(spark, sf).select(
+        "doc_id", F.concat("category", F.lit("/"), "number", F.lit(".pdf")).alias("path"), state.alias("input_state"),
+        F.lit(None).cast("string").alias("input_error"), F.when(state.isNull(), F.col("text")).alias("ocr_text"),
+    )
+    rows = outcomes.process_documents(texts, sample_model.json_reader, an.MARKED, parallel_calls=1)
+    return rows.select("doc_id", "outcome", "invoice_no", "invoice_date", "gross_amount", "supplier", "ocr_text")
+
+
 @query
 def report_skipped(spark, sf):
     key = F.col("doc_id")

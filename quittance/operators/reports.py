@@ -149,12 +149,15 @@ def otsu_threshold(points: DataFrame, group: str, value: str) -> DataFrame:
     return sums.groupBy(group).agg(best.alias("threshold"))
 
 
-def binarize(points: DataFrame, thresholds: DataFrame, group: str, value: str) -> DataFrame:
+def binarize(points: DataFrame, thresholds: DataFrame, group: str, value: str, salts: int = 16) -> DataFrame:
     """255 above the group's threshold, else 0.
 
-    No broadcast hint: thresholds hold one row per image, which may be many.
-    Spark broadcasts them when they are measured to be small, and otherwise
-    splits large groups (adaptive skew join).
+    Thresholds hold one row per image, which may be too many to broadcast; Spark
+    decides by their measured size. For the shuffled join every threshold is
+    repeated per salt and points are salted by the input partition they come
+    from, so that an image with most of the points is spread over ``salts`` tasks.
     """
     bit = F.when(F.col(value) > F.col("threshold"), 255).otherwise(0)
-    return points.join(thresholds, group).withColumn("bit", bit).drop("threshold")
+    salted = points.withColumn("_salt", F.spark_partition_id() % salts)
+    repeated = thresholds.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(repeated, [group, "_salt"]).select(*points.columns, bit.alias("bit"))

@@ -154,6 +154,24 @@ def test_grey_values(spark):
     assert bits[("few", 0)] == 50 and bits[("few", 255)] == 50 and bits[("white", 0)] == 500
 
 
+def test_one_large_image_is_spread_over_tasks(spark):
+    rows = [("gross" if i % 3 else f"k{i}", i % 256) for i in range(20000)]
+    frame = spark.createDataFrame(rows, "image string, grey int").repartition(16)
+    thresholds = reports.otsu_threshold(frame, "image", "grey")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        bits = reports.binarize(frame, thresholds, "image", "grey")
+        assert "SortMergeJoin" in bits._jdf.queryExecution().executedPlan().toString()
+        sizes = [row["count"] for row in bits.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sum(sizes) == len(rows) and max(sizes) < len(rows) / 2
+
+
 def test_vat_rules(spark):
     lines = spark.createDataFrame(
         [(1, 7, 10), (1, 19, 30), (1, 7, 5), (2, 7, 1), (2, 19, 2), (3, 0, 0)], "doc_id int, rate_pct int, vat_c int"

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quittance.llm import bpe
+from quittance.llm import bpe, decontaminate, exact_dedup, line_dedup, quality, toxicity, warc
 from quittance.llm.tables import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,3 +23,117 @@ def query(fn: Query) -> Query:
 def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No SQL: merges by rank are iterative.  Tested against the public tokenizer library."""
     return bpe.round_trip_digests(load(spark, sf_dir, "documents"), bpe.default_ranks())
+
+
+@query
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+    return found.drop("items", "spans")
+
+
+ORACLE_SQL["op5_decontaminate"] = r"""
+WITH doc AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), item AS (
+    SELECT item_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), pattern AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS words
+    FROM (SELECT *, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM item WHERE len(w) > 0)
+), place AS (
+    SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS words
+    FROM (
+        SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM doc, (SELECT DISTINCT n FROM pattern) WHERE len(w) >= n
+    )
+), hit AS (
+    SELECT doc_id, item_id, i, n FROM place JOIN pattern USING (n, words)
+), covered AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id
+), named AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+@query
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_groups(load(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op6_exact_dedup"] = r"""
+WITH normal AS (
+    SELECT doc_id, length(coalesce(text, '')) AS n_chars,
+           sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+    FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+       row_number() OVER best = 1 AS kept, text_sha256
+FROM normal
+WINDOW best AS (PARTITION BY text_sha256 ORDER BY n_chars DESC, doc_id)
+"""
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No SQL: a trained model.  Tested by held-out accuracy."""
+    return toxicity.scores(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No SQL: a trained model.  Tested by held-out accuracy."""
+    return quality.scores(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+@query
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(load(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLE_SQL["op10_line_dedup"] = r"""
+WITH line AS (
+    SELECT doc_id, i, s[i] AS line,
+           regexp_replace(
+               translate(s[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS key
+    FROM (
+        SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents)
+    )
+), frequent AS (
+    SELECT key FROM line WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+)
+SELECT doc_id, count(*) AS n_lines, count(frequent.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE frequent.key IS NULL), '')) AS kept_sha256
+FROM line LEFT JOIN frequent USING (key) GROUP BY doc_id
+"""
+
+
+@query
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.archived(load(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE_SQL["op8_warc"] = r"""
+WITH page AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), best AS (
+    SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM page
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND first_id <> page_id THEN first_id END AS refers_to
+FROM best
+"""

@@ -20,3 +20,11 @@ def kept(frame: DataFrame, name: str) -> DataFrame:
     path = new_folder(frame.sparkSession, name)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def free_name(frame: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of the frame has it (Spark ignores case)."""
+    taken = {column.lower() for column in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -1,32 +1,57 @@
 """A corpus run: reject poor documents, drop copies and near copies, drop leaks of the benchmark, encode.
 
 Every stage takes (spark, docs, sf_dir) and works on all documents that the stage
-before it kept.  All but the last return the columns of ``documents``.
+before it kept.  All but the last return the columns of ``documents``; each result
+is written as Parquet and read again for the next stage.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quittance.llm import bpe
+from quittance.llm import bpe, decontaminate, exact_dedup, near_dedup, quality
 from quittance.llm.tables import kept, load
 
 
+def reject_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality classifier (operator 7), fitted on the labelled documents; those that it rejects go."""
+    return quality.without_rejected(docs, load(spark, sf_dir, "labels"))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Exact dedup (operator 6): of equal texts the longest one stays."""
+    return exact_dedup.without_copies(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """ProbMinHash near-dedup (operator 9): of each group the document with the smallest id stays."""
+    return near_dedup.without_near_copies(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination (operator 5): documents with a passage of a test item go."""
+    return decontaminate.without_contaminated(docs, load(spark, sf_dir, "benchmark"))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE (operator 1): token count and digests of the tokens and of the text decoded from them."""
     return bpe.round_trip_digests(docs, bpe.default_ranks())
 
 
 STAGES = [
+    ("quality", reject_poor),
+    ("exact dedup", drop_copies),
+    ("near dedup", drop_near_copies),
+    ("decontamination", drop_leaks),
     ("bpe", encode),
 ]
 
-# Models and merges are beyond SQL; the stages are tested against brute-force versions.
+# Models, signatures and merges are beyond SQL; the stages are tested against brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = kept(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = kept(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return docs

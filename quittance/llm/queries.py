@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quittance.llm import bpe, decontaminate, exact_dedup, line_dedup, quality, toxicity, warc
+from quittance.llm import bpe, decontaminate, exact_dedup, line_dedup, near_dedup, quality, suffix_dedup, superkmer, toxicity, warc
 from quittance.llm.tables import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,3 +137,47 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 1000 AND first_id <> page_id THEN first_id END AS refers_to
 FROM best
 """
+
+
+@query
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No SQL: signatures are random.  Tested against all pairs by brute force."""
+    return near_dedup.groups(load(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "kept")
+
+
+@query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No SQL: every byte of the corpus starts a string.  Tested against brute force."""
+    found = suffix_dedup.repeated_strings(load(spark, sf_dir, "documents")).per_document()
+    return found.select(
+        "doc_id", F.col("n_tokens").alias("n_bytes"), "n_removed", F.coalesce(F.size("spans"), F.lit(0)).cast("long").alias("n_spans"), "kept_sha256"
+    )
+
+
+@query
+def op4_superkmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = superkmer.repeated_windows(load(spark, sf_dir, "documents")).per_document()
+    return found.select("doc_id", F.col("n_tokens").alias("n_words"), "n_removed", "kept_sha256")
+
+
+ORACLE_SQL["op4_superkmer_dedup"] = r"""
+WITH doc AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), place AS (
+    SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS words
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM doc WHERE len(w) >= 50)
+), first AS (
+    SELECT words, min(doc_id) AS doc_id FROM place GROUP BY words
+), gone AS (
+    SELECT DISTINCT place.doc_id, unnest(range(i, i + 50)) AS p
+    FROM place JOIN first USING (words) WHERE first.doc_id < place.doc_id
+), word AS (
+    SELECT doc_id, p, w[p] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM doc)
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS words FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+), removed AS (
+    SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(words, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)
+"""

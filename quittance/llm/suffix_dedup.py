@@ -61,8 +61,10 @@ def suffix_array(symbols: np.ndarray, depth: int) -> np.ndarray:
 def short_prefix_borders(symbols: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
     """True at i if suffixes i - 1 and i of the array share fewer than ``length`` symbols.
 
-    Symbol 0 separates strings and is never extended over, so that the answer holds
-    for suffixes with ``length`` symbols before their separator.
+    Symbol 0 separates strings and is never extended over.  The border behind a suffix
+    that ends at its separator may therefore stay open, but two suffixes with
+    ``length`` symbols before their separators always have a border between them if
+    these differ.
     """
     n = len(order)
     transform = symbols[order - 1]  # the first suffix is preceded by the last, a separator

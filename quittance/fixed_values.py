@@ -40,6 +40,14 @@ STATUS_MESSAGE = "Fehler: {status} - {body}"
 REQUEST_MESSAGE = "API-Anfragefehler: {reason}"
 PAGE_MESSAGE = "PDF {path} hat keine Seite {page} oder konnte nicht gelesen werden."
 NOT_OBJECT_MESSAGE = "'{type}' object has no attribute 'get'"
+NOT_TEXT_MESSAGE = "'{type}' object has no attribute 'strip'"
+NOT_SLICED_MESSAGE = "'{type}' object is not subscriptable"
+DICT_SLICED_MESSAGE = "unhashable type: 'slice'"
+
+# -- fences around a JSON answer --
+OPENING_FENCE = r"^```(?:json)?\s*"
+CLOSING_FENCE = "```"
+FENCED_OBJECT_PATTERN = r"(?sU)^(?>.*?```(?:json)?\s*+(?=\{))(\{.*?\})\s*+```"
 
 # -- labelled lines, in the order in which a line is tested --
 LINE_LABELS = [
@@ -58,7 +66,7 @@ POSITION_LABELS = [
 # -- field patterns of the regex parser (Unicode classes, "." stops at \n) --
 AMOUNT_PATTERN = r"(?Ud)Betrag:\s*([\d,]+(?:\s?€)?)"
 VAT_RATE_PATTERN = r"(?Ud)MwSt:\s*([\d,]+)%?"
-PRODUCT_PATTERN = r"(?Ud)Produktbezeichnung:\s*(.*?)\n"
+PRODUCT_LABEL = "Produktbezeichnung:"
 FILE_NAME_PATTERN = r"(?Ud)Dateiname:\s*(\S+\.pdf)"
 DATE_PATTERN = r"(?Ud)\b(\d{2}\.\d{2}\.\d{4})\b"
 SPARSE_KEYS = ["Betrag", "MwSt", "Produktbezeichnung", "Dateiname", "Datum"]

@@ -9,47 +9,63 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quittance.functions.scalars import parse_german_date, parse_german_float
+from quittance import fixed_values as fv
+from quittance.functions.scalars import float_text, parse_german_date, parse_german_float
 from quittance.session import use_last_duplicate_key
 
-# Closing mark put behind a candidate. Text that contains it is refused, so no
-# candidate can fake it.
-_END = "#quittance-end-of-candidate#"
-
 
 def with_strict_json(rows: DataFrame, text: Column, name: str) -> DataFrame:
     """Add ``name``: the whole text as one JSON value (VARIANT), or NULL.
 
     Spark's parser stops after the first value and ignores what follows. The
     text is therefore parsed as the first element of an array whose second
-    element is a known mark; any trailing text breaks or displaces the mark.
+    element is a known mark; any trailing text breaks or displaces the mark. The
+    mark is a digest of the text, which no text can hold.
 
     Takes and gives a DataFrame because the parse needs a projection of its own:
     inside one CASE, Spark would parse for the condition and again for the value.
     """
     use_last_duplicate_key(rows.sparkSession)
-    safe = F.when(~F.contains(text, F.lit(_END)), text)
-    wrapped = F.try_parse_json(F.concat(F.lit("["), safe, F.lit(f',"{_END}"]')))
-    marked = F.try_variant_get("_wrapped", "$[1]", "string") == _END
+    mark = F.sha2(text.cast("binary"), 256)
+    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')))
+    marked = F.try_variant_get("_wrapped", "$[1]", "string") == mark
     value = F.when(marked, F.try_variant_get("_wrapped", "$[0]", "variant"))
     return rows.withColumn("_wrapped", wrapped).withColumn(name, value).drop("_wrapped")
 
 
 def widest_object(text: Column) -> Column:
     """From the first ``{`` to the last ``}`` after it; empty without such a pair."""
-    return F.regexp_extract(text, r"(?s)\{.*\}", 0)
+    tail = F.substr(text, F.instr(text, "{"))
+    behind = F.length(F.substring_index(tail, "}", -1))  # all of it if there is no }
+    return F.when(F.contains(text, F.lit("{")), F.substr(tail, F.lit(1), F.length(tail) - behind)).otherwise(
+        F.when(text.isNotNull(), "")
+    )
 
 
 def without_fence(text: Column, ignore_case: bool = False) -> Column:
     """Drop a leading fence (with or without ``json``) and a trailing one."""
     flags = "(?iU)" if ignore_case else "(?U)"
-    opened = F.regexp_replace(text, rf"{flags}^```(?:json)?\s*", "")
-    return F.regexp_replace(opened, r"(?U)\s*```$", "")
+    opened = F.regexp_replace(text, flags + fv.OPENING_FENCE, "")
+    fence = F.lit(fv.CLOSING_FENCE)
+
+    def without(end: str) -> Column:
+        inner = F.substr(opened, F.lit(1), F.length(opened) - len(fv.CLOSING_FENCE + end))
+        return F.concat(F.rtrim(inner, F.lit(fv.WHITESPACE)), F.lit(end))
+
+    return (
+        F.when(F.endswith(opened, fence), without(""))
+        .when(F.endswith(opened, F.lit(fv.CLOSING_FENCE + "\n")), without("\n"))
+        .otherwise(opened)
+    )
 
 
 def fenced_object(text: Column) -> Column:
-    """The first object that fills a whole fenced block; empty if there is none."""
-    return F.regexp_extract(text, r"(?sU)```(?:json)?\s*(\{.*?\})\s*```", 1)
+    """The first object that fills a whole fenced block; empty if there is none.
+
+    The first opening in front of a brace decides: what closes a later one would
+    close it too. The pattern never returns to it, so the search is linear.
+    """
+    return F.regexp_extract(text, fv.FENCED_OBJECT_PATTERN, 1)
 
 
 def is_object_text(text: Column) -> Column:
@@ -85,11 +101,17 @@ def is_string(value: Column) -> Column:
 
 
 def shown_text(kind: Column, text: Column) -> Column:
-    """A field as text, JSON numbers as Python prints them."""
-    decimal = F.when(F.contains(text, F.lit(".")), text).otherwise(F.concat(text, F.lit(".0")))
+    """A field as text, JSON numbers as Python prints them.
+
+    Whole numbers of more than 64 bits are decimals too, with 19 digits or more
+    and no scale; decimals with fewer digits come from a number with a point.
+    """
+    large_whole = kind.rlike(r"^DECIMAL\((19|[23]\d),0\)$")
+    decimal = F.startswith(kind, F.lit("DECIMAL")) | (kind == "DOUBLE")
     return (
         F.when(kind == "STRING", text)
-        .when(F.startswith(kind, F.lit("DECIMAL")), decimal)
+        .when(large_whole, text)
+        .when(decimal, float_text(text.try_cast("double")))
         .when(kind == "BOOLEAN", F.initcap(text))
         .otherwise(text)
     )

@@ -66,8 +66,12 @@ def regex_vat_rate(text: Column) -> Column:
 
 
 def regex_product(text: Column) -> Column:
-    found = strip(F.regexp_extract(text, fv.PRODUCT_PATTERN, 1))
-    return limit_description(F.when(text.rlike(fv.PRODUCT_PATTERN), found))
+    """The first line with text behind the label; it has to end with a line feed."""
+    behind = F.substr(text, F.instr(text, fv.PRODUCT_LABEL) + F.lit(len(fv.PRODUCT_LABEL)))
+    line = F.ltrim(behind, F.lit(fv.WHITESPACE))
+    ended = F.lit("\n")
+    found = F.when(F.contains(line, ended), strip(F.substring_index(line, "\n", 1))).when(F.contains(behind, ended), "")
+    return limit_description(F.when(F.contains(text, F.lit(fv.PRODUCT_LABEL)), found))
 
 
 def regex_filename(text: Column) -> Column:
@@ -103,14 +107,22 @@ def strip_first_tag(text: Column) -> Column:
 
 
 def tags_to_fields(text: Column) -> Column:
-    """``<s_key>value</s_key>`` pairs as a map; a repeated key keeps its last value."""
-    pattern = F.lit(r"(?s)<s_([^>]+)>(.*?)</s_\1>")
-    keys = F.reverse(F.regexp_extract_all(text, pattern, F.lit(1)))
-    values = F.reverse(F.regexp_extract_all(text, pattern, F.lit(2)))
+    """``<s_key>value</s_key>`` pairs as a map; a repeated key keeps its last value.
+
+    A value ends at the next tag, so that tags without an end cost no search.
+    """
+    pattern = F.lit(r"(?s)<s_([^<>]+)>(?:[^<]|<(?!/?s_))*+</s_\1>")
+    pairs = F.reverse(F.regexp_extract_all(text, pattern, F.lit(0)))
+    key_of = lambda pair: F.substring_index(F.substr(pair, F.lit(4)), ">", 1)
+    keys = F.transform(pairs, key_of)
     names = F.array_distinct(keys)
-    return F.map_from_arrays(
-        names, F.transform(names, lambda name: strip(F.get(values, F.array_position(keys, name).cast("int") - 1)))
-    )
+
+    def value(name: Column) -> Column:
+        pair = F.get(pairs, F.array_position(keys, name).cast("int") - 1)
+        begin = F.length(name) + 5  # behind <s_name>
+        return strip(F.substr(pair, begin, F.length(pair) - begin + 1 - (F.length(name) + 5)))
+
+    return F.map_from_arrays(names, F.transform(names, value))
 
 
 def span_decode(start: Column, end: Column, tokens: Column) -> Column:

@@ -69,13 +69,20 @@ def null_prompt_sentinels(text: Column) -> Column:
 
 
 def float_text(number: Column) -> Column:
-    """A DOUBLE as Python prints it: no exponent between 1e-4 and 1e16."""
+    """A DOUBLE as Python prints it: no exponent between 1e-4 and 1e16, else one of two digits and a sign."""
     text = number.cast("string")
     fixed = F.regexp_replace(text.try_cast("decimal(38,20)").cast("string"), r"(\.\d+?)0+$", "$1")
     size = F.abs(number)
-    return F.when(
-        ((size >= 1e7) & (size < 1e16)) | ((size >= 1e-4) & (size < 1e-3)), fixed
-    ).otherwise(text)
+    digits, power = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", ""), F.substring_index(text, "E", -1)
+    sign, places = F.when(F.startswith(power, F.lit("-")), "-").otherwise("+"), F.ltrim(power, F.lit("-"))
+    short = F.when(F.length(places) < 2, F.concat(F.lit("0"), places)).otherwise(places)
+    return (
+        F.when(F.isnan(number), "nan")
+        .when(size == float("inf"), F.when(number > 0, "inf").otherwise("-inf"))
+        .when(((size >= 1e7) & (size < 1e16)) | ((size >= 1e-4) & (size < 1e-3)), fixed)
+        .when(F.contains(text, F.lit("E")), F.concat(digits, F.lit("e"), sign, short))
+        .otherwise(text)
+    )
 
 
 def base64_encode(content: Column) -> Column:

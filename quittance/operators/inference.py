@@ -9,10 +9,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quittance import fixed_values as fv
-from quittance.functions.labels import regex_amount, regex_date, regex_filename, regex_product, regex_vat_rate
-from quittance.operators.requests import AMOUNT_INSTRUCTION, DATE_INSTRUCTION, build_prompt, fill_template
+from quittance.functions.labels import (
+    label_record, regex_amount, regex_date, regex_filename, regex_product, regex_vat_rate, sparse_record,
+)
+from quittance.functions.scalars import sidecar_filename
+from quittance.operators.requests import AMOUNT_INSTRUCTION, DATE_INSTRUCTION, build_prompt, fill_template, is_blank
+from quittance.operators.responses import trimmed_content
 
 Ask = Callable[[str], str]
+AskHttp = Callable[[str], tuple[int | None, str | None]]
 
 
 def apply_inference(
@@ -29,16 +34,43 @@ def apply_inference(
     ``connect`` runs once per task and returns the function that is called per
     prompt, up to ``parallel_calls`` at a time. Only the prompt column travels to Python; all others stay in the
     JVM. The call counts as non-deterministic, so Spark neither repeats it nor
-    moves filters through it. ``tasks`` bounds how many tasks call at a time.
+    moves filters through it. ``tasks`` bounds how many tasks call at a time; it only
+    merges input parts, so no row is moved.
     Executors must be able to import what ``connect`` uses. Lost executors repeat their calls: write the result to a table before
     building on it, and attach that with ``join_responses``.
     """
+    called = _called(requests, connect, prompt, "answer string, error string", tasks, parallel_calls)
+    return called.select(
+        *[c for c in requests.columns if c not in (answer, error)],
+        F.col("_call.answer").alias(answer), F.col("_call.error").alias(error),
+    )
+
+
+def apply_http(
+    requests: DataFrame, connect: Callable[[], AskHttp], prompt: str = "prompt", tasks: int | None = None,
+    parallel_calls: int = fv.PARALLEL_CALLS,
+) -> DataFrame:
+    """The same for a function that returns ``(status, body)``; adds ``status``, ``body`` and ``error``.
 
-    def one_call(ask: Ask, text: str) -> tuple[str | None, str | None]:
+    ``outcomes.outcome_rows`` reads the first two; a failed call has neither.
+    """
+    called = _called(requests, connect, prompt, "status int, body string, error string", tasks, parallel_calls)
+    return called.select(*[c for c in requests.columns if c not in ("status", "body", "error")], "_call.*")
+
+
+def _called(
+    requests: DataFrame, connect: Callable[[], Callable], prompt: str, schema: str, tasks: int | None, parallel_calls: int
+) -> DataFrame:
+    """Add ``_call``, a struct of what the function returned, with the error text as its last field."""
+    names = [field.split()[0] for field in schema.split(", ")]
+    empty = (None,) * (len(names) - 1)
+
+    def one_call(ask: Callable, text: str) -> tuple:
         try:
-            return ask(text), None
+            found = ask(text)
+            return (*(found if len(empty) > 1 else (found,)), None)
         except Exception as problem:  # noqa: BLE001 - any failure belongs to its row
-            return None, str(problem)
+            return (*empty, str(problem))
 
     def call(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         ask = connect()
@@ -47,32 +79,34 @@ def apply_inference(
             for prompts in batches:
                 present = prompts.notna()
                 results = list(run(lambda text: one_call(ask, text), prompts[present]))
-                found = pd.DataFrame(
-                    results, columns=["answer", "error"], index=prompts.index[present], dtype=object
-                )
+                found = pd.DataFrame(results, columns=names, index=prompts.index[present], dtype=object)
                 yield found.reindex(prompts.index)
 
     call.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-    udf = F.pandas_udf(call, "answer string, error string").asNondeterministic()
-    spread = requests.repartition(tasks) if tasks else requests
-    return spread.withColumn("_call", udf(F.col(prompt))).select(
-        *[c for c in requests.columns if c not in (answer, error)],
-        F.col("_call.answer").alias(answer), F.col("_call.error").alias(error),
-    )
+    udf = F.pandas_udf(call, schema).asNondeterministic()
+    spread = requests.coalesce(tasks) if tasks else requests
+    return spread.withColumn("_call", udf(F.col(prompt)))
 
 
-def join_responses(requests: DataFrame, responses: DataFrame, key: str = "request_id") -> DataFrame:
+def join_responses(
+    requests: DataFrame, responses: DataFrame, key: str = "request_id", response: str = "response", order: str | None = None
+) -> DataFrame:
     """Attach answers computed earlier; ``no_response`` marks requests without one.
 
+    One row per request: of several answers to a key the first one counts, by
+    ``order`` or else by their text; a stored answer that is NULL counts where there is no other.
+
     Both sides are shuffled on the key unless one is small: leave payloads with
     images out of ``requests``.
     """
-    found = responses.withColumn("_found", F.lit(True))
-    return (
-        requests.join(found, key, "left")
-        .withColumn("response_state", F.when(F.col("_found"), "ok").otherwise("no_response"))
-        .drop("_found")
+    others = [c for c in responses.columns if c not in (key, response, order)]
+    first = F.struct(F.col(response).isNull().alias("_none"), *([order] if order else []), response, *others)
+    found = (
+        responses.groupBy(key).agg(F.min(first).alias("_first"))
+        .select(key, *[F.col("_first").getField(c).alias(c) for c in responses.columns if c != key], F.lit(True).alias("_found"))
     )
+    state = F.when(F.col("_found"), "ok").otherwise("no_response")
+    return requests.join(found, key, "left").withColumn("response_state", state).drop("_found")
 
 
 def two_pass_extract(
@@ -105,12 +139,41 @@ def multi_prompt_fields(
 ) -> DataFrame:
     """One call per field on the same text, as two columns: no explode, no pivot.
 
-    A failed call gives an empty answer.
+    Answers lose their outer white space; a failed call gives an empty answer.
     """
     rows = documents
     for name, instruction in (("date", date_instruction), ("amount", amount_instruction)):
         asked = rows.withColumn("_prompt", build_prompt(F.col(text), instruction))
         rows = apply_inference(asked, connect, "_prompt", f"{name}_answer", f"{name}_error", **options).drop("_prompt")
     return rows.withColumns(
-        {f"{name}_answer": F.coalesce(f"{name}_answer", F.lit("")) for name in ("date", "amount")}
+        {f"{name}_answer": trimmed_content(F.col(f"{name}_answer")) for name in ("date", "amount")}
+    )
+
+
+def labelled_sidecars(
+    documents: DataFrame, connect_fields: Callable[[], Ask], connect_name: Callable[[], Ask], fields_prompt: Column,
+    name_prompt: Column, text: str = "text", file_name: str = "file_name", **options,
+) -> DataFrame:
+    """Text to labelled fields to a file name from the same text: ``name`` and ``record`` of each sidecar.
+
+    Documents without text, and those whose first call gives nothing, have no
+    sidecar and no second call. A failed second call gives a fixed name. The
+    first answers are asked for once, also where the result is filtered.
+    """
+    with_text = documents.withColumn("_prompt", F.when(~is_blank(F.col(text)), fields_prompt))
+    first = apply_inference(with_text, connect_fields, "_prompt", "_info", "_info_error", **options)
+    info = trimmed_content(F.col("_info"))
+    second = first.withColumn("_info", info).withColumn("_prompt", F.when(F.col("_info") != "", name_prompt))
+    named = apply_inference(second, connect_name, "_prompt", "_name", "_name_error", **options)
+    generated = trimmed_content(F.col("_name"), fv.UNNAMED_DOCUMENT)
+    return named.filter(F.col("_info") != "").select(
+        sidecar_filename(F.col(file_name)).alias("name"), label_record(F.col(file_name), F.col("_info"), generated).alias("record")
+    )
+
+
+def two_pass_sidecars(extracted: DataFrame, file_name: str = "file_name") -> DataFrame:
+    """``name`` and sparse ``record`` of the documents whose second call gave an answer, from ``two_pass_extract``."""
+    first = F.coalesce("first_answer", F.lit("[]"))
+    return extracted.filter(F.col("second_answer").isNotNull()).select(
+        sidecar_filename(F.col(file_name)).alias("name"), sparse_record(first, F.col("second_answer")).alias("record")
     )

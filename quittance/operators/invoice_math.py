@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quittance.functions.scalars import limit_description
-
 
 def derive_net(net: Column, gross: Column, vat: Column) -> Column:
     """The net amount, or gross minus VAT where it is not given."""
@@ -41,7 +39,10 @@ SUPERMARKET_DEFAULT = "Einkauf"
 
 
 def _mentions(text: Column, words: list[str]) -> Column:
-    return F.lower(text).rlike("|".join(words))
+    found = F.lit(False)
+    for word in words:
+        found = found | F.contains(F.lower(text), F.lit(word))
+    return found
 
 
 def describe_purchase(
@@ -62,8 +63,3 @@ def suggest_filename(product: Column, date: Column) -> Column:
     slug = F.btrim(F.regexp_replace(words, r"[^\p{L}\p{N}]+", "_"), F.lit("_"))
     return F.concat(F.concat_ws("_", F.nullif(slug, F.lit("")), F.date_format(date, "d_M_yyyy")), F.lit(".pdf"))
 
-
-__all__ = [
-    "derive_net", "describe_purchase", "dominant_vat_rate", "limit_description", "main_vat",
-    "suggest_filename", "sum_vat",
-]

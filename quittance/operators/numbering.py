@@ -17,26 +17,33 @@ def sort_by_name(files: DataFrame, name: str = "file_name", category: str | None
 
 
 def number_rows(
-    files: DataFrame, order: Sequence[str], groups: Sequence[str] = (), start: int = 0, number: str = "number"
+    files: DataFrame, order: Sequence[str], groups: Sequence[str] = (), start: int = 0, number: str = "number",
+    folder: str | None = None,
 ) -> DataFrame:
     """``start, start + 1, ...`` in order, anew for each group.
 
     Two passes, so that neither one huge group nor the whole table is sorted in
     one task: (1) range-partition on group and order, sort each partition and
     note the position of every row in it; (2) add how many rows of the group
-    lie in earlier partitions. The first pass is kept with ``checkpoint()``,
-    because range bounds are sampled and a repeated sort could cut elsewhere.
-    Needs ``order`` to be unique within a group.
+    lie in earlier partitions. The first pass is kept, because range bounds are
+    sampled and a repeated sort could cut elsewhere: as a table in ``folder``,
+    which the caller owns and clears, or else with ``checkpoint()``.
+    Needs ``order`` to be unique within a group. NULL is a group like others.
     """
-    shared_folder(files.sparkSession)
+    spark = files.sparkSession
     keys = [*groups, *order]
     placed = (
         files.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .withColumn("_place", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_place", 33))
-        .checkpoint()
     )
+    if folder:
+        placed.write.parquet(folder)
+        placed = spark.read.schema(placed.schema).parquet(folder)
+    else:
+        shared_folder(spark)
+        placed = placed.checkpoint()
     parts = placed.groupBy(*groups, "_part").agg(
         F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_rows")
     )
@@ -45,9 +52,13 @@ def number_rows(
     earlier = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
     position = F.lit(start) + F.col("_before") + F.col("_place") - F.col("_first")
-    return placed.join(offsets.drop("_rows"), [*groups, "_part"]).select(
-        *files.columns, position.cast("bigint").alias(number)
+    renamed = offsets.select(
+        *[F.col(name).alias(f"_g{i}") for i, name in enumerate(groups)], F.col("_part").alias("_of"), "_first", "_before"
     )
+    same = F.col("_part") == F.col("_of")
+    for i, name in enumerate(groups):
+        same = same & F.col(name).eqNullSafe(F.col(f"_g{i}"))
+    return placed.join(renamed, same).select(*files.columns, position.cast("bigint").alias(number))
 
 
 def _renamed(numbered: DataFrame, name: str) -> DataFrame:

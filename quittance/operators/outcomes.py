@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from quittance import fixed_values as fv
 from quittance.functions.scalars import strip
 from quittance.operators.answers import Dialect, parse_answers, project_fields
-from quittance.operators.inference import Ask, apply_inference
+from quittance.operators.inference import Ask, AskHttp, apply_http, apply_inference
 from quittance.operators.requests import build_prompt, skip_empty_text
 from quittance.operators.responses import http_message, parse_envelope, request_message, status_failed
 
@@ -39,6 +39,7 @@ def outcome_rows(documents: DataFrame, dialect: Dialect, page_no: int = 0) -> Da
         F.when(status.isNull(), request_message(F.lit("no response")))
         .when(failed, http_message(status, F.col("body"), dialect.only_status_200))
         .when(state == "no_content", fv.EMPTY_OBJECT)
+        .when(state == "not_text", _content_message(dialect))
         .when(state != "ok", request_message(F.lit("unreadable body")))
     )
     opened = parse_envelope(documents).select("*", early.alias("_early"), failure.alias("_failure"))
@@ -58,19 +59,25 @@ def answer_rows(documents: DataFrame, dialect: Dialect, page_no: int = 0) -> Dat
 
 
 def process_documents(
-    documents: DataFrame, connect: Callable[[], Ask], dialect: Dialect, instruction: str | None = None, **options
+    documents: DataFrame, connect: Callable[[], Ask | AskHttp], dialect: Dialect, instruction: str | None = None,
+    request: Column | None = None, http: bool = False, page_no: int = 0, **options,
 ) -> DataFrame:
-    """Text to outcome rows: prompt, one call per document, parse, fill.
+    """Documents to outcome rows: request, one call per document, parse, fill.
 
-    No call for documents without a page, nor for blank text where the dialect
-    skips it. ``options`` go to ``apply_inference``.
+    The request is a prompt with ``ocr_text``, or what ``request`` says, such as a
+    payload with the page image (see ``requests.image_request``). With ``http`` the
+    caller's function returns ``(status, body)``, whose failures become outcomes too;
+    else it returns the answer. No call for documents without a page, nor for blank
+    text where the dialect skips it. ``options`` go to ``apply_inference``.
     """
-    text = F.coalesce("ocr_text", F.lit(""))
-    prompt = F.when(F.col("input_state").isNull(), build_prompt(text, instruction))
-    asked = documents.withColumn("_prompt", prompt)
-    if not dialect.asks_blank_text:
+    text = build_prompt(F.coalesce("ocr_text", F.lit("")), instruction)
+    asked = documents.withColumn("_prompt", F.when(F.col("input_state").isNull(), text if request is None else request))
+    if not dialect.asks_blank_text and request is None:
         asked = skip_empty_text(asked, "ocr_text", "_prompt")
-    return answer_rows(apply_inference(asked, connect, "_prompt", **options).drop("_prompt"), dialect)
+    if http:
+        called = apply_http(asked, connect, "_prompt", **options).drop("_prompt", "error")
+        return outcome_rows(called, dialect, page_no)
+    return answer_rows(apply_inference(asked, connect, "_prompt", **options).drop("_prompt"), dialect, page_no)
 
 
 def _finish(opened: DataFrame, documents: DataFrame, dialect: Dialect, page_no: int) -> DataFrame:
@@ -111,8 +118,22 @@ def _outcome() -> Column:
 
 
 def _broken_envelope() -> Column:
-    """An unreadable body is an error; JSON of another shape counts as ``{}``."""
-    return (F.col("outcome") == "bad_envelope") & (F.col("envelope_state") == "invalid")
+    """An unreadable body or content is an error; JSON of another shape counts as ``{}``."""
+    return (F.col("outcome") == "bad_envelope") & (F.col("envelope_state") != "no_content")
+
+
+def _content_message(dialect: Dialect) -> Column:
+    """What becomes of a content that is JSON but no string: the error of its first use, a list as it is."""
+    kind, shown = F.col("content_type"), F.col("content_json")
+
+    def naming(message: str) -> Column:
+        before, after = message.split("{type}")
+        return F.concat(F.lit(before), kind, F.lit(after))
+
+    if not dialect.typed:
+        return naming(fv.NOT_TEXT_MESSAGE)
+    whole_list = F.when(shown == "[]", fv.NO_ANSWER).otherwise(shown)
+    return F.when(kind == "list", whole_list).when(kind == "dict", fv.DICT_SLICED_MESSAGE).otherwise(naming(fv.NOT_SLICED_MESSAGE))
 
 
 def _fill(name: str, dialect: Dialect) -> Column:

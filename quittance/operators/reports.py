@@ -43,7 +43,8 @@ def results_map(rows: DataFrame, path: str = "path", text: str = "text") -> Data
     return rows.select(F.col(path), entry.alias("entry"))
 
 
-def _shown(name: str, dtype: str) -> Column:
+def _shown(name: str, dtype: str, failed: Column | None = None) -> Column:
+    """A value as the sheet holds it; typed fields of failed rows hold the error mark."""
     value = F.col(name)
     if dtype == "double":
         text = float_text(value)
@@ -51,20 +52,23 @@ def _shown(name: str, dtype: str) -> Column:
         text = F.date_format(value, "yyyy-MM-dd HH:mm:ss")
     else:
         text = value.cast("string")
-    return F.coalesce(text, F.lit("None"))
+    shown = F.coalesce(text, F.lit("None"))
+    return shown if failed is None or dtype not in ("double", "date") else F.when(failed, fv.ERROR).otherwise(shown)
 
 
 def column_width_profile(
-    rows: DataFrame, columns: Sequence[tuple[str, str]], groups: Sequence[str] = ("category",)
+    rows: DataFrame, columns: Sequence[tuple[str, str]], groups: Sequence[str] = ("category",), outcome: str = "outcome"
 ) -> DataFrame:
     """Per group and column: longest text including the header, plus padding.
 
     ``columns`` pairs each column with its header; the last one is capped. One
-    aggregation with one row per group, then turned into rows.
+    aggregation with one row per group, then turned into rows. Without a column
+    ``outcome`` no row counts as failed.
     """
     types = dict(rows.dtypes)
+    failed = ~_success(outcome) if outcome in types else None
     longest = [
-        F.greatest(F.lit(len(header)), F.max(F.length(_shown(name, types[name])))).alias(f"_w{i}")
+        F.greatest(F.lit(len(header)), F.max(F.length(_shown(name, types[name], failed)))).alias(f"_w{i}")
         for i, (name, header) in enumerate(columns)
     ]
     entries = []
@@ -114,16 +118,16 @@ def histogram(points: DataFrame, group: str, value: str) -> DataFrame:
 def mean_gate(points: DataFrame, group: str, value: str) -> DataFrame:
     """Per group: mean, points darker than a share of it, and whether to act.
 
-    The points are read once; mean and count both come from the histogram.
+    Mean and count come from the histogram; both are sums that combine before
+    they move, for any numeric column and however many values a group has.
     """
     counts = histogram(points, group, value)
-    whole = Window.partitionBy(group)
-    mean = F.sum(F.col(value) * F.col("n")).over(whole) / F.sum("n").over(whole)
+    means = counts.groupBy(F.col(group).alias("_of")).agg((F.sum(F.col(value) * F.col("n")) / F.sum("n")).alias("mean"))
     dark = F.sum(F.when(F.col(value) < F.col("mean") * fv.DARK_FACTOR, F.col("n")).otherwise(0))
     return (
-        counts.withColumn("mean", mean)
-        .groupBy(group)
-        .agg(F.first("mean").alias("mean"), dark.alias("dark_points"))
+        counts.join(means, F.col(group).eqNullSafe(F.col("_of")))
+        .groupBy(group, "mean")
+        .agg(dark.alias("dark_points"))
         .withColumn("act", (F.col("mean") < fv.WHITE_MEAN) & (F.col("dark_points") > fv.MIN_DARK_POINTS))
     )
 
@@ -149,15 +153,29 @@ def otsu_threshold(points: DataFrame, group: str, value: str) -> DataFrame:
     return sums.groupBy(group).agg(best.alias("threshold"))
 
 
-def binarize(points: DataFrame, thresholds: DataFrame, group: str, value: str, salts: int = 16) -> DataFrame:
-    """255 above the group's threshold, else 0.
+def salts_for(points: DataFrame, group: str, value: str) -> int:
+    """How many tasks of a shuffled join the group with the most points deserves, by its share of all points."""
+    sizes = histogram(points, group, value).groupBy(group).agg(F.sum("n").alias("rows"))
+    largest, total = sizes.agg(F.max("rows"), F.sum("rows")).first()
+    tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, -(-largest * tasks // total)) if total else 1
+
+
+def binarize(points: DataFrame, thresholds: DataFrame, group: str, value: str, salts: int | None = None) -> DataFrame:
+    """255 above the group's threshold, else 0. NULL is a group like others.
 
     Thresholds hold one row per image, which may be too many to broadcast; Spark
-    decides by their measured size. For the shuffled join every threshold is
-    repeated per salt and points are salted by the input partition they come
-    from, so that an image with most of the points is spread over ``salts`` tasks.
+    decides by their measured size. For the shuffled join, an image with more than
+    a task's share of the points is spread: every threshold is repeated ``salts``
+    times, and points are salted by the input partition they come from. Without
+    ``salts`` the histogram is made once more to measure it; 1 leaves it to Spark.
     """
+    salts = salts_for(points, group, value) if salts is None else salts
     bit = F.when(F.col(value) > F.col("threshold"), 255).otherwise(0)
-    salted = points.withColumn("_salt", F.spark_partition_id() % salts)
-    repeated = thresholds.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [group, "_salt"]).select(*points.columns, bit.alias("bit"))
+    renamed = thresholds.select(F.col(group).alias("_of"), "threshold")
+    same = F.col(group).eqNullSafe(F.col("_of"))
+    if salts > 1:
+        points = points.withColumn("_salt", F.spark_partition_id() % salts)
+        renamed = renamed.withColumn("_salt_of", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        same = same & (F.col("_salt") == F.col("_salt_of"))
+    return points.join(renamed, same).select(*[c for c in points.columns if c != "_salt"], bit.alias("bit"))

@@ -121,6 +121,24 @@ def build_payload(messages: Column, model: Column, temperature: float, max_token
     )
 
 
+def image_request(base64_image: Column, model: Column, prompt: Column, system: Column | None = None, profile: str = "typed") -> Column:
+    """The request body for one page image: optional system text, then prompt and image.
+
+    A message holds text or parts, and JSON has no column type for either, so the
+    two messages are put together as JSON text.
+    """
+    messages = [F.to_json(message("system", system))] if system is not None else []
+    messages.append(F.to_json(build_multimodal_message(prompt, base64_image)))
+    temperature, max_tokens = request_parameters(profile)
+    rest = F.to_json(
+        F.struct(F.lit(temperature).alias("temperature"), F.lit(max_tokens).alias("max_tokens"), F.lit(False).alias("stream"))
+    )
+    return F.concat(
+        F.regexp_replace(F.to_json(F.struct(model.alias("model"))), r"\}$", ""), F.lit(',"messages":['), F.concat_ws(",", *messages), F.lit("],"),
+        F.substr(rest, F.lit(2)),
+    )
+
+
 def choose_template(format_type: Column, custom: Column | None = None, language: Column | None = None) -> Column:
     """The template of an output format; a custom prompt replaces it.
 

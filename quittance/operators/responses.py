@@ -42,22 +42,32 @@ def parse_envelope(responses: DataFrame, body: str = "body") -> DataFrame:
     """Add ``content`` (``choices[0].message.content``) and ``envelope_state``.
 
     States: ``ok``; ``no_content`` for JSON of another shape; ``invalid`` for a
-    body that is not JSON, or a content that is not a string.
+    body that is not JSON, ``no_body`` for none; ``not_text`` for a content that is
+    not a string, whose Python type and JSON text are in ``content_type`` and
+    ``content_json``.
     """
     parsed = with_strict_json(responses, F.col(body), "_envelope").withColumn(
         "_content", F.try_variant_get("_envelope", "$.choices[0].message.content", "variant")
     )
     kind = F.schema_of_variant("_content")
     state = (
-        F.when(F.col("_envelope").isNull(), "invalid")
+        F.when(F.col(body).isNull(), "no_body")
+        .when(F.col("_envelope").isNull(), "invalid")
         .when(F.col("_content").isNull(), "no_content")
         .when(kind == "STRING", "ok")
-        .otherwise("invalid")
+        .otherwise("not_text")
     )
+    shown = F.coalesce(F.to_json("_content"), F.lit("null"))
+    named = (
+        F.when(kind == "VOID", "NoneType").when(kind == "BOOLEAN", "bool").when(F.startswith(kind, F.lit("ARRAY")), "list")
+        .when(F.startswith(kind, F.lit("OBJECT")), "dict").when(shown.rlike("[.eE]"), "float").otherwise("int")
+    )
+    not_text = F.col("envelope_state") == "not_text"
     return parsed.withColumn("envelope_state", state).select(
         *responses.columns,
         "envelope_state",
         F.when(F.col("envelope_state") == "ok", F.try_variant_get("_content", "$", "string")).alias("content"),
+        F.when(not_text, named).alias("content_type"), F.when(not_text, shown).alias("content_json"),
     )
 
 

@@ -8,11 +8,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quittance import fixed_values as fv
-from quittance.functions.scalars import format_german_amount
+from quittance.functions.scalars import base64_encode, format_german_amount
 from quittance.session import new_folder
 
 CASES = 26
 LABEL_CASES = 8
+# JSON numbers of cases 16 and 17: more than 64 bits, and less than Python shows without an exponent.
+LARGE_NUMBER, SMALL_NUMBER = "12345678901234567890123", "0.00001"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,7 +85,7 @@ def _answer_values() -> list[Column]:
 
 
 def _answer_shapes() -> Column:
-    """The model answer around the plain object, in one of sixteen shapes."""
+    """The model answer around the plain object, in one of eighteen shapes."""
     case, plain = F.col("case_no"), F.col("plain_object")
 
     def swapped(text: Column, key: str, old: Column, new: Column) -> Column:
@@ -110,12 +112,14 @@ def _answer_shapes() -> Column:
         .when(case == 13, F.concat(plain, F.lit(" und "), plain))
         .when(case == 14, F.lit("{ }"))
         .when(case == 15, two_fences)
+        .when(case == 16, swapped(plain, "Rechnungsnummer", F.col("number"), F.lit(LARGE_NUMBER)))
+        .when(case == 17, swapped(plain, "MwSt-Satz", F.col("rate_pct").cast("string"), F.lit(SMALL_NUMBER)))
         .otherwise(plain)
     )
 
 
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Invoices with ``case_no`` and ``response``; cases above 15 answer plainly."""
+    """Invoices with ``case_no`` and ``response``; cases above 17 answer plainly."""
     named = [value.alias(key) for value, (key, _) in zip(_answer_values(), fv.FIELDS)]
     return (
         invoice(spark, sf_dir)
@@ -133,6 +137,7 @@ def envelope(content: Column) -> Column:
 def http_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Answers as HTTP status and body, with the failures of cases 19 to 25."""
     case = F.col("case_no")
+    other = F.get(F.array(*[F.lit(text) for text in ("null", "5", '["x"]', "true")]), F.expr(f"cast(doc_id div {CASES} % 4 as int)"))
     status = (
         F.when(case == 19, 500).when(case == 20, 404).when(case == 25, 202)
         .when(case == 22, F.lit(None).cast("int")).otherwise(200)
@@ -142,7 +147,7 @@ def http_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(case == 21, '{"choices":[]}')
         .when(case == 22, F.lit(None).cast("string"))
         .when(case == 23, "<html>Wartung</html>")
-        .when(case == 24, '{"choices":[{"message":{"role":"assistant","content":null}}]}')
+        .when(case == 24, F.concat(F.lit('{"choices":[{"message":{"role":"assistant","content":'), other, F.lit("}}]}")))
         .otherwise(envelope(F.col("response")))
     )
     return answers(spark, sf_dir).withColumn("status", status).withColumn("body", body)
@@ -162,6 +167,26 @@ def document_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers by request and attempt. Every seventh request was asked twice; orders
+    without line items have no answer."""
+    attempts = F.when(F.col("doc_id") % 7 == 2, F.array(F.lit(2), F.lit(1))).otherwise(F.array(F.lit(1)))
+    given = answers(spark, sf_dir).select(F.col("doc_id").alias("request_id"), "response", F.explode(attempts).alias("attempt"))
+    return given.withColumn("response", F.when(F.col("attempt") == 2, "{}").otherwise(F.col("response")))
+
+
+def page_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as page images (their bytes in Base64), some without one."""
+    key = F.col("doc_id")
+    name = F.concat(F.lit("D-"), key, F.lit(".pdf"))
+    state = F.when(key % 13 == 5, "render_error").when(key % 13 == 6, "page_missing")
+    return documents(spark, sf_dir).select(
+        "doc_id", name.alias("file_name"), F.concat("source", F.lit("/"), name).alias("path"), state.alias("input_state"),
+        F.when(key % 13 == 5, "Bild nicht lesbar").alias("input_error"), F.lit(None).cast("string").alias("ocr_text"),
+        F.when(state.isNull(), base64_encode(F.encode("text", "UTF-8"))).alias("image"),
+    )
+
+
 def label_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Answers as labelled lines, in eight shapes."""
     case = F.col("doc_id") % LABEL_CASES
@@ -307,8 +332,10 @@ def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def grey_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points of images named by flag and line number; the image of seventh lines is not known."""
+    named = F.concat("l_returnflag", F.col("l_linenumber").cast("string"))
     return table(spark, sf_dir, "lineitem").select(
-        F.col("l_returnflag").alias("image"), F.floor("l_quantity").cast("int").alias("grey")
+        F.when(F.col("l_linenumber") != 7, named).alias("image"), F.floor("l_quantity").cast("int").alias("grey")
     )
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from quittance import fixed_values as fv
 from quittance.operators import requests as rq
+from quittance.plans.derived import LARGE_NUMBER, SMALL_NUMBER
 
 _INVOICE = """
 line AS (
@@ -120,10 +121,10 @@ def _texts(absent: str | None) -> dict[str, str]:
     nothing = "NULL" if absent is None else quoted(absent)
     not_found = quoted(fv.NOT_FOUND)
     return {
-        "invoice_no": "number",
+        "invoice_no": f"CASE c WHEN 16 THEN '{LARGE_NUMBER}' ELSE number END",
         "invoice_date": f"CASE c WHEN 8 THEN NULL WHEN 9 THEN {not_found} ELSE day_text END",
         "description": "product",
-        "vat_rate": "CAST(rate_pct AS VARCHAR)",
+        "vat_rate": "CASE c WHEN 17 THEN '1e-05' ELSE CAST(rate_pct AS VARCHAR) END",
         "vat_amount": german("vat_c"),
         "gross_amount": f"CASE c WHEN 8 THEN NULL WHEN 4 THEN {_python_number('gross_c')} ELSE {german('gross_c')} END",
         "net_amount": f"CASE c WHEN 5 THEN {nothing} WHEN 9 THEN {not_found} ELSE {german('net_c')} END",
@@ -208,24 +209,32 @@ RESPONSE = f"""CASE
   WHEN c = 13 THEN {_PLAIN_OBJECT} || ' und ' || {_PLAIN_OBJECT}
   WHEN c = 14 THEN '{{ }}'
   WHEN c = 15 THEN {_FENCED} || {_NL} || {_FENCED}
+  WHEN c = 16 THEN replace({_PLAIN_OBJECT}, '"Rechnungsnummer":' || to_json(number), '"Rechnungsnummer":{LARGE_NUMBER}')
+  WHEN c = 17 THEN replace({_PLAIN_OBJECT}, '"MwSt-Satz":' || to_json(CAST(rate_pct AS VARCHAR)), '"MwSt-Satz":{SMALL_NUMBER}')
   ELSE {_PLAIN_OBJECT} END"""
 
 _PAGE_TEXT = "'PDF ' || category || '/' || number || '.pdf hat keine Seite 0 oder konnte nicht gelesen werden.'"
 _REQUEST = "'API-Anfragefehler: "
 _FAILED = f"""WHEN c = 17 THEN {_PAGE_TEXT} WHEN c = 22 THEN {_REQUEST}no response'
   WHEN c = 19 THEN {_REQUEST}500 Server Error' WHEN c = 20 THEN {_REQUEST}404 Client Error'
-  WHEN c = 21 THEN '{{}}' WHEN c IN (23, 24) THEN {_REQUEST}unreadable body'"""
+  WHEN c = 21 THEN '{{}}' WHEN c = 23 THEN {_REQUEST}unreadable body'"""
+_OTHER = "(doc_id // 26) % 4"
+_OTHER_TYPE = f"(CASE {_OTHER} WHEN 0 THEN 'NoneType' WHEN 1 THEN 'int' WHEN 2 THEN 'list' ELSE 'bool' END)"
+_OTHER_JSON = f"(CASE {_OTHER} WHEN 0 THEN 'null' WHEN 1 THEN '5' WHEN 2 THEN '[\"x\"]' ELSE 'true' END)"
 _RAW = {
     "plain": "NULL",
     "marked": f"""CASE WHEN c = 16 OR c = 18 THEN '' {_FAILED}
+      WHEN c = 24 THEN chr(39) || {_OTHER_TYPE} || chr(39) || ' object has no attribute ' || chr(39) || 'strip' || chr(39)
       WHEN c = 11 THEN '''list'' object has no attribute ''get'''
       WHEN c = 12 THEN '''int'' object has no attribute ''get''' ELSE {RESPONSE} END""",
-    "typed": f"CASE WHEN c = 16 THEN 'Bild nicht lesbar' {_FAILED} ELSE {RESPONSE} END",
+    "typed": f"""CASE WHEN c = 16 THEN 'Bild nicht lesbar' {_FAILED} WHEN c = 24 AND {_OTHER} = 2 THEN {_OTHER_JSON}
+      WHEN c = 24 THEN chr(39) || {_OTHER_TYPE} || chr(39) || ' object is not subscriptable' ELSE {RESPONSE} END""",
 }
 
 _BODY = f"""CASE WHEN c IN (19, 20) THEN 'Störung ' || number WHEN c = 21 THEN '{{"choices":[]}}'
   WHEN c = 23 THEN '<html>Wartung</html>'
-  WHEN c = 24 THEN '{{"choices":[{{"message":{{"role":"assistant","content":null}}}}]}}'
+  WHEN c = 22 THEN NULL
+  WHEN c = 24 THEN '{{"choices":[{{"message":{{"role":"assistant","content":' || {_OTHER_JSON} || '}}}}]}}'
   ELSE '{{"choices":[{{"message":{{"role":"assistant","content":' || to_json({RESPONSE}) || '}}}}]}}' END"""
 _STATUS = "CASE c WHEN 19 THEN 500 WHEN 20 THEN 404 WHEN 25 THEN 202 WHEN 22 THEN NULL ELSE 200 END"
 
@@ -249,7 +258,7 @@ SELECT category, suffix, CAST(sum(bytes) AS BIGINT) AS total_bytes FROM staged W
 def _numbered(condition: str, start: int) -> str:
     return f"""WITH {_MANIFEST}, numbered AS (
   SELECT category, file_name, {start} - 1 + row_number() OVER (PARTITION BY category ORDER BY file_name) AS number
-  FROM manifest WHERE direct AND {condition})
+  FROM (SELECT * REPLACE (CASE WHEN key % 5 <> 1 THEN category END AS category) FROM manifest) WHERE direct AND {condition})
 SELECT *, number || '_' || file_name AS new_name FROM numbered"""
 
 
@@ -359,7 +368,9 @@ _PER_RATE = f"""{_INVOICE}, per_rate AS (
 best AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, rate_pct DESC) AS place FROM per_rate)"""
 
 _OTSU = """
-points AS (SELECT l_returnflag AS image, CAST(floor(l_quantity) AS INTEGER) AS grey FROM lineitem),
+points AS (
+  SELECT CASE WHEN l_linenumber <> 7 THEN l_returnflag || l_linenumber END AS image, CAST(floor(l_quantity) AS INTEGER) AS grey
+  FROM lineitem),
 counts AS (SELECT image, grey, count(*) AS n FROM points GROUP BY ALL),
 sums AS (
   SELECT image, grey, CAST(sum(n) OVER upto AS DOUBLE) AS w0, CAST(sum(n * grey) OVER upto AS DOUBLE) AS s0,
@@ -386,7 +397,10 @@ def _widths() -> str:
     headers = [fv.FILE_HEADER, *[key for key, _ in fv.FIELDS], fv.RAW_HEADER]
     parts = []
     for header, (name, expr) in zip(headers, shown.items()):
-        width = f"greatest({len(header)}, max(length(coalesce({expr}, 'None')))) + {fv.WIDTH_PADDING}"
+        text = f"coalesce({expr}, 'None')"
+        if name == fv.DATE_FIELD or name in fv.AMOUNT_FIELDS:
+            text = f"CASE WHEN outcome IN ('ok', 'missing_fields') THEN {text} ELSE {quoted(fv.ERROR)} END"
+        width = f"greatest({len(header)}, max(length({text}))) + {fv.WIDTH_PADDING}"
         if header == fv.RAW_HEADER:
             width = f"least({width}, {fv.WIDTH_CAP})"
         parts.append(f"SELECT category, {quoted(header)} AS header, CAST({width} AS INTEGER) AS width FROM rows GROUP BY category")
@@ -416,8 +430,9 @@ def _label(values: dict[str, str]) -> str:
 
 
 def oracle_queries() -> dict[str, str]:
-    fallback = f"CASE WHEN c IN (21, 24) OR c IN (19, 20, 23) THEN NULL ELSE {RESPONSE} END"
-    envelope_state = "CASE WHEN c = 21 THEN 'no_content' WHEN c IN (19, 20, 23, 24) THEN 'invalid' ELSE 'ok' END"
+    fallback = f"CASE WHEN c IN (19, 20, 21, 22, 23, 24) THEN NULL ELSE {RESPONSE} END"
+    envelope_state = """CASE WHEN c = 21 THEN 'no_content' WHEN c IN (19, 20, 23) THEN 'invalid' WHEN c = 22 THEN 'no_body'
+      WHEN c = 24 THEN 'not_text' ELSE 'ok' END"""
     long = "product || ' von ' || issuer || ' bestellt, geliefert und bezahlt'"
     field_columns = ", ".join(name for _, name in fv.FIELDS)
     template = "CASE doc_id % 7 " + " ".join(
@@ -444,7 +459,7 @@ FROM rows GROUP BY category, outcome""",
         "scan_pdf_manifest_cs": _scan("NOT deep AND suffix = 'pdf'"),
         "scan_recursive": _scan("suffix IN ('pdf', 'PDF')"),
         "scan_images": _scan("NOT deep AND suffix = 'png'"),
-        "read_bytes": f"WITH {_STAGED} SELECT category, o_orderkey FROM staged WHERE NOT deep AND suffix = 'txt'",
+        "read_bytes": f"WITH {_STAGED} SELECT category, o_orderkey FROM staged",
         "path_exists_guard": f"""WITH {_STAGED}
 SELECT 'listed' AS outcome, CAST(sum(bytes) AS BIGINT) AS total_bytes FROM staged WHERE suffix IN ('pdf', 'PDF')
 UNION ALL SELECT 'input_missing', NULL""",
@@ -494,8 +509,8 @@ SELECT doc_id, text, "left" AS x0, top AS y0, "left" + width AS x1, top + height
             CASE WHEN {_ANSWERED} THEN gross_c / 100.0 END AS gross"""
         ),
         "join_responses": f"""WITH {_INVOICE}
-SELECT o_orderkey AS request_id, CASE WHEN doc_id % 10 <> 4 THEN {RESPONSE} END AS response,
-  CASE WHEN doc_id % 10 <> 4 THEN 'ok' ELSE 'no_response' END AS response_state
+SELECT o_orderkey AS request_id, CASE WHEN doc_id IS NOT NULL THEN {RESPONSE} END AS response,
+  CASE WHEN doc_id IS NOT NULL THEN 'ok' ELSE 'no_response' END AS response_state
 FROM orders LEFT JOIN invoice ON doc_id = o_orderkey""",
         "two_pass_extract": _invoices(
             f"""CASE WHEN {_ANSWERED} THEN 'Gefunden: ' || {_RECEIPT} END AS first_answer,
@@ -521,19 +536,21 @@ FROM orders LEFT JOIN invoice ON doc_id = o_orderkey""",
               WHEN 25 THEN 'Fehler: 202 - ' || {_BODY} END AS strict_error,
             CASE c WHEN 19 THEN {_REQUEST}500 Server Error' WHEN 20 THEN {_REQUEST}404 Client Error' END AS status_error"""
         ),
-        "parse_envelope": _invoices(f"{envelope_state} AS envelope_state, {fallback} AS content") + " WHERE c <> 22",
+        "parse_envelope": _invoices(
+            f"""{envelope_state} AS envelope_state, {fallback} AS content,
+            CASE WHEN c = 24 THEN {_OTHER_TYPE} END AS content_type, CASE WHEN c = 24 THEN {_OTHER_JSON} END AS content_json"""
+        ),
         "envelope_fallback": _invoices(
             f"""coalesce({fallback}, '{{}}') AS as_object, coalesce({_SQL_STRIP.format(fallback)}, '') AS as_text,
             coalesce({_SQL_STRIP.format(fallback)}, {quoted(fv.UNNAMED_DOCUMENT)}) AS as_name,
             coalesce({fallback}, {_BODY}) AS as_body"""
-        )
-        + " WHERE c <> 22",
+        ),
         "extract_json_strip_fence": _extracted("plain"),
         "extract_json_direct_first": _extracted("marked"),
         "extract_json_fenced_block": _extracted("typed"),
         "strict_json": _invoices(
-            """(c IN (2,4,5,8,9,11,12,14) OR c > 15) AS is_json,
-            CASE WHEN c IN (2,4,5,8,9) OR c > 15 THEN number END AS number"""
+            f"""(c IN (2,4,5,8,9,11,12,14) OR c > 15) AS is_json,
+            CASE WHEN c = 16 THEN '{LARGE_NUMBER}' WHEN c IN (2,4,5,8,9) OR c > 15 THEN number END AS number"""
         ),
         "project_fields": f"""WITH {_INVOICE}
 SELECT doc_id, CASE WHEN {_OBJECT['typed']} THEN 'object' WHEN c = 14 THEN 'empty' ELSE 'none' END AS answer_kind,
@@ -604,6 +621,34 @@ SELECT doc_id, outcome, {_columns({name: f"""CASE WHEN outcome = 'missing_fields
     for name, expr in {'invoice_no': 'number', 'invoice_date': 'day_text', 'gross_amount': german('gross_c'),
                        'supplier': quoted(fv.NOT_FOUND)}.items()})},
   CASE WHEN doc_id % 13 IN (5, 6) THEN '' ELSE {_RECEIPT} END AS ocr_text FROM called""",
+        "process_images": f"""WITH sized AS (SELECT doc_id, source, strlen(text) AS n FROM documents), called AS (
+  SELECT *, CASE WHEN doc_id % 13 = 5 THEN 'render_error' WHEN doc_id % 13 = 6 THEN 'page_missing' WHEN n % 7 = 3 THEN 'http_error'
+    WHEN n % 7 IN (4, 5) THEN 'bad_envelope' ELSE 'missing_fields' END AS outcome FROM sized)
+SELECT doc_id, outcome, CASE outcome WHEN 'missing_fields' THEN 'D-' || n ELSE {quoted(fv.ERROR)} END AS invoice_no,
+  CASE outcome WHEN 'missing_fields' THEN DATE '2024-12-05' END AS invoice_date,
+  CASE outcome WHEN 'missing_fields' THEN CAST(n AS DOUBLE) END AS gross_amount,
+  CASE outcome WHEN 'missing_fields' THEN {quoted(fv.NOT_FOUND)} ELSE {quoted(fv.ERROR)} END AS supplier,
+  CASE WHEN outcome = 'render_error' THEN 'Bild nicht lesbar'
+    WHEN outcome = 'page_missing' THEN 'PDF ' || source || '/D-' || doc_id || '.pdf hat keine Seite 2 oder konnte nicht gelesen werden.'
+    WHEN outcome = 'http_error' THEN {_REQUEST}500 Server Error' WHEN n % 7 = 4 THEN {_REQUEST}unreadable body'
+    WHEN n % 7 = 5 THEN chr(39) || 'NoneType' || chr(39) || ' object is not subscriptable'
+    ELSE '```json' || {_NL} || '{{"Rechnungsnummer": "D-' || n || '", "Datum": "05.12.2024", "Gesamtbetrag": "' || n || ',00"}}'
+      || {_NL} || '```' END AS raw_response
+FROM called""",
+        "labelled_sidecars": f"""WITH {_INVOICE}
+SELECT number || '.pdf.json' AS name,
+  '{{"file":"' || number || '.pdf","extracted_info":{{"date":"' || day_text || '","amount":"' || {german('gross_c')}
+  || '","vat":"' || rate_pct || '","description":"' || number || '","generated_filename":"'
+  || CASE WHEN doc_id % 5 = 1 THEN {quoted(fv.UNNAMED_DOCUMENT)} ELSE 'beleg_' || doc_id || '_' || day_text END || '"}}}}' AS record
+FROM invoice WHERE {_ANSWERED}""",
+        "two_pass_sidecars": f"""WITH {_INVOICE}
+SELECT number || '.pdf.json' AS name, CASE WHEN {_ANSWERED} THEN
+  '{{"Betrag":"' || {_CUT_AMOUNT} || '","MwSt":"' || rate_pct || '","Produktbezeichnung":"' || number || '","Dateiname":"' || number
+  || '.pdf","Datum":"' || day_text || '","extracted_text-1":' || to_json('Gefunden: ' || {_RECEIPT}) || ',"response_content-2":'
+  || to_json('Betrag: ' || {german('gross_c')} || {_NL} || 'MwSt: ' || rate_pct || {_NL} || 'Produktbezeichnung: ' || number || {_NL}
+    || 'Dateiname: ' || number || '.pdf' || {_NL} || 'Datum: ' || day_text || {_NL}) || '}}'
+  ELSE '{{"extracted_text-1":"[]","response_content-2":"Keine Angaben"}}' END AS record
+FROM invoice""",
         "report_skipped": f"""WITH {_INVOICE}
 SELECT doc_id, CASE WHEN doc_id % 6 = 1 THEN 'no_text' ELSE 'no_info' END AS reason FROM invoice
 WHERE doc_id % 6 = 1 OR doc_id % 4 IN (2, 3)""",
@@ -631,17 +676,17 @@ SELECT path, '{{' || to_json(path) || ':' || to_json(file_name) || '}}' AS entry
 SELECT number || '.pdf' AS "Dateiname", CASE WHEN {_ANSWERED} THEN day_text ELSE '' END AS "Datum",
   CASE WHEN {_ANSWERED} THEN {german('gross_c')} ELSE '' END AS "Betrag",
   CAST(NULL AS VARCHAR) AS "datum-Kommentar", CAST(NULL AS VARCHAR) AS "betrag-Kommentar" FROM invoice""",
-        "mean_gate": """WITH points AS (SELECT l_returnflag AS image, floor(l_quantity) AS grey FROM lineitem),
-means AS (SELECT image, avg(grey) AS mean FROM points GROUP BY image),
+        "mean_gate": f"""WITH {_OTSU}, means AS (SELECT image, avg(grey) AS mean FROM points GROUP BY image),
 dark AS (
-  SELECT image, mean, count(*) FILTER (grey < mean * 0.8) AS dark_points FROM points JOIN means USING (image)
-  GROUP BY image, mean)
+  SELECT means.image, mean, count(*) FILTER (grey < mean * 0.8) AS dark_points
+  FROM points JOIN means ON points.image IS NOT DISTINCT FROM means.image GROUP BY means.image, mean)
 SELECT *, mean < 250 AND dark_points > 100 AS act FROM dark""",
         "otsu_threshold": f"WITH {_OTSU} SELECT image, threshold FROM otsu",
         "binarize": f"""WITH {_OTSU}
-SELECT image, grey, CASE WHEN grey > threshold THEN 255 ELSE 0 END AS bit FROM points JOIN otsu USING (image)""",
+SELECT points.image, grey, CASE WHEN grey > threshold THEN 255 ELSE 0 END AS bit
+FROM points JOIN otsu ON points.image IS NOT DISTINCT FROM otsu.image""",
         # invoice rules
-        "derive_net": _invoices("net_c"),
+        "derive_net": _invoices("CASE WHEN doc_id % 3 = 1 THEN net_c + 100 ELSE net_c END AS net_c"),
         "sum_vat": f"WITH {_INVOICE} SELECT doc_id, vat_c FROM total",
         "main_vat": f"WITH {_PER_RATE} SELECT doc_id, rate_pct AS main_rate, vat_c AS main_vat_c FROM best WHERE place = 1",
         "dominant_vat_rate": f"WITH {_PER_RATE} SELECT doc_id, rate_pct AS main_rate FROM best WHERE place = 1",

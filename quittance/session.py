@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -55,12 +56,17 @@ def use_last_duplicate_key(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, set up for ``checkpoint()``.
 
-    On a cluster it is the one named in ``spark.checkpoint.dir``.  Only where
-    that is unset (tests on one machine) a temporary folder is used.
+    It is the one named in ``spark.checkpoint.dir``.  Where that is unset, a local
+    session uses a temporary folder; on a cluster the executors could not see
+    one another's, so this raises.  Spark removes checkpoints that are no longer in
+    use if ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set; tables in
+    this folder stay until its owner clears it.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="run-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)

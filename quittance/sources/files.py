@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quittance import fixed_values as fv
 from quittance.functions.scalars import basename, local_path, slashes
+from quittance.session import new_folder
 
 
 def _glob(suffixes: Sequence[str], case_sensitive: bool) -> str:
@@ -71,16 +72,27 @@ def read_bytes(spark: SparkSession, root: str, pattern: str | None = None, recur
 
 
 def bytes_of_manifest(manifest: DataFrame, contents: DataFrame) -> DataFrame:
-    """Every listed file with its content, NULL for a file that was not readable.
+    """Exactly the listed files with their contents, NULL for a file that was not readable.
 
-    Contents do not go through a shuffle: only the paths of the files that were
-    read are matched with the listing, which reads the files a second time.
+    Contents are read once, into a table in the shared folder. From then on only
+    paths are matched: which were read but are not listed (usually none), and which
+    are listed but were not read.
     """
-    was_read = contents.filter(F.col("content").isNotNull()).select("path")
-    unreadable = manifest.join(was_read, "path", "left_anti").select(
-        "path", "length", F.lit(None).cast("binary").alias("content")
+    spark = manifest.sparkSession
+
+    def kept(frame: DataFrame, name: str) -> DataFrame:
+        folder = new_folder(spark, name)
+        frame.write.parquet(folder)
+        return spark.read.schema(frame.schema).parquet(folder)
+
+    read = kept(contents.filter(F.col("content").isNotNull()).select("path", "length", "content"), "contents")
+    paths = manifest.select("path", "length").dropDuplicates(["path"])
+    # As a table its size is known before the join, and contents only move if it is large.
+    unlisted = kept(read.select("path").join(paths, "path", "left_anti"), "unlisted")
+    unreadable = paths.join(read.select("path"), "path", "left_anti")
+    return read.join(unlisted, "path", "left_anti").union(
+        unreadable.select("path", "length", F.lit(None).cast("binary").alias("content"))
     )
-    return contents.select("path", "length", "content").union(unreadable)
 
 
 def guarded_manifest(spark: SparkSession, root: str, **options) -> DataFrame:

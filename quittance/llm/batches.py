@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 # Bytes that separate words: space, tab, line feed, vertical tab, form feed, carriage return.
 BLANK = np.zeros(256, bool)

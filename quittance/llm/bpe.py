@@ -29,6 +29,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from quittance.llm.tables import map_batches
+
 # The pattern whose pieces ``pieces`` finds, as published with the rank files.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # The contractions and the white space of that pattern.
@@ -254,7 +256,7 @@ def _per_text(frame: DataFrame, ranks: dict[bytes, int], text: str, keep: list[s
 
     chosen = frame.select(*keep, text)
     schema = StructType([*chosen.schema.fields[: len(keep)], *from_arrow_schema(made).fields])
-    return chosen.mapInArrow(run, schema)
+    return map_batches(chosen, run, schema)
 
 
 def _encode_rows(encoder: Encoder, values: list[str | None]):

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructField, StructType
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from quittance.llm.tables import free_name
+from quittance.llm.tables import free_name, map_batches
 
 WINDOW = 10
 BLOCK_WORDS = 500_000
@@ -145,7 +145,7 @@ def scan(
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(rows, kind)], names=[*part.schema.names, found_as])
 
     schema = StructType([*frame.schema.fields, StructField(found_as, from_arrow_schema(_FOUND))])
-    return frame.mapInArrow(run, schema)
+    return map_batches(frame, run, schema)
 
 
 def items_digest(items: Column) -> Column:

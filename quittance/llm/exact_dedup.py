@@ -29,7 +29,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from quittance.llm.tables import free_name, kept
+from quittance.llm.tables import free_name, kept, map_batches
 
 FAN_IN = 8
 _BLANKS = b" \t\n\x0b\x0c\r"
@@ -61,7 +61,7 @@ def _keys(documents: DataFrame, row: str | None) -> DataFrame:
                 names=["row", "doc_id", "n_chars", "digest", "proof", "run"],
             )
 
-    return frame.mapInArrow(run, "row long, doc_id long, n_chars long, digest binary, proof binary, run long")
+    return map_batches(frame, run, "row long, doc_id long, n_chars long, digest binary, proof binary, run long")
 
 
 _ENTRY = "run long, digest binary, proof binary, n_chars long, doc_id long, row long, n long"
@@ -122,7 +122,7 @@ def merged(keys: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
     rounds = 1
     while fan_in**rounds < runs:
         rounds += 1
-    entries = keys.withColumn("n", F.lit(1).cast("long")).select(*_ENTRY_ARROW.names).mapInArrow(_local_runs, _ENTRY)
+    entries = map_batches(keys.withColumn("n", F.lit(1).cast("long")).select(*_ENTRY_ARROW.names), _local_runs, _ENTRY)
     for done in range(1, rounds + 1):
         group = F.floor(F.col("run") / fan_in).cast("long")
         # A round merges runs with equal numbers after the division; the next one sees that number as the run.

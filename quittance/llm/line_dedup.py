@@ -29,7 +29,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quittance.llm.tables import kept
+from quittance.llm.tables import kept, map_batches
 
 MIN_DOCUMENTS = 10
 SHARD_ROWS = 50_000
@@ -158,7 +158,7 @@ def document_keys(documents: DataFrame, shards: int, text: str = "text") -> Data
                 names=["shard", "key", "n"],
             )
 
-    return documents.select(text).mapInArrow(run, "shard int, key binary, n long").groupBy("shard", "key").agg(F.sum("n").alias("n"))
+    return map_batches(documents.select(text), run, "shard int, key binary, n long").groupBy("shard", "key").agg(F.sum("n").alias("n"))
 
 
 def _updated(state: State, documents: DataFrame, sign: int, text: str) -> State:
@@ -257,7 +257,8 @@ def _mistaken(state: State, keys: DataFrame, wave: dict[int, bytes]) -> set[byte
             found = [key for key in batch.column(0).to_pylist() if filters.holds(key)]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["key"])
 
-    return {bytes(row.key) for row in keys.filter(F.col("n") < state.min_documents).select("key").mapInArrow(run, "key binary").toLocalIterator()}
+    rare = map_batches(keys.filter(F.col("n") < state.min_documents).select("key"), run, "key binary")
+    return {bytes(row.key) for row in rare.toLocalIterator()}
 
 
 def clean(state: State, documents: DataFrame, text: str = "text", indexed: bool = False) -> DataFrame:
@@ -293,7 +294,7 @@ def clean(state: State, documents: DataFrame, text: str = "text", indexed: bool
                     arrays[n_lines_at], arrays[n_dropped_at] = pa.array(totals, pa.int64()), pa.array(dropped, pa.int64())
                     yield pa.RecordBatch.from_arrays(arrays, names=part.schema.names)
 
-        frame = frame.mapInArrow(run, frame.schema)
+        frame = map_batches(frame, run, frame.schema)
     return frame
 
 

@@ -25,7 +25,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from quittance.llm import labelled
 from quittance.llm.batches import BLANK, Texts, blocks, run_hashes, word_hashes, words
-from quittance.llm.tables import free_name
+from quittance.llm.tables import free_name, map_batches
 
 WORD_DIMENSIONS = 1024
 FACTORS = 6
@@ -158,7 +158,7 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = labelled.SAMPLE_ROW
                 dense = [row.astype(np.float32).tobytes() for row in np.hstack([part, statistics])]
                 yield pa.RecordBatch.from_arrays([pa.array(dense, pa.binary()), label.cast(pa.int32())], names=["x", "label"])
 
-    made = labelled.sample(documents, labels, "quality", rows).mapInArrow(run, "x binary, label int").toArrow()
+    made = map_batches(labelled.sample(documents, labels, "quality", rows), run, "x binary, label int").toArrow()
     if not made.num_rows:
         return Model(np.zeros(STATISTICS), np.ones(STATISTICS), 0.0, np.zeros(WORD_DIMENSIONS + STATISTICS), np.zeros((WORD_DIMENSIONS + STATISTICS, FACTORS)))
     x = np.frombuffer(b"".join(made.column("x").to_pylist()), np.float32).reshape(made.num_rows, -1).astype(float)
@@ -176,7 +176,7 @@ def score(documents: DataFrame, model: Model, text: str = "text", score_as: str
             made = pa.array(np.concatenate(scores) if scores else [], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, score_as])
 
-    return documents.mapInArrow(run, StructType([*documents.schema.fields, StructField(score_as, DoubleType())]))
+    return map_batches(documents, run, StructType([*documents.schema.fields, StructField(score_as, DoubleType())]))
 
 
 def scores(documents: DataFrame, labels: DataFrame, rows: int = labelled.SAMPLE_ROWS, threshold: float = THRESHOLD) -> DataFrame:

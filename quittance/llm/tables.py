@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from quittance.session import new_folder
 
+BATCH_BYTES = "4m"
+
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -28,3 +34,13 @@ def free_name(frame: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def map_batches(frame: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType | str) -> DataFrame:
+    """``mapInArrow`` with batches bounded by their size, not only by their rows.
+
+    Ten thousand long texts in one batch would cost an executor more memory than the
+    work on them.  The setting is read when the plan runs, so it stays in the session.
+    """
+    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return frame.mapInArrow(run, schema)

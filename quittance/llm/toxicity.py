@@ -28,7 +28,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from quittance.llm import labelled
 from quittance.llm.batches import Texts, Words, blocks, word_hashes, words
-from quittance.llm.tables import free_name, kept
+from quittance.llm.tables import free_name, kept, map_batches
 
 THRESHOLD = 0.3
 SAMPLE_ROWS = 8000
@@ -157,7 +157,7 @@ def fit(
                 [pa.array(seen, kind), pa.array(swapped, kind), batch.column(1).cast(pa.int32())], names=["seen", "swapped", "label"]
             )
 
-    made = labelled.sample(documents, labels, "toxic", rows).mapInArrow(run, "seen array<long>, swapped array<long>, label int")
+    made = map_batches(labelled.sample(documents, labels, "toxic", rows), run, "seen array<long>, swapped array<long>, label int")
     made = kept(made, "toxic-sample")
     totals = made.agg(F.coalesce(F.sum("label"), F.lit(0)).alias("toxic"), F.count(F.lit(1)).alias("n")).first()
     toxic, others = int(totals.toxic), int(totals.n - totals.toxic)
@@ -184,7 +184,7 @@ def fit(
                 columns.append(pa.array(lists, pa.list_(pa.int64())))
             yield pa.RecordBatch.from_arrays([*columns, batch.column("label")], names=["seen", "swapped", "label"])
 
-    data = made.mapInArrow(narrow, made.schema).toArrow()
+    data = map_batches(made, narrow, made.schema).toArrow()
     as_arrays = lambda name: [np.asarray(x, np.int64) for x in data.column(name).to_pylist()]
     weights, bias = _train(as_arrays("seen"), as_arrays("swapped"), data.column("label").to_numpy().astype(float), len(hashes), penalty)
     return _model(hashes.view(np.uint64), weights, bias)
@@ -201,7 +201,7 @@ def score(documents: DataFrame, model: Model, text: str = "text", score_as: str
             made = pa.array(np.concatenate(found) if found else [], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, score_as])
 
-    return documents.mapInArrow(run, StructType([*documents.schema.fields, StructField(score_as, DoubleType())]))
+    return map_batches(documents, run, StructType([*documents.schema.fields, StructField(score_as, DoubleType())]))
 
 
 def scores(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:

@@ -26,6 +26,7 @@ from urllib.parse import urlsplit
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from quittance.llm.tables import map_batches
 from quittance.session import new_folder
 
 LEAST_BYTES = 1000
@@ -211,7 +212,7 @@ def sorted_runs(spark: SparkSession, folder: str) -> DataFrame:
                 yield _batch(sorted((_entry(*record, name) for record in records(raw.as_py())), key=_order))
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder).select("path", "content")
-    return files.mapInArrow(run, _CAPTURE)
+    return map_batches(files, run, _CAPTURE)
 
 
 # ---------------------------------------------------------------- external merge
@@ -280,7 +281,7 @@ def capture_history(runs: DataFrame, ranges: int | None = None) -> DataFrame:
     """All captures, ordered by URL key, time and id over the partitions and within them."""
     columns = ["url_key", "captured", "page_id"]
     dealt = runs.repartitionByRange(ranges, *columns) if ranges else runs.repartitionByRange(*columns)
-    return dealt.mapInArrow(_merge, _CAPTURE)
+    return map_batches(dealt, _merge, _CAPTURE)
 
 
 def archived(pages: DataFrame) -> DataFrame:

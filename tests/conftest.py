@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 
 ROOT = Path(__file__).resolve().parent.parent
-for folder in (ROOT, ROOT / "tests"):
+for folder in (ROOT, ROOT / "tests", ROOT / "tests" / "llm"):
     sys.path.insert(0, str(folder))
 
 from quittance.session import local_session  # noqa: E402

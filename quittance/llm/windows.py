@@ -26,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quittance.llm.batches import Texts, blocks, mix
-from quittance.llm.tables import kept
+from quittance.llm.tables import kept, map_batches
 
-GROUP = 8_000
-BATCH_BYTES = 2 << 20
+GROUP = 2_000
+BATCH_BYTES = 1 << 19
 NO_ID = (1 << 63) - 1
 _PLACE_BITS = 28
 _KEYS = ["key_1", "key_2"]
@@ -144,7 +144,7 @@ def _listed(documents: DataFrame, plan: Plan) -> DataFrame:
                     names=["doc_id", *_KEYS, "n_tokens", "all_sha256", "seeds"],
                 )
 
-    return frame.mapInArrow(run, "doc_id long, key_1 long, key_2 long, n_tokens long, all_sha256 string, seeds array<long>")
+    return map_batches(frame, run, "doc_id long, key_1 long, key_2 long, n_tokens long, all_sha256 string, seeds array<long>")
 
 
 def _packed(texts: DataFrame, plan: Plan) -> DataFrame:
@@ -165,7 +165,7 @@ def _packed(texts: DataFrame, plan: Plan) -> DataFrame:
                 row, begin, count, seeds = row[use], begin[use], count[use], seeds[use]
                 strings = [tokens.pack(a, a + n + plan.window - 1) for a, n in zip(begin.tolist(), count.tolist(), strict=True)]
                 digest = [hashlib.blake2b(s, digest_size=16).digest() for s in strings]
-                taken = batch.slice(block.first, len(block.at) - 1).take(pa.array(row, pa.int64()))
+                taken = batch.slice(block.first, len(block.at) - 1).select([0, 1, 2, 3]).take(pa.array(row, pa.int64()))
                 yield pa.RecordBatch.from_arrays(
                     [
                         *taken.columns[:4], pa.array(begin - tokens.at[row], pa.int64()), pa.array(count, pa.int32()), pa.array(seeds, pa.int64()),
@@ -174,27 +174,35 @@ def _packed(texts: DataFrame, plan: Plan) -> DataFrame:
                     names=["doc_id", *_KEYS, "rows", "begin", "windows", "seed", "digest", "packed"],
                 )
 
-    return frame.mapInArrow(
+    return map_batches(frame, 
         run, "doc_id long, key_1 long, key_2 long, rows long, begin long, windows int, seed long, digest binary, packed binary"
     )
 
 
-_SETTLED = "seed long, digest binary, groups int, group int, found array<long>, marks array<binary>"
+# values and lengths: runs of windows with one value; marks: a digest per window where there are more groups.
+_SETTLED = "seed long, digest binary, groups int, group int, values array<long>, lengths array<int>, marks array<binary>"
+
+
+def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of windows with equal values: (values, lengths)."""
+    at = np.flatnonzero(np.r_[True, values[1:] != values[:-1]])
+    return values[at], np.diff(np.append(at, len(values)))
 
 
 def _settled(groups: DataFrame, plan: Plan) -> DataFrame:
     """Per super-window: the combined value of each window within its group; digests of windows if there are more groups."""
 
     def flush(rows: list[tuple]) -> pa.RecordBatch:
-        found = plan.settle([(row[4], row[5]) for row in rows])
+        runs = [_runs(values) for values in plan.settle([(row[4], row[5]) for row in rows])]
         marks = [[hashlib.blake2b(w, digest_size=16).digest() for w in plan.windows(row[4])] if row[2] > 1 else None for row in rows]
         kinds = (pa.int64(), pa.binary(), pa.int32(), pa.int32())
         return pa.RecordBatch.from_arrays(
             [
                 *(pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)),
-                pa.array(found, pa.list_(pa.int64())), pa.array(marks, pa.list_(pa.binary())),
+                pa.array([r[0] for r in runs], pa.list_(pa.int64())), pa.array([r[1] for r in runs], pa.list_(pa.int32())),
+                pa.array(marks, pa.list_(pa.binary())),
             ],
-            names=["seed", "digest", "groups", "group", "found", "marks"],
+            names=["seed", "digest", "groups", "group", "values", "lengths", "marks"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,32 +221,42 @@ def _settled(groups: DataFrame, plan: Plan) -> DataFrame:
             yield flush(rows)
 
     frame = groups.select("seed", "digest", "groups", "group", "packed", "value")
-    return frame.repartition("seed", "group").sortWithinPartitions("seed", "group").mapInArrow(run, _SETTLED)
+    return map_batches(frame.repartition("seed", "group").sortWithinPartitions("seed", "group"), run, _SETTLED)
 
 
 def _ranges(occurrences: DataFrame, plan: Plan) -> DataFrame:
-    """Ranges of tokens (first, end) that repeated windows cover, from occurrences with their windows' values."""
+    """Ranges of tokens (first, end) that repeated windows cover, from occurrences with the runs of their windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            index, first, end = [], [], []
-            ids = batch.column(0).to_pylist()
-            begins, found = batch.column(3).to_pylist(), batch.column(4)
-            for i, (own, begin) in enumerate(zip(ids, begins, strict=True)):
-                values = found[i].values.to_numpy(zero_copy_only=False)
-                hit = values < (NO_ID if own is None else own) if plan.combine == "min" else values > 1
-                step = np.diff(np.r_[0, hit.astype(np.int8), 0])
-                for a, b in zip(np.flatnonzero(step == 1).tolist(), np.flatnonzero(step == -1).tolist(), strict=True):
-                    index.append(i)
-                    first.append(begin + a)
-                    end.append(begin + b - 1 + plan.window)
-            taken = batch.take(pa.array(index, pa.int64()))
+            count = np.array(batch.column(4).value_lengths().to_numpy(zero_copy_only=False), np.int64)
+            values = batch.column(4).flatten().to_numpy(zero_copy_only=False)
+            length = batch.column(5).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            row = np.repeat(np.arange(batch.num_rows), count)
+            stop = np.cumsum(length)
+            start = stop - length
+            if plan.combine == "min":
+                own = batch.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False)
+                hit = values < own[row]
+            else:
+                hit = values > 1
+            follows = np.zeros(len(row), bool)  # a hit right behind a hit of the same row
+            follows[1:] = hit[1:] & hit[:-1] & (row[1:] == row[:-1])
+            first = np.flatnonzero(hit & ~follows)
+            last = np.flatnonzero(hit & ~np.append(follows[1:], False))
+            index = row[first]
+            base = batch.column(3).to_numpy(zero_copy_only=False) - start[np.minimum(np.cumsum(count) - count, max(len(start) - 1, 0))]
+            taken = batch.select(_KEYS).take(pa.array(index, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [*taken.columns[1:3], pa.array(first, pa.int64()), pa.array(end, pa.int64())], names=[*_KEYS, "first", "end"]
+                [
+                    *taken.columns, pa.array(base[index] + start[first], pa.int64()),
+                    pa.array(base[index] + stop[last] - 1 + plan.window, pa.int64()),
+                ],
+                names=[*_KEYS, "first", "end"],
             )
 
-    frame = occurrences.select("doc_id", *_KEYS, "begin", "found")
-    return frame.mapInArrow(run, "key_1 long, key_2 long, first long, end long")
+    frame = occurrences.select("doc_id", *_KEYS, "begin", "values", "lengths")
+    return map_batches(frame, run, "key_1 long, key_2 long, first long, end long")
 
 
 def joined_ranges(pairs: list[dict]) -> list[tuple[int, int]]:
@@ -274,7 +292,7 @@ def _cut(texts: DataFrame, plan: Plan) -> DataFrame:
             )
 
     frame = texts.select(*_KEYS, "ranges", "text")
-    return frame.mapInArrow(run, "key_1 long, key_2 long, spans array<struct<first: long, end: long>>, n_removed long, left binary")
+    return map_batches(frame, run, "key_1 long, key_2 long, spans array<struct<first: long, end: long>>, n_removed long, left binary")
 
 
 class Found(NamedTuple):
@@ -294,13 +312,14 @@ class Found(NamedTuple):
 
 def _combined(split: DataFrame, plan: Plan) -> DataFrame:
     """Values per window of super-windows whose minimiser was dealt to several groups."""
-    each = split.select("seed", "digest", "group", F.posexplode(F.arrays_zip("found", "marks")).alias("place", "at")).select(
-        "seed", "digest", "group", "place", F.col("at.found").alias("value"), F.col("at.marks").alias("mark")
+    full = F.flatten(F.transform(F.arrays_zip("values", "lengths"), lambda run: F.array_repeat(run["values"], run["lengths"])))
+    each = split.withColumn("full", full).select("seed", "digest", "group", F.posexplode(F.arrays_zip("full", "marks")).alias("place", "at")).select(
+        "seed", "digest", "group", "place", F.col("at.full").alias("value"), F.col("at.marks").alias("mark")
     )
     total = F.sum("value") if plan.combine == "sum" else F.min("value")
     values = each.groupBy("seed", "mark", "group").agg(F.first("value").alias("value")).groupBy("seed", "mark").agg(total.alias("value"))
     back = each.drop("value").join(values, ["seed", "mark"]).groupBy("seed", "digest").agg(F.array_sort(F.collect_list(F.struct("place", "value"))).alias("all"))
-    return back.select("seed", "digest", F.col("all.value").alias("found"))
+    return back.select("seed", "digest", F.col("all.value").alias("values"), F.transform("all", lambda _: F.lit(1)).alias("lengths"))
 
 
 def repeats(documents: DataFrame, plan: Plan) -> Found:
@@ -323,8 +342,9 @@ def repeats(documents: DataFrame, plan: Plan) -> Found:
     groups = sized.filter("n > 1").withColumn("group", F.pmod(F.xxhash64("digest"), F.col("groups")).cast("int"))
     settled = kept(_settled(groups, plan), "settled")
     # A super-window alone with its minimiser: all its windows have its value.
-    single = sized.filter("n = 1").select("seed", "digest", F.array_repeat(F.col("value"), F.col("windows")).alias("found"))
-    found = single.union(settled.filter("groups = 1").select("seed", "digest", "found")).union(_combined(settled.filter("groups > 1"), plan))
+    single = sized.filter("n = 1").select("seed", "digest", F.array("value").alias("values"), F.array("windows").alias("lengths"))
+    whole = settled.filter("groups = 1").select("seed", "digest", "values", "lengths")
+    found = single.union(whole).union(_combined(settled.filter("groups > 1"), plan))
     occurrences = packed.select("doc_id", *_KEYS, "begin", "seed", "digest").join(found, ["seed", "digest"])
     ranges = _ranges(occurrences, plan).groupBy(*_KEYS).agg(F.collect_list(F.struct("first", "end")).alias("ranges"))
     changed = kept(_cut(texts.join(ranges, _KEYS), plan), "changed")

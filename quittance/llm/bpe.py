@@ -227,14 +227,24 @@ class Encoder:
         self._known[piece] = out
         return out
 
+    def forget(self) -> None:
+        """Drop remembered pieces that were not met lately; a worker may do other work next."""
+        self._known_before = {}
+
     def decode(self, ids) -> bytes:
         return b"".join(map(self.vocabulary.__getitem__, ids))
 
 
-@lru_cache(2)
+_worker_encoders: dict[str, Encoder] = {}
+
+
 def _worker_encoder(vocabulary_digest: str, broadcast) -> Encoder:
-    gc.disable()  # nothing here makes cycles, and the many small tuples are slow to walk
-    return Encoder(broadcast.value)
+    """The encoder that this Python worker keeps from one task to the next."""
+    if vocabulary_digest not in _worker_encoders:
+        gc.disable()  # nothing here makes cycles, and the many small tuples are slow to walk
+        _worker_encoders.clear()
+        _worker_encoders[vocabulary_digest] = Encoder(broadcast.value)
+    return _worker_encoders[vocabulary_digest]
 
 
 def _per_text(frame: DataFrame, ranks: dict[bytes, int], text: str, keep: list[str], made: pa.Schema, make) -> DataFrame:
@@ -250,6 +260,7 @@ def _per_text(frame: DataFrame, ranks: dict[bytes, int], text: str, keep: list[s
                 rows = list(make(encoder, part.column(len(keep)).to_pylist()))
                 columns = [pa.array([row[i] for row in rows], field.type) for i, field in enumerate(made)]
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], *columns], names=[*keep, *made.names])
+        encoder.forget()
 
     from pyspark.sql.pandas.types import from_arrow_schema
     from pyspark.sql.types import StructType

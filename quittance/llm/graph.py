@@ -15,7 +15,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     both = links.select(F.col("a").alias("node"), F.col("b").alias("other"))
     both = kept(both.union(both.select("other", "node")).filter("node <> other").distinct(), "links")
-    found = kept(both.groupBy("node").agg(F.min("other").alias("low")).select("node", F.least("node", "low").alias("root")), "roots")
+    found = (both.groupBy("node").agg(F.min("other").alias("low")).select("node", F.least("node", "low").alias("root")))
     while True:
         near = both.join(found.select(F.col("node").alias("other"), "root"), "other").groupBy("node").agg(F.min("root").alias("near"))
         lower = found.join(near, "node").select("node", F.least("root", "near").alias("to"), F.col("root").alias("was"))

@@ -10,10 +10,12 @@ the probability Jaccard similarity of their weighted shingles.
 
 Documents with equal shingle sets are one text from here on.  Signatures are cut into
 bands; texts that agree in a band share a bucket.  A bucket never emits all its pairs:
-in each round one text of it is the pivot, and every text of another class is compared
-with it.  The shingle sets decide: a plain Jaccard similarity of at least
+in each round one text of it is the pivot (``PIVOTS``), and every text of another class
+is compared with it.  The shingle sets decide: a plain Jaccard similarity of at least
 ``SIMILARITY`` is a link (shingles by 32 bits of their hash).  Linked texts become
-one class, and rounds with other pivots follow until one finds nothing more.
+one class, and rounds with other pivots follow until one finds nothing more.  The
+first pivot is the text that shares the most buckets with others, as the text that a
+family was copied from does; later ones are drawn by hash.
 
 A class is a component of links.  Documents without words are in no group; those with
 fewer than five words have one shingle of all of them.  Null texts have no words.
@@ -31,13 +33,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from quittance.llm.batches import Texts, blocks, mix, run_hashes, word_hashes, words
 from quittance.llm.graph import components
-from quittance.llm.tables import free_name, kept
+from quittance.llm.tables import free_name, kept, map_batches
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 REGISTERS = 128
 BAND_ROWS = 4
 LEAST_ROUNDS = 3
+PIVOTS = 1  # per bucket and round
 _ROWS = 512
 _INSIDE = np.zeros(256, bool)
 _INSIDE[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
@@ -145,7 +148,7 @@ def _signed(documents: DataFrame, row: str | None) -> DataFrame:
                     names=["row", "doc_id", "key_1", "key_2", "digest", "n", "bands"],
                 )
 
-    return frame.mapInArrow(run, "row long, doc_id long, key_1 long, key_2 long, digest binary, n int, bands array<long>")
+    return map_batches(frame, run, "row long, doc_id long, key_1 long, key_2 long, digest binary, n int, bands array<long>")
 
 
 def _shingle_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -166,7 +169,7 @@ def _shingle_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     texts = documents.select(*_content(), F.col("text").alias("words"))
     found = texts.join(wanted, ["key_1", "key_2"]).select("text", "words")
     # Repeated rows share id and text: one of them is enough.
-    return found.mapInArrow(run, "text long, n int, shingles binary").dropDuplicates(["text"])
+    return map_batches(found, run, "text long, n int, shingles binary").dropDuplicates(["text"])
 
 
 def jaccard(a: bytes, b: bytes) -> float:
@@ -194,7 +197,16 @@ def _links(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     left = sets.select(F.col("text").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("text").alias("b"), F.col("shingles").alias("set_b"))
     joined = near.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b")
-    return joined.mapInArrow(run, "a long, b long")
+    return map_batches(joined, run, "a long, b long")
+
+
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Roots after the classes of linked texts have become one; only classes with a link take part in the search."""
+    a = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
+    b = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
+    between = links.join(a, "a").join(b, "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).distinct()
+    changed = components(between).select(F.col("node").alias("root"), F.col("root").alias("to"))
+    return roots.join(changed, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
 
 
 def classes(documents: DataFrame, row: str | None = None, similarity: float = SIMILARITY) -> DataFrame:
@@ -206,39 +218,30 @@ def classes(documents: DataFrame, row: str | None = None, similarity: float = SI
         "texts",
     )
     members = texts.select("text", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("bucket")
-    members = kept(members.join(shared, "bucket", "left_semi"), "members")
-    wanted = texts.join(members.select("text").distinct(), "text", "left_semi").select("text", "key_1", "key_2")
-    sets = kept(_shingle_sets(documents, wanted), "shingles")
+    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    members = kept(members.join(shared, "bucket"), "shared-buckets")
+    wanted = texts.join(members.groupBy("text").agg(F.sum("size").alias("near")), "text").select("text", "key_1", "key_2", "near")
+    members = kept(members.drop("size").join(wanted.select("text", "near"), "text"), "members")
+    sets = kept(_shingle_sets(documents, wanted.drop("near")), "shingles")
     roots = sets.select(F.col("text").alias("node"), F.col("text").alias("root"))
     tried = None
-    links = None
     for number in range(1000):
-        # Members with their class; the pivot of a bucket is the one with the smallest hash of this round.
         now = members.join(roots.select(F.col("node").alias("text"), "root"), "text")
-        pivot = now.groupBy("bucket").agg(
-            F.min(F.struct(F.xxhash64("text", F.lit(number)).alias("order"), F.col("text").alias("b"), F.col("root").alias("root_b"))).alias("p"),
-            F.min("root").alias("low"), F.max("root").alias("high"),
-        )
-        pivot = pivot.filter("low <> high").select("bucket", "p.b", "p.root_b")
-        pairs = now.join(pivot, "bucket").filter("root <> root_b")
-        pairs = pairs.select(F.least("text", "b").alias("a"), F.greatest("text", "b").alias("b")).distinct()
+        orders = [-F.col("near") if number == i == 0 else F.xxhash64("text", F.lit(number * PIVOTS + i)) for i in range(PIVOTS)]
+        firsts = [F.min(F.struct(order.alias("order"), F.col("text").alias("b"), F.col("root").alias("root_b"))).alias(f"p{i}") for i, order in enumerate(orders)]
+        pivots = now.groupBy("bucket").agg(*firsts, F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+        pivots = pivots.select("bucket", F.array_distinct(F.array(*[F.struct(f"p{i}.b", f"p{i}.root_b") for i in range(PIVOTS)])).alias("pivots"))
+        pairs = now.join(pivots, "bucket").select("text", "root", F.explode("pivots").alias("pivot")).filter("root <> pivot.root_b")
+        pairs = pairs.select(F.least("text", "pivot.b").alias("a"), F.greatest("text", "pivot.b").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = kept(pairs, "pairs")
-        if pairs.isEmpty():
-            break
         found = kept(_links(pairs, sets, similarity), "pairs-linked")
         tried = pairs if tried is None else tried.union(pairs)
-        if found.isEmpty():
-            if number + 1 >= LEAST_ROUNDS:
-                break
-            continue
-        links = found if links is None else links.union(found)
-        changed = components(links)
-        roots = kept(
-            sets.select(F.col("text").alias("node")).join(changed, "node", "left").select("node", F.coalesce("root", "node").alias("root")), "classes"
-        )
+        if not found.isEmpty():
+            roots = kept(_merged(roots, found), "classes")
+        elif number + 1 >= LEAST_ROUNDS:
+            break
     by_digest = texts.join(roots.select(F.col("node").alias("text"), "root"), "text", "left").select(
         "digest", F.coalesce("root", "text").alias("class")
     )
@@ -252,7 +255,7 @@ def groups(documents: DataFrame, row: str | None = None, similarity: float = SIM
         "row", "doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("kept")
     )
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
-    heads = found.filter("class IS NOT NULL").groupBy("class").agg(first.alias("head"), F.count(F.lit(1)).alias("class_size"))
+    heads = kept(found.filter("class IS NOT NULL").groupBy("class").agg(first.alias("head"), F.count(F.lit(1)).alias("class_size")), "class-heads")
     grouped = found.filter("class IS NOT NULL").join(heads, "class").select(
         "row", "doc_id", F.col("head.doc_id").alias("class_id"), "class_size", (F.col("row") == F.col("head.row")).alias("kept")
     )

@@ -313,7 +313,9 @@ class Found(NamedTuple):
 def _combined(split: DataFrame, plan: Plan) -> DataFrame:
     """Values per window of super-windows whose minimiser was dealt to several groups."""
     full = F.flatten(F.transform(F.arrays_zip("values", "lengths"), lambda run: F.array_repeat(run["values"], run["lengths"])))
-    each = split.withColumn("full", full).select("seed", "digest", "group", F.posexplode(F.arrays_zip("full", "marks")).alias("place", "at")).select(
+    # Strings of one group lie in one task; deal them anew before they become rows.
+    dealt = split.repartition("seed", "digest")
+    each = dealt.withColumn("full", full).select("seed", "digest", "group", F.posexplode(F.arrays_zip("full", "marks")).alias("place", "at")).select(
         "seed", "digest", "group", "place", F.col("at.full").alias("value"), F.col("at.marks").alias("mark")
     )
     total = F.sum("value") if plan.combine == "sum" else F.min("value")
@@ -326,7 +328,8 @@ def repeats(documents: DataFrame, plan: Plan) -> Found:
     """All rows, and the texts of which something is to be removed."""
     rows = kept(_listed(documents, plan), "minimisers")
     seeds = rows.select(*_KEYS, F.explode("seeds").alias("seed"))
-    repeated = seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("seed")
+    # As a table it is shuffled by itself, and Spark can split what a frequent minimiser brings to the join.
+    repeated = kept(seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("seed"), "repeated-minimisers")
     wanted = seeds.join(repeated, "seed", "left_semi").groupBy(*_KEYS).agg(F.collect_set("seed").alias("wanted"))
     copies = rows.groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("rows"))
     texts = documents.select(F.col("doc_id").cast("long"), *_content(), "text")
@@ -337,7 +340,7 @@ def repeats(documents: DataFrame, plan: Plan) -> Found:
         packed.groupBy("seed", "digest").agg(value.alias("value"), F.first("packed").alias("packed"), F.first("windows").alias("windows")),
         "distinct-windows",
     )
-    sizes = distinct.groupBy("seed").agg(F.count(F.lit(1)).alias("n"))
+    sizes = kept(distinct.groupBy("seed").agg(F.count(F.lit(1)).alias("n")), "sizes")
     sized = distinct.join(sizes, "seed").withColumn("groups", F.ceil(F.col("n") / GROUP).cast("int"))
     groups = sized.filter("n > 1").withColumn("group", F.pmod(F.xxhash64("digest"), F.col("groups")).cast("int"))
     settled = kept(_settled(groups, plan), "settled")

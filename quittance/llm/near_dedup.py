@@ -9,13 +9,16 @@ later than all registers of the document.  Two documents agree in a register wit
 the probability Jaccard similarity of their weighted shingles.
 
 Documents with equal shingle sets are one text from here on.  Signatures are cut into
-bands; texts that agree in a band share a bucket.  A bucket never emits all its pairs:
-in each round one text of it is the pivot (``PIVOTS``), and every text of another class
-is compared with it.  The shingle sets decide: a plain Jaccard similarity of at least
-``SIMILARITY`` is a link (shingles by 32 bits of their hash).  Linked texts become
-one class, and rounds with other pivots follow until one finds nothing more.  The
-first pivot is the text that shares the most buckets with others, as the text that a
-family was copied from does; later ones are drawn by hash.
+bands; texts that agree in a band share a bucket.  The shingle sets decide: a plain
+Jaccard similarity of at least ``SIMILARITY`` is a link (shingles by 32 bits of their
+hash).  Linked texts become one class.  First come a few rounds in which one text of
+each bucket is the pivot and every text of another class is compared with it, so that
+large families become few classes without all their pairs.  The first pivot is the
+text that shares the most buckets with others, as the text that a family was copied
+from does; later ones are drawn by hash.  Then every bucket that still has texts of
+several classes besides its pivots is searched in full: all its pairs of texts of two
+classes are compared, within a task and through an index of shingles, and only links
+leave the task.  Large buckets are dealt to tasks as pairs of blocks.
 
 A class is a component of links.  Documents without words are in no group; those with
 fewer than five words have one shingle of all of them.  Null texts have no words.
@@ -39,8 +42,9 @@ SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 REGISTERS = 128
 BAND_ROWS = 4
-LEAST_ROUNDS = 3
-PIVOTS = 1  # per bucket and round
+PIVOT_ROUNDS = 3
+BLOCK_BYTES = 2 << 20  # of shingle sets in one block of a bucket
+BLOCK_TEXTS = 1000
 _ROWS = 512
 _INSIDE = np.zeros(256, bool)
 _INSIDE[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
@@ -200,6 +204,61 @@ def _links(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return map_batches(joined, run, "a long, b long")
 
 
+def _linked_within(sets: list[bytes], roots: np.ndarray, left: np.ndarray, similarity: float) -> Iterator[tuple[int, int]]:
+    """All links (i, j) of two classes; with both sides in ``left`` only those across, else those within.
+
+    Each set is compared with all later ones at once: an index lists the sets of each shingle.
+    """
+    size = np.array([len(s) // 4 for s in sets])
+    values, number = np.unique(np.frombuffer(b"".join(sets), np.uint32), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), size)
+    order = np.argsort(number, kind="stable")
+    owners = owner[order]
+    at = np.searchsorted(number[order], np.arange(len(values) + 1))
+    starts = np.concatenate([[0], np.cumsum(size)])
+    across = left.any() and not left.all()
+    # The largest class need not look for the others: they find it.
+    names, members = np.unique(roots, return_counts=True)
+    largest = names[members.argmax()]
+    for i in np.flatnonzero(roots != largest).tolist():
+        mine = number[starts[i] : starts[i + 1]]
+        first, n = at[mine], at[mine + 1] - at[mine]
+        places = np.arange(n.sum()) + np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n)
+        shared = np.bincount(owners[places], minlength=len(sets))
+        good = (shared / (size + size[i] - shared) >= similarity) & (roots != roots[i])
+        if across:
+            good &= left != left[i]
+        for j in np.flatnonzero(good).tolist():
+            if roots[j] == largest or i < j:
+                yield i, j
+
+
+def _rest_of_buckets(members: DataFrame, pivots: DataFrame, roots: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """All links (a, b) between two classes in a bucket, besides those of its pivots."""
+    now = members.join(roots.select(F.col("node").alias("text"), "root"), "text").join(pivots, "bucket").filter(~F.array_contains("pivots", F.col("text")))
+    now = now.join(sets.select("text", "n"), "text").select("bucket", "text", "root", "n")
+    blocks_of = F.greatest(F.ceil(F.sum("n") * 4 / BLOCK_BYTES), F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS)).cast("int")
+    mixed = now.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), blocks_of.alias("blocks")).filter("low <> high")
+    rest = kept(now.join(mixed.select("bucket", "blocks"), "bucket").select("bucket", "text", "root", "blocks"), "buckets-left")
+    block = F.pmod(F.xxhash64("text", F.lit(1000)), "blocks").cast("int")
+    dealt = rest.select("bucket", "text", "root", block.alias("block"), F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
+    dealt = dealt.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "text", "root", (F.col("block") <= F.col("other")).alias("left"))
+    filled = dealt.join(sets.select("text", "shingles"), "text")
+    tasks = filled.groupBy("bucket", "i", "j").agg(F.collect_list(F.struct("text", "root", "left", "shingles")).alias("texts"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = set()
+            for row in range(batch.num_rows):
+                texts = batch.column(0)[row].values
+                text, root, left = (texts.field(k).to_numpy(zero_copy_only=False) for k in ("text", "root", "left"))
+                linked = _linked_within(texts.field("shingles").to_pylist(), root, left, similarity)
+                found.update((int(min(text[i], text[j])), int(max(text[i], text[j]))) for i, j in linked)
+            yield pa.RecordBatch.from_arrays([pa.array([pair[k] for pair in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return map_batches(tasks.select("texts"), run, "a long, b long").distinct()
+
+
 def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     """Roots after the classes of linked texts have become one; only classes with a link take part in the search."""
     a = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
@@ -224,15 +283,14 @@ def classes(documents: DataFrame, row: str | None = None, similarity: float = SI
     members = kept(members.drop("size").join(wanted.select("text", "near"), "text"), "members")
     sets = kept(_shingle_sets(documents, wanted.drop("near")), "shingles")
     roots = sets.select(F.col("text").alias("node"), F.col("text").alias("root"))
+    orders = [-F.col("near"), *[F.xxhash64("text", F.lit(i)) for i in range(1, PIVOT_ROUNDS)]]
+    firsts = [F.min(F.struct(order.alias("order"), "text"))["text"] for order in orders]
+    pivots = kept(members.groupBy("bucket").agg(F.array(*firsts).alias("pivots")), "pivots")
     tried = None
-    for number in range(1000):
-        now = members.join(roots.select(F.col("node").alias("text"), "root"), "text")
-        orders = [-F.col("near") if number == i == 0 else F.xxhash64("text", F.lit(number * PIVOTS + i)) for i in range(PIVOTS)]
-        firsts = [F.min(F.struct(order.alias("order"), F.col("text").alias("b"), F.col("root").alias("root_b"))).alias(f"p{i}") for i, order in enumerate(orders)]
-        pivots = now.groupBy("bucket").agg(*firsts, F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-        pivots = pivots.select("bucket", F.array_distinct(F.array(*[F.struct(f"p{i}.b", f"p{i}.root_b") for i in range(PIVOTS)])).alias("pivots"))
-        pairs = now.join(pivots, "bucket").select("text", "root", F.explode("pivots").alias("pivot")).filter("root <> pivot.root_b")
-        pairs = pairs.select(F.least("text", "pivot.b").alias("a"), F.greatest("text", "pivot.b").alias("b")).distinct()
+    for number in range(PIVOT_ROUNDS):
+        now = members.select("bucket", "text").join(roots.select(F.col("node").alias("text"), "root"), "text")
+        pivot = pivots.select("bucket", F.col("pivots")[number].alias("b")).join(roots.select(F.col("node").alias("b"), F.col("root").alias("root_b")), "b")
+        pairs = now.join(pivot, "bucket").filter("root <> root_b").select(F.least("text", "b").alias("a"), F.greatest("text", "b").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = kept(pairs, "pairs")
@@ -240,8 +298,9 @@ def classes(documents: DataFrame, row: str | None = None, similarity: float = SI
         tried = pairs if tried is None else tried.union(pairs)
         if not found.isEmpty():
             roots = kept(_merged(roots, found), "classes")
-        elif number + 1 >= LEAST_ROUNDS:
-            break
+    found = kept(_rest_of_buckets(members, pivots, roots, sets, similarity), "rest-linked")
+    if not found.isEmpty():
+        roots = kept(_merged(roots, found), "classes")
     by_digest = texts.join(roots.select(F.col("node").alias("text"), "root"), "text", "left").select(
         "digest", F.coalesce("root", "text").alias("class")
     )

@@ -303,6 +303,25 @@ def test_near_groups(spark, documents, clashing):
     assert left.count() == near_dedup.groups(documents).filter("kept").count()
 
 
+def _orphans(n: int, pairs: int) -> list[tuple]:
+    """Variants at 0.7 to 0.75 to each other of a text that is not among them; some differ from it at the same places, and two of those are at 0.85."""
+    rnd = random.Random(11)
+    source = _words(78, 500).split()
+    places = [rnd.sample(range(100), 8) for _ in range(n)]
+    return [
+        (i, " ".join(f"v{i}x{k}" if k % 5 == 0 and k // 5 in at else w for k, w in enumerate(source)), "en", "s", 1)
+        for i, at in enumerate(places + places[:pairs])
+    ]
+
+
+@pytest.mark.parametrize("block", [1000, 40])
+def test_near_groups_of_variants_without_their_source(spark, monkeypatch, block):
+    monkeypatch.setattr(near_dedup, "BLOCK_TEXTS", block, raising=False)
+    rows = _orphans(300, 40)
+    found = near_dedup.groups(spark.createDataFrame(rows, SCHEMA))
+    assert _sorted(found.select("doc_id", "class_id", "class_size").collect()) == _sorted(_near_expected(rows))
+
+
 def test_near_groups_of_nothing(none):
     assert near_dedup.groups(none).collect() == []
 

@@ -1,15 +1,18 @@
 """Near-duplicate documents by ProbMinHash, banding and verification.
 
 A document is its set of five-word shingles (A-Z lower-cased; words are runs of
-letters, digits and bytes above ASCII).  Each shingle weighs 1 + log2 of its count.
-ProbMinHash: a shingle arrives at the signature's registers as a Poisson process with
+letters, digits and bytes above ASCII).  It has two signatures: in one every shingle
+weighs 1, in the other 1 + log2 of its count.  ProbMinHash: a shingle arrives at the signature's registers as a Poisson process with
 its weight as the rate, at every register once and in an order of its own; a register
 keeps the shingle that arrives first.  A shingle stops as soon as its next arrival is
 later than all registers of the document.  Two documents agree in a register with
-the probability Jaccard similarity of their weighted shingles.
+the probability Jaccard similarity of their weighted shingles, which at equal weights
+is the plain Jaccard similarity that decides about links: however differently two
+documents repeat what they share, the first signature finds them.
 
 Documents with equal shingle sets are one text from here on.  Signatures are cut into
-bands; texts that agree in a band share a bucket.  The shingle sets decide: a plain
+bands; texts that agree in a band of either signature share a bucket.  A text has the
+bands of all its documents, also where their counts differ.  The shingle sets decide: a plain
 Jaccard similarity of at least ``SIMILARITY`` is a link (shingles by 32 bits of their
 hash).  Linked texts become one class.  First come a few rounds in which one text of
 each bucket is the pivot and every text of another class is compared with it, so that
@@ -129,7 +132,7 @@ def _content() -> tuple[Column, Column]:
 
 
 def _signed(documents: DataFrame, row: str | None) -> DataFrame:
-    """Per row: number, id, content keys, digest of the shingle set (null without words), size, bands."""
+    """Per row: number, id, content keys, digest of the shingle set (null without words), size, bands at equal weights, further bands by counts."""
     number = F.col(row) if row else F.monotonically_increasing_id()
     frame = documents.select(number.alias("row"), F.col("doc_id").cast("long"), *_content(), "text")
 
@@ -139,7 +142,17 @@ def _signed(documents: DataFrame, row: str | None) -> DataFrame:
                 rows = len(block.at) - 1
                 row, shingle, count = shingles(block)
                 at = np.searchsorted(row, np.arange(rows + 1))
-                made = bands(signatures(row, shingle, 1 + np.log2(count), rows))
+                made = bands(signatures(row, shingle, np.ones(len(row)), rows))
+                # Without repeats both signatures are the same.
+                repeats = np.zeros(rows, bool)
+                repeats[row[count > 1]] = True
+                place = np.cumsum(repeats) - 1
+                own = repeats[row]
+                more = bands(signatures(place[row[own]], shingle[own], 1 + np.log2(count[own]), int(repeats.sum())))
+                differs = more != made[repeats]
+                further_at = np.zeros(rows + 1, np.int64)
+                further_at[1:][repeats] = differs.sum(1)
+                further = pa.ListArray.from_arrays(pa.array(np.cumsum(further_at), pa.int32()), pa.array(more[differs], pa.int64()))
                 digest = [
                     hashlib.blake2b(shingle[a:b].tobytes(), digest_size=16).digest() if b > a else None for a, b in zip(at, at[1:], strict=False)
                 ]
@@ -148,11 +161,11 @@ def _signed(documents: DataFrame, row: str | None) -> DataFrame:
                 )
                 part = batch.slice(block.first, rows)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:4], pa.array(digest, pa.binary()), pa.array(np.diff(at), pa.int32()), lists],
-                    names=["row", "doc_id", "key_1", "key_2", "digest", "n", "bands"],
+                    [*part.columns[:4], pa.array(digest, pa.binary()), pa.array(np.diff(at), pa.int32()), lists, further],
+                    names=["row", "doc_id", "key_1", "key_2", "digest", "n", "bands", "further"],
                 )
 
-    return map_batches(frame, run, "row long, doc_id long, key_1 long, key_2 long, digest binary, n int, bands array<long>")
+    return map_batches(frame, run, "row long, doc_id long, key_1 long, key_2 long, digest binary, n int, bands array<long>, further array<long>")
 
 
 def _shingle_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -276,7 +289,9 @@ def classes(documents: DataFrame, row: str | None = None, similarity: float = SI
         .select("digest", F.col("best.row").alias("text"), "best.key_1", "best.key_2", "best.bands"),
         "texts",
     )
-    members = texts.select("text", F.explode("bands").alias("bucket"))
+    # Documents of one text share its bands at equal weights; by counts each may have others.
+    further = signed.filter("digest IS NOT NULL").select("digest", F.explode("further").alias("bucket")).distinct()
+    members = texts.select("text", F.explode("bands").alias("bucket")).union(further.join(texts.select("digest", "text"), "digest").select("text", "bucket"))
     shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = kept(members.join(shared, "bucket"), "shared-buckets")
     wanted = texts.join(members.groupBy("text").agg(F.sum("size").alias("near")), "text").select("text", "key_1", "key_2", "near")

@@ -322,6 +322,17 @@ def test_near_groups_of_variants_without_their_source(spark, monkeypatch, block)
     assert _sorted(found.select("doc_id", "class_id", "class_size").collect()) == _sorted(_near_expected(rows))
 
 
+def test_near_groups_of_looped_passages(spark):
+    """Pairs at 0.8 or more of which one copy repeats a passage very often."""
+    rows = []
+    for i in range(60):
+        text, n = _words(200 + i, 100).split(), 1 if i % 3 == 0 else 1000
+        rows += [(2 * i, " ".join(text), "en", "s", 1), (2 * i + 1, " ".join([*text[:40], *text[10:40] * n, *text[40:]]), "en", "s", 1)]
+    rows += [(1000 + i, " ".join([*(text := _words(200, 100).split())[:40], *text[10:40] * (i + 1), *text[40:]]), "en", "s", 1) for i in range(5)]
+    found = near_dedup.groups(spark.createDataFrame(rows, SCHEMA))
+    assert _sorted(found.select("doc_id", "class_id", "class_size").collect()) == _sorted(_near_expected(rows))
+
+
 def test_near_groups_of_nothing(none):
     assert near_dedup.groups(none).collect() == []
 

@@ -98,6 +98,7 @@ class Model(NamedTuple):
     bias: float
     weights: np.ndarray
     factors: np.ndarray
+    fitted: bool = True  # False: there was no row to learn from
 
     def inputs(self, part: np.ndarray, statistics: np.ndarray) -> np.ndarray:
         return np.hstack([part, np.clip((statistics - self.centre) / self.scale, -4, 4) / 4])
@@ -160,7 +161,7 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = labelled.SAMPLE_ROW
 
     made = map_batches(labelled.sample(documents, labels, "quality", rows), run, "x binary, label int").toArrow()
     if not made.num_rows:
-        return Model(np.zeros(STATISTICS), np.ones(STATISTICS), 0.0, np.zeros(WORD_DIMENSIONS + STATISTICS), np.zeros((WORD_DIMENSIONS + STATISTICS, FACTORS)))
+        return Model(np.zeros(STATISTICS), np.ones(STATISTICS), 0.0, np.zeros(WORD_DIMENSIONS + STATISTICS), np.zeros((WORD_DIMENSIONS + STATISTICS, FACTORS)), fitted=False)
     x = np.frombuffer(b"".join(made.column("x").to_pylist()), np.float32).reshape(made.num_rows, -1).astype(float)
     return _train(x[:, :WORD_DIMENSIONS], x[:, WORD_DIMENSIONS:], made.column("label").to_numpy().astype(float))
 
@@ -180,7 +181,7 @@ def score(documents: DataFrame, model: Model, text: str = "text", score_as: str
 
 
 def scores(documents: DataFrame, labels: DataFrame, rows: int = labelled.SAMPLE_ROWS, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document: doc_id, held_out, score, predicted."""
+    """One row per document: doc_id, held_out, score, predicted (without any usable labelled row every score is 0.5)."""
     found = score(documents.select("doc_id", "text"), fit(documents, labels, rows))
     return found.select(
         "doc_id", labelled.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
@@ -188,7 +189,13 @@ def scores(documents: DataFrame, labels: DataFrame, rows: int = labelled.SAMPLE_
 
 
 def without_rejected(documents: DataFrame, labels: DataFrame, rows: int = labelled.SAMPLE_ROWS, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents with a score of at least ``threshold``, with all their columns."""
+    """The documents with a score of at least ``threshold``, with all their columns.
+
+    Without any usable labelled row nothing is known of them, and all of them stay.
+    """
+    model = fit(documents, labels, rows)
+    if not model.fitted:
+        return documents
     name = free_name(documents, "score")
-    found = score(documents, fit(documents, labels, rows), score_as=name)
+    found = score(documents, model, score_as=name)
     return found.filter(F.col(name) >= threshold).select(*documents.columns)

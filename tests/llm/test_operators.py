@@ -465,6 +465,13 @@ def _labelled(spark, n=400):
     return spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
 
 
+def test_quality_without_labels_keeps_all(spark, documents):
+    labels = spark.createDataFrame([(1, None), (10**9, 1)], "doc_id long, quality int")
+    for table in (labels.limit(0), labels):
+        left = quality.without_rejected(documents, table)
+        assert left.columns == documents.columns and left.count() == documents.count()
+
+
 @pytest.mark.parametrize(("module", "label"), [(quality, "quality"), (toxicity, "toxic")])
 def test_classifier_on_held_out_rows(spark, documents, clashing, none, module, label):
     texts, labels = _labelled(spark)

@@ -17,14 +17,14 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def kept(frame: DataFrame, name: str) -> DataFrame:
+def kept(frame: DataFrame, name: str, **options: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: later steps neither repeat nor vary it.
 
     The files outlive a lost executor.  They stay until the owner of
     ``spark.checkpoint.dir`` clears it.
     """
     path = new_folder(frame.sparkSession, name)
-    frame.write.parquet(path)
+    frame.write.parquet(path, **options)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -13,6 +12,7 @@ from quittance.functions.labels import (
     label_record, regex_amount, regex_date, regex_filename, regex_product, regex_vat_rate, sparse_record,
 )
 from quittance.functions.scalars import sidecar_filename
+from quittance.operators.calls import called_batches
 from quittance.operators.requests import AMOUNT_INSTRUCTION, DATE_INSTRUCTION, build_prompt, fill_template, is_blank
 from quittance.operators.responses import trimmed_content
 
@@ -28,62 +28,65 @@ def apply_inference(
     error: str = "error",
     tasks: int | None = None,
     parallel_calls: int = fv.PARALLEL_CALLS,
+    limit: float | None = None,
+    seconds: str | None = None,
 ) -> DataFrame:
     """One call per row with a prompt; a failing call gives an error text, not a failure.
 
     ``connect`` runs once per task and returns the function that is called per
-    prompt, up to ``parallel_calls`` at a time. Only the prompt column travels to Python; all others stay in the
+    prompt, up to ``parallel_calls`` at a time; a slow call holds up neither the others
+    nor the next batches (see ``calls``). A call that takes longer than ``limit`` seconds
+    gives an error. ``seconds`` names a column for how long each call took. Only the
+    prompt column travels to Python; all others stay in the
     JVM. The call counts as non-deterministic, so Spark neither repeats it nor
     moves filters through it. ``tasks`` bounds how many tasks call at a time; it only
     merges input parts, so no row is moved.
     Executors must be able to import what ``connect`` uses. Lost executors repeat their calls: write the result to a table before
-    building on it, and attach that with ``join_responses``.
+    building on it, and attach that with ``join_responses``; or let ``ledger`` keep the answers.
     """
-    called = _called(requests, connect, prompt, "answer string, error string", tasks, parallel_calls)
+    called = _called(requests, connect, prompt, "answer string", tasks, parallel_calls, limit)
+    added = {answer: "answer", error: "error"} | ({seconds: "seconds"} if seconds else {})
     return called.select(
-        *[c for c in requests.columns if c not in (answer, error)],
-        F.col("_call.answer").alias(answer), F.col("_call.error").alias(error),
+        *[c for c in requests.columns if c not in added], *[F.col(f"_call.{field}").alias(name) for name, field in added.items()]
     )
 
 
 def apply_http(
     requests: DataFrame, connect: Callable[[], AskHttp], prompt: str = "prompt", tasks: int | None = None,
-    parallel_calls: int = fv.PARALLEL_CALLS,
+    parallel_calls: int = fv.PARALLEL_CALLS, limit: float | None = None, seconds: str | None = None,
 ) -> DataFrame:
     """The same for a function that returns ``(status, body)``; adds ``status``, ``body`` and ``error``.
 
-    ``outcomes.outcome_rows`` reads the first two; a failed call has neither.
+    ``outcomes.outcome_rows`` reads the first two; a failed or late call has neither.
     """
-    called = _called(requests, connect, prompt, "status int, body string, error string", tasks, parallel_calls)
-    return called.select(*[c for c in requests.columns if c not in ("status", "body", "error")], "_call.*")
+    called = _called(requests, connect, prompt, "status int, body string", tasks, parallel_calls, limit)
+    added = {name: name for name in ("status", "body", "error")} | ({seconds: "seconds"} if seconds else {})
+    return called.select(
+        *[c for c in requests.columns if c not in added], *[F.col(f"_call.{field}").alias(name) for name, field in added.items()]
+    )
 
 
 def _called(
-    requests: DataFrame, connect: Callable[[], Callable], prompt: str, schema: str, tasks: int | None, parallel_calls: int
+    requests: DataFrame, connect: Callable[[], Callable], prompt: str, schema: str, tasks: int | None, parallel_calls: int, limit: float | None
 ) -> DataFrame:
-    """Add ``_call``, a struct of what the function returned, with the error text as its last field."""
-    names = [field.split()[0] for field in schema.split(", ")]
-    empty = (None,) * (len(names) - 1)
+    """Add ``_call``, a struct of what the function returned, the error text and the seconds that the call took."""
+    width = len(schema.split(", "))
+    names = [field.split()[0] for field in schema.split(", ")] + ["error", "seconds"]
 
-    def one_call(ask: Callable, text: str) -> tuple:
-        try:
-            found = ask(text)
-            return (*(found if len(empty) > 1 else (found,)), None)
-        except Exception as problem:  # noqa: BLE001 - any failure belongs to its row
-            return (*empty, str(problem))
+    def row(called) -> tuple:
+        if called is None:
+            return (None,) * len(names)
+        if called.error is not None:
+            return (*(None,) * width, called.error, called.seconds)
+        return (*(called.result if width > 1 else (called.result,)), None, called.seconds)
 
     def call(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        ask = connect()
-        with ThreadPoolExecutor(parallel_calls) as pool:
-            run = pool.map if parallel_calls > 1 else map  # threads only pay off for calls that wait
-            for prompts in batches:
-                present = prompts.notna()
-                results = list(run(lambda text: one_call(ask, text), prompts[present]))
-                found = pd.DataFrame(results, columns=names, index=prompts.index[present], dtype=object)
-                yield found.reindex(prompts.index)
+        prompts = (batch.astype(object).where(batch.notna(), None).tolist() for batch in batches)
+        for found in called_batches(prompts, connect(), parallel_calls, limit):
+            yield pd.DataFrame([row(called) for called in found], columns=names, dtype=object)
 
     call.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-    udf = F.pandas_udf(call, schema).asNondeterministic()
+    udf = F.pandas_udf(call, f"{schema}, error string, seconds double").asNondeterministic()
     spread = requests.coalesce(tasks) if tasks else requests
     return spread.withColumn("_call", udf(F.col(prompt)))
 

@@ -23,9 +23,8 @@ characters beyond ASCII, A-Z lower-cased.  Entities are compared in lower case,
 their digits (addresses: and dots).
 
 Everything is columns and joins.  Only what is next to mentions is paired with entities,
-so pairs grow with the mentions.  Joins and groups are by word or by entity and word;
-words that are not close to any entity often enough are filtered out before they are
-counted.
+so pairs grow with the mentions.  Joins and groups are by word or by entity and word, and
+words are counted within tasks before they move.
 
 Null texts are empty and have no spans.  Null and repeated ids are carried through, and
 every row is a document of its own.  An empty table gives no rows.  Only ``doc_id`` and
@@ -202,9 +201,9 @@ def disclosing_terms(documents: DataFrame, mentioned: DataFrame, disclosure: flo
     )
     candidates = kept(pairs.filter(F.col("contexts") >= min_contexts).select("entity", "term", "n_both"), "disclosure-candidates")
     n_entity = mentioned.groupBy("entity").agg(F.count_distinct("row").alias("n_entity"))
-    wanted = candidates.select("term").distinct()
+    # Counted within the tasks first: what moves is a task's vocabulary, not its words.
     each = documents.select(F.explode(_with_shapes(words(F.col("text")))).alias("term"))
-    n_term = each.join(wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    n_term = each.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     total = float(documents.count())
     share, known = F.col("n_both") / F.col("n_term"), F.col("n_entity") / F.lit(total)
     # The share of the information, solved for n(c, t) / n(t).
@@ -216,7 +215,8 @@ def _term_spans(documents: DataFrame, terms: DataFrame) -> DataFrame:
     """(key_1, key_2, terms): the places of the given terms in each text that has any, touching base spans or not."""
     rows = documents.select(F.col("doc_id").cast("long"), "text").select(*_content(), "text")
     each = rows.select("key_1", "key_2", F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
-    hits = each.join(terms, "term").groupBy("key_1", "key_2").agg(F.sort_array(F.collect_set("term")).alias("hits"))
+    # As a table its size is known, and texts only move if many have such terms.
+    hits = kept(each.join(terms, "term").groupBy("key_1", "key_2").agg(F.sort_array(F.collect_set("term")).alias("hits")), "term-hits")
     pattern = F.concat(F.lit(f"(?<!{_IN_WORD})(?:"), F.concat_ws("|", "hits"), F.lit(f")(?!{_IN_WORD})"))
     placed = rows.join(hits, ["key_1", "key_2"]).select("key_1", "key_2", matches(_folded(F.col("text")), pattern).alias("terms"))
     return placed.dropDuplicates(["key_1", "key_2"]).withColumn("terms", F.transform("terms", lambda s: F.struct(s["start"], s["end"], s["value"])))

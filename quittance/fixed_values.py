@@ -117,6 +117,8 @@ REQUEST_PARAMETERS = [
     ("first_image", 0.7, -1),
 ]
 PARALLEL_CALLS = 6
+# Seconds after which a request is given up, by dialect.
+REQUEST_SECONDS = {"plain": 120, "marked": 180, "typed": 300}
 
 # -- template names --
 FORMAT_TYPES = ["markdown", "text", "json", "structured", "key_value", "table"]

@@ -68,8 +68,10 @@ def process_documents(
     payload with the page image (see ``requests.image_request``). With ``http`` the
     caller's function returns ``(status, body)``, whose failures become outcomes too;
     else it returns the answer. No call for documents without a page, nor for blank
-    text where the dialect skips it. ``options`` go to ``apply_inference``.
+    text where the dialect skips it. ``options`` go to ``apply_inference``; ``limit``, the
+    seconds after which a call is given up, depends on the dialect otherwise.
     """
+    options = {"limit": fv.REQUEST_SECONDS[dialect.name]} | options
     text = build_prompt(F.coalesce("ocr_text", F.lit("")), instruction)
     asked = documents.withColumn("_prompt", F.when(F.col("input_state").isNull(), text if request is None else request))
     if not dialect.asks_blank_text and request is None:

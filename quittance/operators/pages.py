@@ -8,7 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from quittance import fixed_values as fv
+from quittance.operators.running import running_sums
 
+SEGMENT_CHARS = 1 << 20
 WORD_LISTS = ["text", "conf", "left", "top", "width", "height"]
 
 
@@ -45,6 +47,25 @@ def concat_pages(pages: DataFrame, doc: str = "doc_id") -> DataFrame:
     return pages.groupBy(doc).agg(F.array_join(ordered["text"], "").alias("text"))
 
 
+def page_segments(pages: DataFrame, doc: str = "doc_id", segment_chars: int = SEGMENT_CHARS) -> DataFrame:
+    """``concat_pages`` for documents of any number of pages: (doc, segment_no, first_page, text).
+
+    A segment holds whole pages, in order; a page belongs to the segment in which its
+    first character lies, counted in stretches of ``segment_chars`` from 0. So no
+    segment has more text than that and one page, and the segments of a document, by
+    number, are its text. Numbers have a gap where a page is longer than a stretch. The characters before a page are running sums split over tasks, so
+    that a document of any length is worked on by many. Page numbers are unique within a document;
+    a NULL text has no characters, a NULL document is one like others.
+    """
+    measured = pages.select(doc, "page_no", "text", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("_chars"))
+    sizes = running_sums(measured.drop("text"), [doc], ["page_no"], ["_chars"])
+    place = F.floor((F.col("_chars_upto") - F.col("_chars")) / segment_chars).alias("segment_no")
+    of = sizes.select(F.col(doc).alias("_doc"), F.col("page_no").alias("_page"), place)
+    placed = measured.join(of, F.col(doc).eqNullSafe(F.col("_doc")) & (F.col("page_no") == F.col("_page")))
+    ordered = F.array_sort(F.collect_list(F.struct("page_no", "text")))
+    return placed.groupBy(doc, "segment_no").agg(F.min("page_no").alias("first_page"), F.array_join(ordered["text"], "").alias("text"))
+
+
 def explode_ocr_words(scans: DataFrame, doc: str = "doc_id") -> DataFrame:
     """Parallel lists per scan -> one row per word."""
     return scans.select(doc, F.inline(F.arrays_zip(*WORD_LISTS)))

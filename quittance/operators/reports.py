@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from quittance import fixed_values as fv
 from quittance.functions.scalars import float_text, format_amount, format_date_display
+from quittance.operators.running import running_sums
 
 SUCCESS = ("ok", "missing_fields")
 
@@ -132,22 +133,25 @@ def mean_gate(points: DataFrame, group: str, value: str) -> DataFrame:
     )
 
 
-def otsu_threshold(points: DataFrame, group: str, value: str) -> DataFrame:
+def otsu_threshold(points: DataFrame, group: str, value: str, wide: bool = False) -> DataFrame:
     """Per group: the value that best splits the points into two classes.
 
     Highest between-class variance, the lower value on ties. All sums run over
-    the histogram.
+    the histogram. Grey values make a histogram of 256 rows at most; with ``wide`` the
+    histogram of a group may have any number of values, and its running sums are split over
+    tasks.
     """
-    weighted = F.col(value) * F.col("n")
-    upto = Window.partitionBy(group).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(group)
-    sums = histogram(points, group, value).select(
-        group, value,
-        F.sum("n").over(upto).alias("w0"), F.sum(weighted).over(upto).alias("s0"),
-        F.sum("n").over(whole).alias("w"), F.sum(weighted).over(whole).alias("s"),
-    )
-    w0, w1 = F.col("w0").cast("double"), (F.col("w") - F.col("w0")).cast("double")
-    gap = F.col("s0") / w0 - F.try_divide(F.col("s") - F.col("s0"), w1)
+    counts = histogram(points, group, value).withColumn("s", F.col(value) * F.col("n"))
+    if wide:
+        sums = running_sums(counts, [group], [value], ["n", "s"])
+    else:
+        upto = Window.partitionBy(group).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        whole = Window.partitionBy(group)
+        sums = counts.select(
+            group, value, *[F.sum(c).over(upto).alias(f"{c}_upto") for c in ("n", "s")], *[F.sum(c).over(whole).alias(f"{c}_total") for c in ("n", "s")]
+        )
+    w0, w1 = F.col("n_upto").cast("double"), (F.col("n_total") - F.col("n_upto")).cast("double")
+    gap = F.col("s_upto") / w0 - F.try_divide(F.col("s_total") - F.col("s_upto"), w1)
     variance = F.coalesce(w0 * w1 * gap * gap, F.lit(0.0))
     best = F.max_by(F.col(value), F.struct(variance, -F.col(value)))
     return sums.groupBy(group).agg(best.alias("threshold"))

@@ -339,6 +339,13 @@ def grey_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def price_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with prices in cents, in few groups."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_linenumber") != 7, F.col("l_returnflag")).alias("image"), F.round(F.col("l_extendedprice") * 100).cast("long").alias("price")
+    )
+
+
 _staged: dict[tuple[str, str], str] = {}
 
 

@@ -300,6 +300,7 @@ _IMAGE_PART = f"""'{{"type":"image_url","image_url":{{"url":"data:image/png;base
 # receipts of the inference queries: blank for doc_id % 9 = 8, the model fails for doc_id % 7 = 3
 _BLANK = "doc_id % 9 = 8"
 _FAILS = "doc_id % 7 = 3"
+_HANGS = "doc_id % 700 = 5"
 _RECEIPT = (
     f"CASE WHEN {_BLANK} THEN '  ' || chr(10) ELSE 'Beleg ' || number || ' vom ' || day_text || ' über ' || "
     f"{german('gross_c')} || ' Euro, MwSt ' || rate_pct || ' %' END"
@@ -458,6 +459,11 @@ FROM rows GROUP BY category, outcome""",
         "scan_pdf_manifest": _scan("NOT deep AND suffix IN ('pdf', 'PDF')"),
         "scan_pdf_manifest_cs": _scan("NOT deep AND suffix = 'pdf'"),
         "scan_recursive": _scan("suffix IN ('pdf', 'PDF')"),
+        "list_tree": _scan("suffix IN ('pdf', 'PDF')"),
+        "incremental_manifest": f"""WITH {_MANIFEST}
+SELECT path, file_name, CAST(CASE WHEN key % 4 <> 2 AND key % 3 = 0 THEN key + 1 ELSE key END AS BIGINT) AS length,
+  CASE WHEN key % 4 = 1 THEN 'new' WHEN key % 4 = 2 THEN 'gone' WHEN key % 3 = 0 THEN 'changed' ELSE 'unchanged' END AS state
+FROM manifest""",
         "scan_images": _scan("NOT deep AND suffix = 'png'"),
         "read_bytes": f"WITH {_STAGED} SELECT category, o_orderkey FROM staged",
         "path_exists_guard": f"""WITH {_STAGED}
@@ -471,6 +477,11 @@ UNION ALL SELECT 'input_missing', NULL""",
   CASE WHEN len(string_split(text, chr(10))) > 2 THEN 'ok' ELSE 'page_missing' END AS page_state FROM documents""",
         "first_page": "SELECT doc_id, string_split(text, chr(10))[1] AS text FROM documents",
         "concat_pages": "SELECT doc_id, replace(text, chr(10), '') AS text FROM documents",
+        "page_segments": f"""WITH {_PAGE}, placed AS (
+  SELECT doc_id, page_no, text, coalesce(sum(length(text)) OVER (PARTITION BY doc_id ORDER BY page_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM page)
+SELECT doc_id, CAST(before // 500 AS BIGINT) AS segment_no, CAST(min(page_no) AS INTEGER) AS first_page, string_agg(text, '' ORDER BY page_no) AS text
+FROM placed GROUP BY ALL""",
         "explode_pages": f"WITH {_PAGE} SELECT doc_id, CAST(page_no AS INTEGER) AS page_no, text FROM page",
         "explode_ocr_words": f"WITH {_WORD} SELECT * FROM ocr",
         "filter_confident_words": f"WITH {_WORD} SELECT doc_id, text, conf FROM ocr WHERE conf > 60",
@@ -508,6 +519,16 @@ SELECT doc_id, text, "left" AS x0, top AS y0, "left" + width AS x1, top + height
             CASE WHEN {_ANSWERED} THEN number END AS number, CASE WHEN {_ANSWERED} THEN day END AS day,
             CASE WHEN {_ANSWERED} THEN gross_c / 100.0 END AS gross"""
         ),
+        "inference_time_limits": _invoices(
+            f"""CASE WHEN {_BLANK} THEN NULL WHEN {_HANGS} THEN 'no answer within 1.5 s' WHEN {_FAILS} THEN '{_TIMEOUT}' END AS error,
+            CASE WHEN {_ANSWERED} AND NOT ({_HANGS}) THEN number END AS number, CASE WHEN {_ANSWERED} AND NOT ({_HANGS}) THEN day END AS day,
+            CASE WHEN {_ANSWERED} AND NOT ({_HANGS}) THEN gross_c / 100.0 END AS gross"""
+        ),
+        "resumed_inference": _invoices(
+            f"""CASE WHEN NOT ({_BLANK}) AND {_FAILS} THEN '{_TIMEOUT}' END AS error,
+            CASE WHEN {_ANSWERED} THEN number END AS number, CASE WHEN {_ANSWERED} THEN day END AS day,
+            CASE WHEN {_ANSWERED} THEN gross_c / 100.0 END AS gross"""
+        ),
         "join_responses": f"""WITH {_INVOICE}
 SELECT o_orderkey AS request_id, CASE WHEN doc_id IS NOT NULL THEN {RESPONSE} END AS response,
   CASE WHEN doc_id IS NOT NULL THEN 'ok' ELSE 'no_response' END AS response_state
@@ -682,6 +703,18 @@ dark AS (
   FROM points JOIN means ON points.image IS NOT DISTINCT FROM means.image GROUP BY means.image, mean)
 SELECT *, mean < 250 AND dark_points > 100 AS act FROM dark""",
         "otsu_threshold": f"WITH {_OTSU} SELECT image, threshold FROM otsu",
+        "otsu_threshold_wide": """WITH counts AS (
+  SELECT CASE WHEN l_linenumber <> 7 THEN l_returnflag END AS image, CAST(round(l_extendedprice * 100) AS BIGINT) AS price, count(*) AS n
+  FROM lineitem GROUP BY ALL),
+sums AS (
+  SELECT image, price, CAST(sum(n) OVER upto AS DOUBLE) AS w0, CAST(sum(n * price) OVER upto AS DOUBLE) AS s0,
+         CAST(sum(n) OVER whole - sum(n) OVER upto AS DOUBLE) AS w1, CAST(sum(n * price) OVER whole - sum(n * price) OVER upto AS DOUBLE) AS s1
+  FROM counts
+  WINDOW upto AS (PARTITION BY image ORDER BY price ROWS UNBOUNDED PRECEDING), whole AS (PARTITION BY image)),
+split AS (
+  SELECT image, price, CASE WHEN w1 > 0 THEN w0 * w1 * (s0 / w0 - s1 / w1) * (s0 / w0 - s1 / w1) ELSE 0 END AS variance FROM sums),
+placed AS (SELECT *, row_number() OVER (PARTITION BY image ORDER BY variance DESC, price) AS place FROM split)
+SELECT image, price AS threshold FROM placed WHERE place = 1""",
         "binarize": f"""WITH {_OTSU}
 SELECT points.image, grey, CASE WHEN grey > threshold THEN 255 ELSE 0 END AS bit
 FROM points JOIN otsu ON points.image IS NOT DISTINCT FROM otsu.image""",

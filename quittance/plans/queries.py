@@ -9,13 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from quittance import fixed_values as fv
 from quittance.functions import json_text as jt, labels, scalars as sc
 from quittance.operators import (
-    answers as an, inference, invoice_math as im, manifest as mf, numbering, outcomes, pages, reports,
+    answers as an, inference, invoice_math as im, ledger, manifest as mf, numbering, outcomes, pages, reports,
     requests as rq, responses,
 )
 from quittance.plans import derived as d, sample_model
 from quittance.session import new_folder
 from quittance.sinks import files as sinks
-from quittance.sources import files as sources
+from quittance.sources import files as sources, listing
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -71,6 +71,27 @@ def scan_recursive(spark, sf):
     return _bytes_per_category(sources.scan_manifest(spark, d.staged_files(spark, sf), recursive=True))
 
 
+@query
+def list_tree(spark, sf):
+    """The listing of ``scan_recursive``, made by the executors."""
+    return _bytes_per_category(listing.list_tree(spark, d.staged_files(spark, sf)))
+
+
+@query
+def incremental_manifest(spark, sf):
+    """A second listing against the first one: some files are new, some longer, some gone."""
+    key = F.col("key")
+    files = d.manifest(spark, sf).select(
+        "path", "file_name", F.substring_index("file_name", "_", 1).cast("long").alias("key")
+    ).withColumn("modified", F.timestamp_seconds(key))
+    folder = new_folder(spark, "manifest")
+    first = files.filter(key % 4 != 1).withColumn("length", key)
+    mf.commit_manifest(mf.manifest_changes(mf.known_manifest(spark, folder), first), folder)
+    second = files.filter(key % 4 != 2).withColumn("length", F.when(key % 3 == 0, key + 1).otherwise(key))
+    changes = mf.manifest_changes(mf.known_manifest(spark, folder), second)
+    return changes.select("path", "file_name", "length", "state")
+
+
 @query
 def scan_images(spark, sf):
     return _bytes_per_category(sources.scan_images(spark, d.staged_files(spark, sf) + "/*"))
@@ -80,9 +101,7 @@ def scan_images(spark, sf):
 def read_bytes(spark, sf):
     """The order keys out of the bytes of all files."""
     root = d.staged_files(spark, sf)
-    files = sources.bytes_of_manifest(
-        sources.scan_manifest(spark, root, [".pdf", ".txt", ".png"], recursive=True), sources.read_bytes(spark, root, recursive=True)
-    )
+    files = listing.read_listed(sources.scan_manifest(spark, root, [".pdf", ".txt", ".png"], recursive=True))
     lines = F.split(F.decode("content", "UTF-8"), "\n")
     return files.select(_category(F.col("path")).alias("category"), F.explode(lines).alias("line")).filter(
         "line <> ''"
@@ -132,6 +151,11 @@ def concat_pages(spark, sf):
     return pages.concat_pages(d.page_text(spark, sf))
 
 
+@query
+def page_segments(spark, sf):
+    return pages.page_segments(d.page_text(spark, sf), segment_chars=500)
+
+
 @query
 def explode_pages(spark, sf):
     return pages.explode_pages(d.paged_documents(spark, sf))
@@ -253,13 +277,12 @@ def skip_empty_text(spark, sf):
 # ---------------------------------------------------------------- inference
 
 
-@query
-def apply_inference(spark, sf):
+def _receipt_requests(spark, sf):
     texts = d.receipt_texts(spark, sf).select("doc_id", "text")
-    asked = rq.skip_empty_text(texts.withColumn("prompt", rq.build_prompt(F.col("text"))))
-    answered = inference.apply_inference(
-        asked.select("doc_id", "prompt"), sample_model.json_reader, parallel_calls=1
-    )
+    return rq.skip_empty_text(texts.withColumn("prompt", rq.build_prompt(F.col("text")))).select("doc_id", "prompt")
+
+
+def _receipt_facts(answered):
     parsed = an.parse_answers(answered, an.MARKED)
     keys = [("Rechnungsnummer", "number"), ("Datum", "day"), ("Gesamtbetrag", "gross")]
     part = F.col
@@ -270,6 +293,27 @@ def apply_inference(spark, sf):
     )
 
 
+@query
+def apply_inference(spark, sf):
+    return _receipt_facts(inference.apply_inference(_receipt_requests(spark, sf), sample_model.json_reader, parallel_calls=1))
+
+
+@query
+def inference_time_limits(spark, sf):
+    """Some calls take longer than the limit and cost their own row only."""
+    return _receipt_facts(
+        inference.apply_inference(_receipt_requests(spark, sf), sample_model.hanging_reader, parallel_calls=4, limit=sample_model.LIMIT)
+    )
+
+
+@query
+def resumed_inference(spark, sf):
+    """Half of the requests are in the ledger when all of them are asked for."""
+    requests, folder = _receipt_requests(spark, sf), new_folder(spark, "ledger")
+    ledger.ask_open_prompts(requests.filter("doc_id % 2 = 0"), sample_model.json_reader, folder, parallel_calls=1)
+    return _receipt_facts(ledger.apply_with_ledger(requests, sample_model.json_reader, folder, parallel_calls=1))
+
+
 @query
 def join_responses(spark, sf):
     asked = d.table(spark, sf, "orders").select(F.col("o_orderkey").alias("request_id"))
@@ -680,6 +724,12 @@ def otsu_threshold(spark, sf):
     return reports.otsu_threshold(d.grey_points(spark, sf), "image", "grey")
 
 
+@query
+def otsu_threshold_wide(spark, sf):
+    """Prices in cents as values: histograms as long as their groups."""
+    return reports.otsu_threshold(d.price_points(spark, sf), "image", "price", wide=True)
+
+
 @query
 def binarize(spark, sf):
     points = d.grey_points(spark, sf)

@@ -74,6 +74,7 @@ def read_bytes(spark: SparkSession, root: str, pattern: str | None = None, recur
 def bytes_of_manifest(manifest: DataFrame, contents: DataFrame) -> DataFrame:
     """Exactly the listed files with their contents, NULL for a file that was not readable.
 
+    For file systems that only Spark opens; ``listing.read_listed`` needs no copy.
     Contents are read once, into a table in the shared folder. From then on only
     paths are matched: which were read but are not listed (usually none), and which
     are listed but were not read.

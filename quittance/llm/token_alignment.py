@@ -21,17 +21,18 @@ byte for byte behind the space, have no tokens.
 
 Null and repeated ids are carried through, every row is a document of its own and counts
 in the pair counts; of pairs with equal counts all are best.  An empty table gives no rows.
-Only ``doc_id`` and ``text`` are read.  A very long text is encoded whole; its tokens and
-ends are in one task's memory.
+Only ``doc_id`` and ``text`` are read.  A very long text is worked on whole; its tokens
+are in one task's memory.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
-from itertools import accumulate, count
+from itertools import chain, count
 from pathlib import Path
 from typing import NamedTuple
 
@@ -42,6 +43,9 @@ from pyspark.sql import DataFrame, functions as F
 from quittance.llm.tables import kept, map_batches
 
 BLOCK_BYTES = 1 << 19
+REMEMBERED = 300_000  # words
+LONGEST_REMEMBERED = 64
+_BORDER = re.compile(r"(?<=\S)(?= \S)")
 SPACE = "\u2581"
 _BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
 
@@ -68,6 +72,17 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(0x100 + i): b for i, b in enumerate(others)}
 
 
+class Aligned(NamedTuple):
+    n_a: int
+    n_b: int
+    n_groups: int
+    groups: str
+    links: bytes
+
+
+NOTHING = Aligned(0, 0, 0, "", b"")
+
+
 class Tokenizers:
     """Both tokenizers with the bytes of their ids.
 
@@ -93,19 +108,72 @@ class Tokenizers:
         self.b = sentencepiece.SentencePieceProcessor(model_file=paths.b)
         by_id = {i: token for token, i in ranks.items()}
         self.a_bytes = [by_id.get(i, b"") for i in range(max(ranks.values()) + 1)]
-        self.b_bytes = [
-            bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace(SPACE, " ").encode()
-            for i, piece in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))
-        ]
+        pieces = list(map(self.b.id_to_piece, range(self.b.get_piece_size())))
+        self.b_bytes = [bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace(SPACE, " ").encode() for i, piece in enumerate(pieces)]
         self.a_names, self.b_names = (list(map(str, range(len(side)))) for side in (self.a_bytes, self.b_bytes))
         self.a_length, self.b_length = (list(map(len, side)) for side in (self.a_bytes, self.b_bytes))
         self.pair_type = np.dtype(np.uint32 if len(self.a_bytes) * len(self.b_bytes) <= 1 << 32 else np.uint64)
+        # Then no piece reaches over the space in front of a word.
+        self.by_words = not any(re.search(f"[^{SPACE}]{SPACE}", piece) for piece in pieces) and self.b.encode("a b", out_type=str) == [f"{SPACE}a", f"{SPACE}b"]
+        self.known: dict[str, Aligned | None] = {}
 
     def encode(self, texts: Sequence[str]) -> tuple[list[list[int]], list[list[int]]]:
-        return [self.a.encode_ordinary(" " + text) for text in texts], self.b.encode(list(texts), num_threads=1)
-
-    def give_back(self, ids_a: Sequence[int], ids_b: Sequence[int], raw: bytes) -> bool:
-        return b"".join(map(self.a_bytes.__getitem__, ids_a)) == raw == b"".join(map(self.b_bytes.__getitem__, ids_b))
+        """Ids of both sides for texts that start with the space."""
+        return [self.a.encode_ordinary(text) for text in texts], self.b.encode([text[1:] for text in texts], num_threads=1)
+
+    def align(self, texts: Sequence[str]) -> list[Aligned | None]:
+        """Groups and links of each text, which starts with the space; None if one side does not give it back.
+
+        The texts are aligned at once, as if they were one: each ends where tokens of both sides end.
+        """
+        ids = self.encode(texts)
+        raw = [text.encode() for text in texts]
+        last = [np.cumsum(list(map(len, side))) for side in ids]  # tokens up to the end of each text
+        flat = [list(chain.from_iterable(side)) for side in ids]
+        ends = [np.cumsum([length[i] for i in side]) for length, side in zip((self.a_length, self.b_length), flat, strict=True)]
+        text_ends = np.cumsum(list(map(len, raw)))
+        whole = b"".join(raw)
+        same = all(
+            here.all() and np.array_equal(at[here - 1], text_ends) and b"".join([token[i] for i in side]) == whole
+            for here, at, token, side in zip(last, ends, (self.a_bytes, self.b_bytes), flat, strict=True)
+        )
+        if not same:
+            return [None] if len(texts) == 1 else [found for text in texts for found in self.align([text])]
+        to_a, to_b = cuts(ends[0].tolist(), ends[1].tolist())
+        groups = shown([self.a_names[i] for i in flat[0]], [self.b_names[i] for i in flat[1]], to_a, to_b)
+        last_a, last_b = (np.array(side, np.int64)[np.array(to, np.int64) - 1] for side, to in zip(flat, (to_a, to_b), strict=True))
+        links = (last_a * len(self.b_bytes) + last_b).astype(self.pair_type).tobytes()
+        found, size = [], self.pair_type.itemsize
+        i = at_a = at_b = 0
+        for j, end_a, end_b in zip(np.searchsorted(to_a, last[0], side="right").tolist(), last[0].tolist(), last[1].tolist(), strict=True):
+            found.append(Aligned(end_a - at_a, end_b - at_b, j - i, ";".join(groups[i:j]), links[i * size : j * size]))
+            i, at_a, at_b = j, end_a, end_b
+        return found
+
+    def align_texts(self, texts: Sequence[str | None]) -> Iterator[Aligned]:
+        """Word by word: a single space between two words is a border of tokens on both sides.
+
+        No token of A or B reaches over it, so the groups of a text are those of its
+        words, one after the other, and words are aligned once and remembered.
+        """
+        words = [(_BORDER.split(f" {text}") if self.by_words else [f" {text}"]) if text else [] for text in texts]
+        if len(self.known) > REMEMBERED:
+            self.known = {}
+        new = list({word for some in words for word in some if word not in self.known})
+        if new:
+            self.known.update(zip(new, self.align(new), strict=True))
+        for text, some in zip(texts, words, strict=True):
+            found = [self.known[word] for word in some]
+            if None in found and len(found) > 1:  # only the whole text can tell
+                found = self.align([f" {text}"])
+            if not found or None in found:
+                yield NOTHING
+                continue
+            n_a, n_b, n_groups, groups, links = zip(*found, strict=True)
+            yield Aligned(sum(n_a), sum(n_b), sum(n_groups), ";".join(groups), b"".join(links))
+        for word in new:
+            if len(word) > LONGEST_REMEMBERED:
+                del self.known[word]
 
 
 @lru_cache(1)
@@ -124,30 +192,20 @@ def most_pairs(a_bytes: Sequence[bytes], b_bytes: Sequence[bytes]) -> int:
     return b_in_a + sum(of_a.get(token[i:], 0) for token in b_bytes for i in range(1, len(token)))
 
 
-def cuts(ids_a: Sequence[int], ids_b: Sequence[int], length_a: Sequence[int], length_b: Sequence[int]) -> tuple[list[int], list[int]]:
-    """Where the groups end: indices behind the last token of each group, in A and in B.
-
-    ``length_a`` and ``length_b`` have the bytes of each id, which are never none.
-    """
-    at_a = dict(zip(accumulate(map(length_a.__getitem__, ids_a)), count(1)))
-    at_b = dict(zip(accumulate(map(length_b.__getitem__, ids_b)), count(1)))
+def cuts(ends_a: Sequence[int], ends_b: Sequence[int]) -> tuple[list[int], list[int]]:
+    """Where the groups end: indices behind the last token of each group, in A and in B."""
+    at_a = dict(zip(ends_a, count(1)))
+    at_b = dict(zip(ends_b, count(1)))
     common = sorted(at_a.keys() & at_b.keys())
     return list(map(at_a.__getitem__, common)), list(map(at_b.__getitem__, common))
 
 
-def groups(ids_a: Sequence, ids_b: Sequence, to_a: Sequence[int], to_b: Sequence[int]) -> list[tuple[Sequence, Sequence]]:
-    """The slices of both lists, group by group."""
-    return [(ids_a[i:j], ids_b[k:m]) for i, j, k, m in zip([0, *to_a], to_a, [0, *to_b], to_b, strict=False)]
-
-
-def shown(names_a: Sequence[str], names_b: Sequence[str], to_a: Sequence[int], to_b: Sequence[int]) -> str:
-    """``a1,a2|b1;a3|b2,b3``"""
-    return ";".join(
-        [
-            f"{names_a[i]}|{names_b[k]}" if j - i == m - k == 1 else f"{','.join(names_a[i:j])}|{','.join(names_b[k:m])}"
-            for i, j, k, m in zip([0, *to_a], to_a, [0, *to_b], to_b, strict=False)
-        ]
-    )
+def shown(names_a: Sequence[str], names_b: Sequence[str], to_a: Sequence[int], to_b: Sequence[int]) -> list[str]:
+    """``a1,a2|b1`` for each group."""
+    return [
+        f"{names_a[i]}|{names_b[k]}" if j - i == m - k == 1 else f"{','.join(names_a[i:j])}|{','.join(names_b[k:m])}"
+        for i, j, k, m in zip([0, *to_a], to_a, [0, *to_b], to_b, strict=False)
+    ]
 
 
 _ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, groups string, links binary"
@@ -179,17 +237,10 @@ def aligned(documents: DataFrame, paths: Paths | None = None, digests: bool = Fa
         for batch in batches:
             for first, texts in _texts(batch.column(1)):
                 rows = []
-                encoded = iter(list(zip(*both.encode([text for text in texts if text]), strict=True)))
-                for text in texts:
-                    ids_a, ids_b = next(encoded) if text else ((), ())
-                    if not text or not both.give_back(ids_a, ids_b, b" " + text.encode()):
-                        rows.append((0, 0, 0, "", b""))
-                        continue
-                    to_a, to_b = cuts(ids_a, ids_b, both.a_length, both.b_length)
-                    text = shown([both.a_names[i] for i in ids_a], [both.b_names[i] for i in ids_b], to_a, to_b)
-                    last_a, last_b = (np.array(ids, np.uint64)[np.array(to) - 1] for ids, to in ((ids_a, to_a), (ids_b, to_b)))
-                    links = (last_a * np.uint64(len(both.b_bytes)) + last_b).astype(both.pair_type).tobytes()
-                    rows.append((len(ids_a), len(ids_b), len(to_a), hashlib.sha256(text.encode()).hexdigest() if digests else text, links))
+                for found in both.align_texts(texts):
+                    if digests and found.n_a:
+                        found = found._replace(groups=hashlib.sha256(found.groups.encode()).hexdigest())
+                    rows.append(found)
                 columns = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -186,7 +186,21 @@ def test_both_libraries_give_the_ids_of_a(libraries):
     rnd = random.Random(2)
     parts = [*"abc  \n\t'srvemld éü中日12٣\u0085\xa0 \x1c,.!\U0001f600", "'ll", "'re", "   ", "''", "the", "\r\n", "<|endoftext|>"]
     texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 40))) for _ in range(3000)]
-    assert both.encode(texts)[0] == [found.ids for found in a.encode_batch([" " + text for text in texts], add_special_tokens=False)]
+    assert both.encode([" " + text for text in texts])[0] == [found.ids for found in a.encode_batch([" " + text for text in texts], add_special_tokens=False)]
+
+
+def test_word_by_word_equals_whole_texts(libraries, monkeypatch):
+    words, whole = (token_alignment.Tokenizers(token_alignment.default_paths()) for _ in range(2))
+    assert words.by_words
+    whole.by_words = False
+    rnd = random.Random(5)
+    parts = [*"abc   \n\t'srvemld éü中日12٣\u0085\xa0 \x1c\u2028,.!\U0001f600▁", "'ll", " the", " von", "\r\n", "  ", " x" * 40, "y" * 80, "\u2003"]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 30))) for _ in range(1500)] + ["plain words only", None, "", "a b"]
+    expected = list(whole.align_texts(texts))
+    assert list(words.align_texts(texts)) == expected
+    monkeypatch.setattr(token_alignment, "REMEMBERED", 3)
+    assert [found for i in range(0, len(texts), 50) for found in words.align_texts(texts[i : i + 50])] == expected
+    assert sum(found.n_a > 0 for found in expected) > 500 and max(map(len, words.known)) <= token_alignment.LONGEST_REMEMBERED
 
 
 def test_bound_of_pairs():

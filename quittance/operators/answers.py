@@ -6,7 +6,7 @@ absent key, how failed documents are filled, and whether fields are typed.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field as data_field
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -94,13 +94,20 @@ def field_parts(parsed: DataFrame, keys: Sequence[tuple[str, str]] = tuple(fv.FI
     )
 
 
-def field_value(name: str, typed: bool, absent: str) -> Column:
-    kind, text = F.col(f"_k_{name}"), F.col(f"_t_{name}")
-    if typed and name == fv.DATE_FIELD:
-        return jt.date_of(kind, text)
-    if typed and name in fv.AMOUNT_FIELDS:
-        return jt.amount_of(kind, text)
-    return jt.text_or(kind, text, absent)
+def _each(names: Sequence[str], read: Callable[[Column, Column], Column]) -> Column:
+    """One function over the kind and text of several fields, as an array.
+
+    Written out field by field, the code of a row is longer than what the JVM compiles.
+    """
+    parts = F.array(*[F.struct(F.col(f"_k_{name}").alias("kind"), F.col(f"_t_{name}").alias("text")) for name in names])
+    return F.transform(parts, lambda part: read(part["kind"], part["text"]))
+
+
+def shown_fields(parsed: DataFrame) -> DataFrame:
+    """The eight fields as text, NULL for absent keys."""
+    kept, names = [c for c in parsed.columns if c != "answer"], [name for _, name in fv.FIELDS]
+    read = field_parts(parsed).select(*kept, _each(names, jt.shown_text).alias("_texts"))
+    return read.select(*kept, *[F.col("_texts")[i].alias(name) for i, name in enumerate(names)])
 
 
 def project_fields(parsed: DataFrame, dialect: Dialect) -> DataFrame:
@@ -110,9 +117,17 @@ def project_fields(parsed: DataFrame, dialect: Dialect) -> DataFrame:
     rows without an object.
     """
     kept = [c for c in parsed.columns if c != "answer"]
-    values = [field_value(name, dialect.typed, dialect.absent).alias(name) for _, name in fv.FIELDS]
-    missing = F.array_contains(F.array(*[F.col(f"_k_{name}").isNull() for _, name in fv.FIELDS]), True)
-    return field_parts(parsed).select(*kept, *values, missing.alias("fields_missing"))
+    names = [name for _, name in fv.FIELDS]
+    dates = [name for name in names if dialect.typed and name == fv.DATE_FIELD]
+    amounts = [name for name in names if dialect.typed and name in fv.AMOUNT_FIELDS]
+    texts = [name for name in names if name not in dates and name not in amounts]
+    missing = F.array_contains(F.array(*[F.col(f"_k_{name}").isNull() for name in names]), True)
+    groups = [("_texts", texts, lambda kind, text: jt.text_or(kind, text, dialect.absent)), ("_amounts", amounts, jt.amount_of), ("_dates", dates, jt.date_of)]
+    read = field_parts(parsed).select(
+        *kept, missing.alias("fields_missing"), *[_each(of, function).alias(group) for group, of, function in groups if of]
+    )
+    place = {name: F.col(group)[i].alias(name) for group, of, _ in groups for i, name in enumerate(of)}
+    return read.select(*kept, *[place[name] for name in names], "fields_missing")
 
 
 def validate_schema(parsed: DataFrame) -> DataFrame:

@@ -93,7 +93,7 @@ def _finish(opened: DataFrame, documents: DataFrame, dialect: Dialect, page_no:
     rows = parsed.select(
         "*",
         F.col("outcome").isin("ok", "missing_fields").alias("_usable"),
-        (F.col("outcome").isin(sorted(dialect.broken_outcomes)) | _broken_envelope()).alias("_broken"),
+        F.when(F.col("outcome").isin(sorted(dialect.broken_outcomes)) | _broken_envelope(), dialect.broken).otherwise(dialect.absent).alias("_fill"),
         F.substring(strip(F.col("response")), 1, 1).alias("_first"),
     )
     filled = [_fill(name, dialect) for _, name in fv.FIELDS]
@@ -142,7 +142,7 @@ def _fill(name: str, dialect: Dialect) -> Column:
     value = F.when(F.col("_usable"), F.col(name))
     if dialect.typed and (name == fv.DATE_FIELD or name in fv.AMOUNT_FIELDS):
         return value.alias(name)
-    return value.when(F.col("_broken"), dialect.broken).otherwise(dialect.absent).alias(name)
+    return value.otherwise(F.col("_fill")).alias(name)
 
 
 def _raw(dialect: Dialect, page_no: int) -> Column:

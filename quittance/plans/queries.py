@@ -367,10 +367,7 @@ def envelope_fallback(spark, sf):
 
 def _extracted(spark: SparkSession, sf: str, dialect: an.Dialect) -> DataFrame:
     parsed = an.parse_answers(d.answers(spark, sf).select("doc_id", "response"), dialect)
-    return an.field_parts(parsed).select(
-        "doc_id", "answer_kind",
-        *[jt.shown_text(F.col(f"_k_{name}"), F.col(f"_t_{name}")).alias(name) for _, name in fv.FIELDS],
-    )
+    return an.shown_fields(parsed).select("doc_id", "answer_kind", *[name for _, name in fv.FIELDS])
 
 
 @query

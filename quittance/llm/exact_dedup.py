@@ -29,7 +29,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from quittance.llm.tables import free_name, kept, map_batches
+from quittance.llm.tables import content_keys, kept, map_batches, without_rows
 
 FAN_IN = 8
 _BLANKS = b" \t\n\x0b\x0c\r"
@@ -39,29 +39,29 @@ def normal_bytes(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass").translate(None, _BLANKS)
 
 
-def _keys(documents: DataFrame, row: str | None) -> DataFrame:
-    """Per row: its number, id, length, digests and the run that it belongs to."""
-    number = F.col(row) if row else F.monotonically_increasing_id()
+def _keys(documents: DataFrame) -> DataFrame:
+    """Per row: its number, id, length, content keys, digests and the run that it belongs to."""
     frame = documents.select(
-        number.alias("row"), F.col("doc_id").cast("long"), F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"), "text"
+        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"),
+        *content_keys(), "text",
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         for batch in batches:
             found = []
-            for text in batch.column(3).to_pylist():
+            for text in batch.column(5).to_pylist():
                 raw = normal_bytes(text)
                 found.append((hashlib.sha256(raw).digest(), len(raw).to_bytes(8) + xxhash.xxh3_64_digest(raw)))
             yield pa.RecordBatch.from_arrays(
                 [
-                    *batch.columns[:3], pa.array([d for d, _ in found], pa.binary()), pa.array([c for _, c in found], pa.binary()),
+                    *batch.columns[:5], pa.array([d for d, _ in found], pa.binary()), pa.array([c for _, c in found], pa.binary()),
                     pa.array([part] * len(found), pa.int64()),
                 ],
-                names=["row", "doc_id", "n_chars", "digest", "proof", "run"],
+                names=["row", "doc_id", "n_chars", "key_1", "key_2", "digest", "proof", "run"],
             )
 
-    return map_batches(frame, run, "row long, doc_id long, n_chars long, digest binary, proof binary, run long")
+    return map_batches(frame, run, "row long, doc_id long, n_chars long, key_1 long, key_2 long, digest binary, proof binary, run long")
 
 
 _ENTRY = "run long, digest binary, proof binary, n_chars long, doc_id long, row long, n long"
@@ -137,17 +137,17 @@ def merged(keys: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
 
 
 def resolve(keys: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
-    """Per row of ``keys``: row, doc_id, digest, keep_id, keep_row, group_size."""
+    """Per row of ``keys``: row, doc_id, content keys, digest, keep_id, keep_row, group_size."""
     result = kept(merged(keys, fan_in), "digests").select(
         "digest", "proof", F.col("doc_id").alias("keep_id"), F.col("row").alias("keep_row"), F.col("n").alias("group_size")
     )
     per_run = keys.groupBy("run", "digest", "proof").agg(F.count(F.lit(1)).alias("here")).join(result, ["digest", "proof"])
-    return keys.select("row", "doc_id", "run", "digest", "proof").join(per_run.drop("here"), ["run", "digest", "proof"])
+    return keys.select("row", "doc_id", "key_1", "key_2", "run", "digest", "proof").join(per_run.drop("here"), ["run", "digest", "proof"])
 
 
 def exact_groups(documents: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
     """One row per document, dropped ones too."""
-    found = resolve(kept(_keys(documents, None), "keys"), fan_in)
+    found = resolve(kept(_keys(documents), "keys"), fan_in)
     return found.select(
         "doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
@@ -157,10 +157,8 @@ def exact_groups(documents: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
 def without_copies(documents: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
     """The documents that stay, with all their columns.
 
-    The documents are written once with a row number, so that rows that agree in
-    everything can be told apart.
+    Dropped rows are found again by two hashes of id and text; of rows that agree in
+    both, one stays.
     """
-    row = free_name(documents, "row")
-    numbered = kept(documents.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    stays = kept(merged(kept(_keys(numbered, row), "keys"), fan_in), "digests").select(F.col("row").alias(row))
-    return numbered.join(stays, row, "left_semi").select(*documents.columns)
+    found = resolve(kept(_keys(documents), "keys"), fan_in)
+    return without_rows(documents, found.select("key_1", "key_2", (F.col("row") == F.col("keep_row")).alias("kept")))

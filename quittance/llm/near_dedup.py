@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from quittance.llm.batches import Texts, blocks, mix, run_hashes, word_hashes, words
 from quittance.llm.graph import components
-from quittance.llm.tables import free_name, kept, map_batches
+from quittance.llm.tables import content_keys, kept, map_batches, without_rows
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -126,15 +126,9 @@ def _blocks(column) -> Iterator[Texts]:
             yield block._replace(first=block.first + start)
 
 
-def _content() -> tuple[Column, Column]:
-    """Two hashes that find a row's text again in a later pass."""
-    return F.xxhash64("doc_id", "text").alias("key_1"), F.xxhash64("text", F.lit(1), "doc_id").alias("key_2")
-
-
-def _signed(documents: DataFrame, row: str | None) -> DataFrame:
+def _signed(documents: DataFrame) -> DataFrame:
     """Per row: number, id, content keys, digest of the shingle set (null without words), size, bands at equal weights, further bands by counts."""
-    number = F.col(row) if row else F.monotonically_increasing_id()
-    frame = documents.select(number.alias("row"), F.col("doc_id").cast("long"), *_content(), "text")
+    frame = documents.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), *content_keys(), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,7 +177,7 @@ def _shingle_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
                     [part.column(0), pa.array(np.diff(at), pa.int32()), pa.array(sets, pa.binary())], names=["text", "n", "shingles"]
                 )
 
-    texts = documents.select(*_content(), F.col("text").alias("words"))
+    texts = documents.select(*content_keys(), F.col("text").alias("words"))
     found = texts.join(wanted, ["key_1", "key_2"]).select("text", "words")
     # Repeated rows share id and text: one of them is enough.
     return map_batches(found, run, "text long, n int, shingles binary").dropDuplicates(["text"])
@@ -281,9 +275,9 @@ def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     return roots.join(changed, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
 
 
-def classes(documents: DataFrame, row: str | None = None, similarity: float = SIMILARITY) -> DataFrame:
-    """One row per document: row, doc_id, class (a number; null without words), from which ``groups`` makes ids."""
-    signed = kept(_signed(documents, row), "signatures")
+def classes(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """One row per document: row, doc_id, content keys, class (a number; null without words), from which ``groups`` makes ids."""
+    signed = kept(_signed(documents), "signatures")
     texts = kept(
         signed.filter("digest IS NOT NULL").groupBy("digest").agg(F.min(F.struct("row", "key_1", "key_2", "bands")).alias("best"))
         .select("digest", F.col("best.row").alias("text"), "best.key_1", "best.key_2", "best.bands"),
@@ -319,26 +313,26 @@ def classes(documents: DataFrame, row: str | None = None, similarity: float = SI
     by_digest = texts.join(roots.select(F.col("node").alias("text"), "root"), "text", "left").select(
         "digest", F.coalesce("root", "text").alias("class")
     )
-    return signed.select("row", "doc_id", "digest").join(by_digest, "digest", "left").select("row", "doc_id", "class")
+    rows = signed.select("row", "doc_id", "key_1", "key_2", "digest")
+    without = rows.filter("digest IS NULL").withColumn("class", F.lit(None).cast("long"))
+    return rows.filter("digest IS NOT NULL").join(by_digest, "digest").select(*rows.columns, "class").union(without).drop("digest")
 
 
-def groups(documents: DataFrame, row: str | None = None, similarity: float = SIMILARITY) -> DataFrame:
-    """One row per document: row, doc_id, class_id (its smallest doc_id), class_size, kept (one per class)."""
-    found = kept(classes(documents, row, similarity), "document-classes")
+def groups(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """One row per document: row, doc_id, content keys, class_id (its smallest doc_id), class_size, kept (one per class)."""
+    found = kept(classes(documents, similarity), "document-classes")
+    own = ["row", "doc_id", "key_1", "key_2"]
     alone = found.filter("class IS NULL").select(
-        "row", "doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("kept")
+        *own, F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("kept")
     )
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
     heads = kept(found.filter("class IS NOT NULL").groupBy("class").agg(first.alias("head"), F.count(F.lit(1)).alias("class_size")), "class-heads")
     grouped = found.filter("class IS NOT NULL").join(heads, "class").select(
-        "row", "doc_id", F.col("head.doc_id").alias("class_id"), "class_size", (F.col("row") == F.col("head.row")).alias("kept")
+        *own, F.col("head.doc_id").alias("class_id"), "class_size", (F.col("row") == F.col("head.row")).alias("kept")
     )
     return grouped.union(alone)
 
 
 def without_near_copies(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One document of each group (the smallest id), with all columns."""
-    row = free_name(documents, "row")
-    numbered = kept(documents.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    gone = groups(numbered, row, similarity).filter("NOT kept").select(F.col("row").alias(row))
-    return numbered.join(gone, row, "left_anti").select(*documents.columns)
+    return without_rows(documents, groups(documents, similarity).select("key_1", "key_2", "kept"))

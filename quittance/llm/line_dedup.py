@@ -29,7 +29,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quittance.llm.tables import kept, map_batches
+from quittance.llm.tables import free_name, kept, map_batches
 
 MIN_DOCUMENTS = 10
 SHARD_ROWS = 50_000
@@ -264,6 +264,7 @@ def _mistaken(state: State, keys: DataFrame, wave: dict[int, bytes]) -> set[byte
 def clean(state: State, documents: DataFrame, text: str = "text", indexed: bool = False) -> DataFrame:
     """Adds n_lines (before) and n_dropped, and drops the frequent lines from the text; other columns stay.
 
+    The two are the last columns; where the frame has such names, theirs are longer.
     indexed: the documents are among those inserted, so that the counts hold all their keys.
     """
     spark = documents.sparkSession
@@ -271,8 +272,9 @@ def clean(state: State, documents: DataFrame, text: str = "text", indexed: bool
     if not indexed:
         seen = document_keys(documents, state.shards, text).select("shard", "key")
         keys = kept(seen.join(state.counts, ["shard", "key"], "left").select("key", F.coalesce("n", F.lit(0)).alias("n")), "line-keys")
-    columns = [c for c in documents.columns if c not in ("n_lines", "n_dropped")]
-    frame = documents.select(*columns, F.lit(-1).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dropped"))
+    columns = documents.columns
+    counts = [free_name(documents, name) for name in ("n_lines", "n_dropped")]
+    frame = documents.select("*", *[F.lit(start).cast("long").alias(name) for start, name in zip((-1, 0), counts, strict=True)])
     place, n_lines_at, n_dropped_at = columns.index(text), len(columns), len(columns) + 1
     for wave in [*_waves(state)] or [{}]:
         shared = spark.sparkContext.broadcast((wave, state.shards, _mistaken(state, keys, wave) if wave else set()))

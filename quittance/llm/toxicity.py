@@ -12,7 +12,11 @@ document's score under the swap, so that naming a group by itself moves no score
 however often that group's mentions are toxic in the sample.
 
 The word lists of ``IDENTITY_TERMS`` are a parameter.  Labels, language, source and
-id are not inputs.  Null texts count as empty and get a score too.
+id are not inputs.  Null texts count as empty and get a score too.  Null ids are never
+learnt from; of rows with one id one teaches, and ids with contradicting labels do not
+(see ``labelled``).  Repeated rows are scored alike.  Labels of one class, or none, teach nothing: then every score
+is close to 0 and no document counts as toxic.  An empty table gives no rows.  A very long
+text is scored whole, a block of its own.
 """
 
 from __future__ import annotations
@@ -35,6 +39,7 @@ SAMPLE_ROWS = 8000
 MODEL_FEATURES = 4096
 LEAST_DOCUMENTS = 4
 PENALTY = 4.0
+L2 = 2e-4
 IDENTITY_TERMS: tuple[tuple[str, ...], ...] = (
     ("women", "men"), ("woman", "man"), ("girls", "boys"),
     ("christians", "muslims", "jews", "hindus", "buddhists", "atheists"),
@@ -110,30 +115,47 @@ def _model(hashes: np.ndarray, weights: np.ndarray, bias: float) -> Model:
     return Model(hashes[order], weights[order], float(bias), maybe)
 
 
-def _train(
-    seen: list[np.ndarray], swapped: list[np.ndarray], label: np.ndarray, n: int, penalty: float, steps: int = 400
-) -> tuple[np.ndarray, float]:
-    """Logistic loss + L2 + ``penalty`` * mean squared change of the logit under the swap; n: features."""
-    row = np.repeat(np.arange(len(seen)), [len(x) for x in seen])
-    column = np.concatenate(seen) if seen else np.zeros(0, np.int64)
-    changed = [i for i in range(len(seen)) if not np.array_equal(seen[i], swapped[i])]
-    gone = [np.setdiff1d(seen[i], swapped[i]) for i in changed]
-    come = [np.setdiff1d(swapped[i], seen[i]) for i in changed]
-    d_row = np.repeat(np.arange(len(changed)), [len(a) + len(b) for a, b in zip(gone, come, strict=True)])
-    d_column = np.concatenate([np.concatenate(p) for p in zip(gone, come, strict=True)]) if changed else np.zeros(0, np.int64)
-    d_sign = np.concatenate([np.r_[-np.ones(len(a)), np.ones(len(b))] for a, b in zip(gone, come, strict=True)]) if changed else np.zeros(0)
-    d_column = d_column.astype(np.int64)
-    rate = np.clip(label.mean(), 1e-3, 1 - 1e-3)
+class Sample(NamedTuple):
+    """Labelled documents as (row, column) of the features they have, and what the swap takes (-1) and brings (+1)."""
+
+    row: np.ndarray
+    column: np.ndarray
+    label: np.ndarray
+    d_row: np.ndarray
+    d_column: np.ndarray
+    d_sign: np.ndarray
+    changed: int  # documents that the swap changes
+
+    @classmethod
+    def of(cls, seen: list[np.ndarray], swapped: list[np.ndarray], label: np.ndarray) -> Sample:
+        row = np.repeat(np.arange(len(seen)), [len(x) for x in seen])
+        column = np.concatenate(seen) if seen else np.zeros(0, np.int64)
+        changed = [i for i in range(len(seen)) if not np.array_equal(seen[i], swapped[i])]
+        gone = [np.setdiff1d(seen[i], swapped[i]) for i in changed]
+        come = [np.setdiff1d(swapped[i], seen[i]) for i in changed]
+        d_row = np.repeat(np.arange(len(changed)), [len(a) + len(b) for a, b in zip(gone, come, strict=True)])
+        d_column = np.concatenate([np.concatenate(p) for p in zip(gone, come, strict=True)]) if changed else np.zeros(0, np.int64)
+        d_sign = np.concatenate([np.r_[-np.ones(len(a)), np.ones(len(b))] for a, b in zip(gone, come, strict=True)]) if changed else np.zeros(0)
+        return cls(row, column, label, d_row, d_column.astype(np.int64), d_sign, len(changed))
+
+    def gradient(self, w: np.ndarray, bias: float, penalty: float) -> np.ndarray:
+        """Of the mean logistic loss + L2 / 2 + ``penalty`` * mean squared change of the logit under the swap; the bias last."""
+        logit = bias + np.bincount(self.row, w[self.column], minlength=len(self.label))
+        error = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - self.label) / len(self.label)
+        g = np.bincount(self.column, error[self.row], minlength=len(w)) + L2 * w
+        if self.changed:
+            change = np.bincount(self.d_row, self.d_sign * w[self.d_column], minlength=self.changed)
+            g += penalty * np.bincount(self.d_column, 2 * change[self.d_row] * self.d_sign / self.changed, minlength=len(w))
+        return np.append(g, error.sum())
+
+
+def _train(sample: Sample, n: int, penalty: float, steps: int = 400) -> tuple[np.ndarray, float]:
+    """Weights of ``n`` features and the bias, by steps along the gradient."""
+    rate = np.clip(sample.label.mean(), 1e-3, 1 - 1e-3)
     w, bias = np.zeros(n), np.log(rate / (1 - rate))
     m, v = np.zeros(n + 1), np.zeros(n + 1)
     for step in range(1, steps + 1):
-        logit = bias + np.bincount(row, w[column], minlength=len(seen))
-        error = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - label) / len(label)
-        g = np.bincount(column, error[row], minlength=n) + 2e-4 * w
-        if changed:
-            change = np.bincount(d_row, d_sign * w[d_column], minlength=len(changed))
-            g += penalty * np.bincount(d_column, 2 * change[d_row] * d_sign / len(changed), minlength=n)
-        g = np.append(g, error.sum())
+        g = sample.gradient(w, bias, penalty)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         move = 0.1 * (1 - step / (steps + 1)) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
         w, bias = w - move[:-1], bias - move[-1]
@@ -162,7 +184,7 @@ def fit(
     totals = made.agg(F.coalesce(F.sum("label"), F.lit(0)).alias("toxic"), F.count(F.lit(1)).alias("n")).first()
     toxic, others = int(totals.toxic), int(totals.n - totals.toxic)
     if not toxic or not others:
-        return _model(np.zeros(0, np.uint64), np.zeros(0), -30.0 if not toxic else 30.0)
+        return _model(np.zeros(0, np.uint64), np.zeros(0), -30.0)  # nothing to tell apart
     # Difference of the smoothed log rates, in units of its standard error.
     a, b = F.col("toxic") + 0.5, F.col("other") + 0.5
     gap = F.log(a / (toxic + 1)) - F.log(b / (others + 1))
@@ -186,12 +208,14 @@ def fit(
 
     data = map_batches(made, narrow, made.schema).toArrow()
     as_arrays = lambda name: [np.asarray(x, np.int64) for x in data.column(name).to_pylist()]
-    weights, bias = _train(as_arrays("seen"), as_arrays("swapped"), data.column("label").to_numpy().astype(float), len(hashes), penalty)
+    sample = Sample.of(as_arrays("seen"), as_arrays("swapped"), data.column("label").to_numpy().astype(float))
+    weights, bias = _train(sample, len(hashes), penalty)
     return _model(hashes.view(np.uint64), weights, bias)
 
 
-def score(documents: DataFrame, model: Model, text: str = "text", score_as: str = "score") -> DataFrame:
-    """Adds the score (0 to 1, higher: more likely toxic) to all columns of the frame."""
+def score(documents: DataFrame, model: Model, text: str = "text", score_as: str | None = None) -> DataFrame:
+    """Adds the score (0 to 1, higher: more likely toxic) as the last column, ``score`` or a longer name that is free."""
+    score_as = score_as or free_name(documents, "score")
     shared = documents.sparkSession.sparkContext.broadcast(model)
     place = documents.columns.index(text)
 
@@ -214,6 +238,5 @@ def scores(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD
 
 def without_toxic(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
     """The documents with a score below ``threshold``, with all their columns."""
-    name = free_name(documents, "score")
-    found = score(documents, fit(documents, labels, **options), score_as=name)
-    return found.filter(F.col(name) < threshold).select(*documents.columns)
+    found = score(documents, fit(documents, labels, **options))
+    return found.filter(F.col(found.columns[-1]) < threshold).select(*documents.columns)

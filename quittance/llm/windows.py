@@ -31,7 +31,7 @@ from quittance.llm.tables import kept, map_batches
 GROUP = 2_000
 BATCH_BYTES = 1 << 19
 NO_ID = (1 << 63) - 1
-_PLACE_BITS = 28
+_PLACE_BITS = 32  # more tokens than a cell can hold; of equal hashes the leftmost place wins, in equal windows the same one
 _KEYS = ["key_1", "key_2"]
 
 

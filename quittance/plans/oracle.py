@@ -733,6 +733,7 @@ FROM points JOIN otsu ON points.image IS NOT DISTINCT FROM otsu.image""",
         # sinks
         "write_csv_by_category": _report("marked", with_ocr=True),
         "write_json_sidecars": f"WITH {_INVOICE} SELECT number || '.pdf.json' AS name, {_SPARSE} AS record FROM invoice",
+        "write_json_sidecars_bucketed": f"WITH {_INVOICE} SELECT number || '.pdf.json' AS name, {_SPARSE} AS record, 1 AS files FROM invoice",
         "write_results_json": f"""WITH {_MANIFEST}
 SELECT '{{' || to_json(path) || ':' || to_json(file_name) || '}}' AS entry FROM manifest""",
     }

@@ -809,6 +809,18 @@ def write_json_sidecars(spark, sf):
     return spark.read.schema("name string, record string").json(folder)
 
 
+@query
+def write_json_sidecars_bucketed(spark, sf):
+    """The same, dealt to files by name; read back with the number of files that hold a name."""
+    records = d.regex_answers(spark, sf).select(
+        sc.sidecar_filename(F.concat("number", F.lit(".pdf"))).alias("name"), labels.sparse_record(F.col("number"), F.col("response")).alias("record")
+    )
+    folder = new_folder(spark, "sidecars")
+    sinks.write_json_sidecars(records, folder, buckets=16)
+    rows = spark.read.schema("name string, record string, bucket int").json(folder)
+    return rows.groupBy("name").agg(F.min("record").alias("record"), F.count_distinct("bucket").alias("files"))
+
+
 @query
 def write_results_json(spark, sf):
     folder = new_folder(spark, "results")

@@ -109,3 +109,17 @@ def test_report_table(spark, tmp_path):
     rows = spark.createDataFrame([("a", 1), ("b", 2)], "category string, v int")
     sinks.write_report(rows, str(tmp_path / "t"))
     assert {(r.category, r.v) for r in spark.read.parquet(str(tmp_path / "t")).collect()} == {("a", 1), ("b", 2)}
+
+
+def test_a_sidecar_is_found_in_one_file(spark, tmp_path):
+    rows = spark.range(500).select(F.concat("id", F.lit("ä.json")).alias("name"), F.concat(F.lit('{"n":'), "id", F.lit("}")).alias("record"))
+    folder = str(tmp_path / "s")
+    sinks.write_json_sidecars(rows, folder, buckets=10)
+    assert len(list((tmp_path / "s").glob("of=10/bucket=*/part-*"))) == 10
+    found = sinks.read_sidecars(spark, folder, ["123ä.json"])
+    assert [tuple(r) for r in found.collect()] == [("123ä.json", '{"n":123}')]
+    scan = found._jdf.queryExecution().executedPlan().toString()
+    assert "bucket#" in scan.split("PartitionFilters: ", 1)[1].split("]", 1)[0]
+    assert found.select(F.input_file_name()).distinct().count() == 1
+    assert sorted(r.name for r in sinks.read_sidecars(spark, folder, ["1ä.json", "499ä.json", "fehlt"]).collect()) == ["1ä.json", "499ä.json"]
+    assert sinks.read_sidecars(spark, folder, []).collect() == []

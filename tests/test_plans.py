@@ -55,6 +55,19 @@ def test_images_stay_out_of_every_shuffle(spark):
     assert "Exchange" not in plan(spark, "process_images")
 
 
+@pytest.mark.parametrize("name", ["outcome_policy_pf", "outcome_policy_mg", "outcome_policy_ba", "extract_json_direct_first", "write_csv_by_category"])
+def test_generated_code_compiles(spark, name):
+    """Without the fall-back, a method over 64 KB would end the query."""
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    huge = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    try:
+        QUERIES[name](spark, SF_DIR).write.format("noop").mode("overwrite").save()
+    finally:
+        spark.conf.unset("spark.sql.codegen.fallback")
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", huge)
+
+
 def test_contents_are_read_once(spark):
     """The listing of files does not open them; what was read is a table afterwards."""
     assert "binaryFile" not in "".join(

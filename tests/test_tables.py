@@ -184,12 +184,12 @@ def test_vat_rules(spark):
 @pytest.mark.parametrize(
     "product, expected",
     [
-        ("Monitor 27\"", "monitor_27_31_5_2024.pdf"), ("Rechnung Grafikkarte", "grafikkarte_31_5_2024.pdf"),
-        ("RECHNUNG", "31_5_2024.pdf"), ("Büro-Stühle & Tische", "büro_stühle_tische_31_5_2024.pdf"),
+        ("Lampe 40\"", "lampe_40_7_11_2023.pdf"), ("Rechnung Gießkanne", "gießkanne_7_11_2023.pdf"),
+        ("RECHNUNG", "7_11_2023.pdf"), ("Tür-Griffe & Schlösser", "tür_griffe_schlösser_7_11_2023.pdf"),
     ],
 )
 def test_suggested_names(spark, product, expected):
-    day = F.lit("2024-05-31").cast("date")
+    day = F.lit("2023-11-07").cast("date")
     assert spark.range(1).select(im.suggest_filename(F.lit(product), day).alias("n")).first().n == expected
 
 

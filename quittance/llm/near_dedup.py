@@ -18,10 +18,11 @@ hash).  Linked texts become one class.  First come a few rounds in which one tex
 each bucket is the pivot and every text of another class is compared with it, so that
 large families become few classes without all their pairs.  The first pivot is the
 text that shares the most buckets with others, as the text that a family was copied
-from does; later ones are drawn by hash.  Then every bucket that still has texts of
-several classes besides its pivots is searched in full: all its pairs of texts of two
-classes are compared, within a task and through an index of shingles, and only links
-leave the task.  Large buckets are dealt to tasks as pairs of blocks.
+from does; later ones are drawn by hash.  Then the texts of every bucket that still has
+several classes besides its pivots are searched in full, by an exact filter: shingles are put in an
+order, rare ones first, and two texts at 0.8 share one of the first fifth of either.  Texts with
+such a shingle in common are compared pair by pair; where many share it, block by block within tasks,
+from which only links leave.
 
 A class is a component of links.  Documents without words are in no group; those with
 fewer than five words have one shingle of all of them.  Null texts have no words.
@@ -48,6 +49,8 @@ BAND_ROWS = 4
 PIVOT_ROUNDS = 3
 BLOCK_BYTES = 2 << 20  # of shingle sets in one block of a bucket
 BLOCK_TEXTS = 1000
+PAIRED_TEXTS = 64  # that share a rare shingle; more are compared block by block within tasks
+SLOTS = 1 << 20
 _ROWS = 512
 _INSIDE = np.zeros(256, bool)
 _INSIDE[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
@@ -240,15 +243,76 @@ def _linked_within(sets: list[bytes], roots: np.ndarray, left: np.ndarray, simil
                 yield i, j
 
 
+def _slot_counts(sets: DataFrame) -> np.ndarray:
+    """How many shingles of all sets fall into each of ``SLOTS`` slots; a table of fixed size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            counts += np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint32) % SLOTS, minlength=SLOTS)
+        slot = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(counts[slot])], names=["slot", "n"])
+
+    found = map_batches(sets.select("shingles"), run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(SLOTS, np.int64)
+    counts[found.column("slot").to_numpy()] = found.column("n").to_numpy()
+    return counts
+
+
+def rarest(shingles: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
+    """The first shingles of a set in an order of all shingles, rare ones first: two sets that are similar enough share one.
+
+    They share at least ``similarity`` of either set, so not all of these can be missing from the other.
+    """
+    n = len(shingles) - int(np.ceil(similarity * len(shingles) - 1e-9)) + 1
+    return shingles[np.lexsort((shingles, counts[shingles % SLOTS]))[:n]]
+
+
+def _prefixes(sets: DataFrame, similarity: float) -> DataFrame:
+    """(shingle, text, root, n): the rarest shingles of every set."""
+    shared = sets.sparkSession.sparkContext.broadcast(_slot_counts(sets))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [rarest(np.frombuffer(s, np.uint32), shared.value, similarity) for s in batch.column(3).to_pylist()]
+            row = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
+            shingle = np.concatenate([*found, np.zeros(0, np.uint32)]).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(shingle), *[batch.column(k).take(row) for k in range(3)]], names=["shingle", "text", "root", "n"])
+
+    return map_batches(sets.select("text", "root", "n", "shingles"), run, "shingle long, text long, root long, n int")
+
+
 def _rest_of_buckets(members: DataFrame, pivots: DataFrame, roots: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """All links (a, b) between two classes in a bucket, besides those of its pivots."""
+    """All links (a, b) between two classes in a bucket, besides those of its pivots; and others that come along.
+
+    An exact search among the texts that are left: two of them that are similar enough share
+    one of their rarest shingles. What copies of a template have to themselves is rare, so that those
+    which are not similar enough hardly meet.
+    """
     now = members.join(roots.select(F.col("node").alias("text"), "root"), "text").join(pivots, "bucket").filter(~F.array_contains("pivots", F.col("text")))
-    now = now.join(sets.select("text", "n"), "text").select("bucket", "text", "root", "n")
-    blocks_of = F.greatest(F.ceil(F.sum("n") * 4 / BLOCK_BYTES), F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS)).cast("int")
-    mixed = now.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), blocks_of.alias("blocks")).filter("low <> high")
-    rest = kept(now.join(mixed.select("bucket", "blocks"), "bucket").select("bucket", "text", "root", "blocks"), "buckets-left")
+    mixed = now.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    left = now.join(mixed.select("bucket"), "bucket").select("text", "root").distinct()
+    rest = kept(left.join(sets, "text").select("text", "root", "n", "shingles"), "rest-sets")
+    prefixes = kept(_prefixes(rest, similarity), "rest-prefixes")
+    groups = prefixes.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"), F.min("root").alias("low"), F.max("root").alias("high")
+    ).filter("low <> high")
+    shared = kept(prefixes.join(groups.select("shingle", "size", "shingles"), "shingle"), "rest-shared")
+    few = shared.filter(F.col("size") <= PAIRED_TEXTS)
+    one, other = (few.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("text", "root", "n")]) for side in "ab")
+    fits = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * similarity - 1e-6
+    near = one.join(other, "shingle").filter((F.col("text_a") < F.col("text_b")) & (F.col("root_a") != F.col("root_b")) & fits)
+    pairs = kept(near.select(F.col("text_a").alias("a"), F.col("text_b").alias("b")).distinct(), "rest-pairs")
+    links = _links(pairs, rest, similarity)
+    blocks_of = F.greatest(F.ceil(F.col("shingles") * 4 / BLOCK_BYTES), F.ceil(F.col("size") / BLOCK_TEXTS)).cast("int")
+    many = shared.filter(F.col("size") > PAIRED_TEXTS).select(F.col("shingle").alias("bucket"), "text", "root", blocks_of.alias("blocks"))
+    return links.union(_links_within_groups(many, rest, similarity)).distinct()
+
+
+def _links_within_groups(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """All links (a, b) of two classes in groups (bucket, text, root, blocks) of many texts, block by block."""
     block = F.pmod(F.xxhash64("text", F.lit(1000)), "blocks").cast("int")
-    dealt = rest.select("bucket", "text", "root", block.alias("block"), F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
+    dealt = members.select("bucket", "text", "root", block.alias("block"), F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
     dealt = dealt.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "text", "root", (F.col("block") <= F.col("other")).alias("left"))
     filled = dealt.join(sets.select("text", "shingles"), "text")
     tasks = filled.groupBy("bucket", "i", "j").agg(F.collect_list(F.struct("text", "root", "left", "shingles")).alias("texts"))
@@ -263,7 +327,7 @@ def _rest_of_buckets(members: DataFrame, pivots: DataFrame, roots: DataFrame, se
                 found.update((int(min(text[i], text[j])), int(max(text[i], text[j]))) for i, j in linked)
             yield pa.RecordBatch.from_arrays([pa.array([pair[k] for pair in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    return map_batches(tasks.select("texts"), run, "a long, b long").distinct()
+    return map_batches(tasks.select("texts"), run, "a long, b long")
 
 
 def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:

@@ -114,3 +114,48 @@ def test_tables_are_removed(spark):
     assert os.path.exists(path)
     remove(spark, tables)
     assert not os.path.exists(path) and tables == []
+
+
+@pytest.mark.parametrize("paired", [near_dedup.PAIRED_TEXTS, 2])
+def test_search_of_the_rest_is_exact(spark, monkeypatch, paired):
+    """Families without their source, of several sizes, some of them linked by chains."""
+    monkeypatch.setattr(near_dedup, "PAIRED_TEXTS", paired)
+    monkeypatch.setattr(near_dedup, "BLOCK_TEXTS", 30)
+    rows = brute._orphans(200, 30)
+    rnd = random.Random(9)
+    for family in range(4):
+        words = brute._words(300 + family, 220).split()
+        for _ in range(40):
+            rows.append((len(rows), " ".join(w if rnd.random() > 0.015 + 0.01 * family else f"n{rnd.random():.7f}" for w in words), "en", "s", 1))
+    found = near_dedup.groups(spark.createDataFrame(rows, brute.SCHEMA))
+    assert brute._sorted(found.select("doc_id", "class_id", "class_size").collect()) == brute._sorted(brute._near_expected(rows))
+
+
+def test_templates_that_do_not_link_take_work_in_proportion(spark):
+    """Filled-in copies of one template at about 0.7 to each other: hardly any pair is compared."""
+    source = brute._words(79, 400).split()
+
+    def family(n):
+        return [(i, " ".join(f"f{i}x{k}" if k % 27 == 0 else w for k, w in enumerate(source)), "en", "s", 1) for i in range(n)]
+
+    pairs = []
+    for n in (500, 2000):
+        with noted() as tables:
+            found = near_dedup.groups(spark.createDataFrame(family(n), brute.SCHEMA).repartition(8))
+        assert found.filter("class_size = 1").count() == n
+        pairs.append(sum(spark.read.parquet(path).count() for path in tables if "-pairs-" in path))
+    assert pairs[1] < 8 * pairs[0] + 1000 and pairs[1] < 60 * 2000
+
+
+def test_rarest_shingles():
+    import numpy as np
+
+    rnd = np.random.default_rng(1)
+    for _ in range(300):
+        x = rnd.choice(400, rnd.integers(1, 60), replace=False).astype(np.uint32)
+        gone = rnd.integers(0, max(1, len(x) // 5) + 1)
+        y = np.unique(np.concatenate([x[gone:], rnd.choice(400, 2).astype(np.uint32)]))
+        shared = len(np.intersect1d(x, y))
+        if shared >= 0.8 * len(np.union1d(x, y)):
+            counts = rnd.integers(0, 5, near_dedup.SLOTS)
+            assert np.intersect1d(near_dedup.rarest(x, counts, 0.8), near_dedup.rarest(y, counts, 0.8)).size

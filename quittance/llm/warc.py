@@ -9,28 +9,38 @@ Reading: every archive is opened as a whole, decompressed in pieces and parsed b
 its Content-Length fields.  Each archive gives one run of index entries in order of
 (URL key, time, id).  An external merge makes one history of them: runs are cut
 into key ranges, and each range merges its runs with a loser tree, so that the
-result is ordered by partition and within it.
+result is ordered by partition and within it.  The runs are kept as a table first, so
+that archives are parsed once, and the number of ranges follows the number of captures.
+An entry names its archive and where its record lies in the decompressed archive;
+``fetch`` reads records by that.
 
 Null pages have an empty payload.  Null or broken URLs have an empty key.  Ids are
-expected to be unique; rows that repeat an id and its payload give a record each.
-Line breaks inside a URL are percent-encoded in the record.
+expected to be unique; rows that repeat an id and its payload give a record each.  A null
+id is a record without a number, which no other refers to by it.  Captures with equal URL and time are in
+the order of their ids.  Line breaks inside a URL are percent-encoded in the record.  An empty table
+gives no archive entries; further columns are not read.  A damaged archive ends the run with an
+error that names it and the place.  A payload has to fit one cell, and so has an archive,
+compressed.
 """
 
 from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from typing import NamedTuple
 from urllib.parse import urlsplit
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quittance.llm.tables import map_batches
+from quittance.llm.tables import kept, map_batches
 from quittance.session import new_folder
+from quittance.sources.listing import open_bytes
 
 LEAST_BYTES = 1000
 RECORDS_PER_FILE = 2000
+CAPTURES_PER_RANGE = 200_000
 VERSION = b"WARC/1.1"
 FIRST_CAPTURE = "2024-01-01 00:00:00"
 
@@ -71,7 +81,7 @@ def _record(columns: DataFrame) -> F.Column:
     block_bytes = F.octet_length(http) + F.when(revisit, 0).otherwise(F.col("payload_bytes"))
     return F.concat(
         F.lit(VERSION.decode() + end + "WARC-Type: "), F.when(revisit, "revisit").otherwise("response"),
-        F.lit(f"{end}WARC-Record-ID: "), name(F.coalesce("page_id", F.lit(""))),
+        F.lit(f"{end}WARC-Record-ID: "), name(F.coalesce(F.col("page_id").cast("string"), F.lit(""))),
         F.coalesce(F.concat(F.lit(f"{end}WARC-Target-URI: "), url), F.lit("")),
         F.lit(f"{end}WARC-Date: "), F.date_format("captured", "yyyy-MM-dd'T'HH:mm:ss'Z'"),
         F.lit(f"{end}WARC-Payload-Digest: sha1:"), F.col("payload_digest"),
@@ -108,6 +118,7 @@ class _Stream:
 
     def __init__(self, raw: bytes):
         self._raw, self._at, self._unzip, self._ready = memoryview(raw), 0, zlib.decompressobj(31), bytearray()
+        self.taken = 0  # bytes handed out
 
     def _more(self) -> bool:
         while self._at < len(self._raw):
@@ -129,6 +140,7 @@ class _Stream:
                 return None
         found = bytes(self._ready[:at])
         del self._ready[: at + len(mark)]
+        self.taken += at + len(mark)
         return found
 
     def take(self, n: int) -> bytes:
@@ -136,23 +148,60 @@ class _Stream:
             pass
         found = bytes(self._ready[:n])
         del self._ready[:n]
+        self.taken += len(found)
         return found
 
+    def skip(self, n: int) -> None:
+        while n > 0 and (gone := len(self.take(min(n, 1 << 20)))):
+            n -= gone
+
+    @property
+    def rest(self) -> bytes:
+        return bytes(self._ready)
+
 
 def _fields(head: bytes) -> dict[str, str]:
     pairs = (line.split(": ", 1) for line in head.decode("utf-8", "surrogatepass").split("\r\n")[1:])
     return {pair[0].lower(): pair[1] for pair in pairs if len(pair) == 2}
 
 
-def records(raw: bytes) -> Iterator[tuple[dict[str, str], bytes, bytes]]:
-    """(header fields, HTTP head, payload) of each record of a compressed archive."""
+class Record(NamedTuple):
+    """Header fields, HTTP head and payload; where the record lies in the decompressed archive."""
+
+    fields: dict[str, str]
+    http: bytes
+    payload: bytes
+    offset: int
+    length: int
+
+
+def _next_record(stream: _Stream) -> Record | None:
+    offset = stream.taken
+    head = stream.until(b"\r\n\r\n")
+    if head is None:
+        if stream.rest:
+            raise ValueError("cut off")
+        return None
+    fields = _fields(head)
+    size = int(fields["content-length"])
+    block = stream.take(size)
+    if not head.startswith(b"WARC/") or len(block) != size or stream.take(4) != b"\r\n\r\n":
+        raise ValueError("cut off")
+    http, _, payload = block.partition(b"\r\n\r\n")
+    return Record(fields, http, payload, offset, stream.taken - offset)
+
+
+def records(raw: bytes, name: str = "archive") -> Iterator[Record]:
+    """The records of a compressed archive."""
     stream = _Stream(raw)
-    while (head := stream.until(b"\r\n\r\n")) is not None:
-        fields = _fields(head)
-        block = stream.take(int(fields["content-length"]))
-        http, _, payload = block.partition(b"\r\n\r\n")
-        yield fields, http, payload
-        stream.take(4)
+    while True:
+        try:
+            record = _next_record(stream)
+        except (zlib.error, KeyError, ValueError) as problem:
+            raise ValueError(f"{name} is damaged behind byte {stream.taken} of its content: {problem}") from problem
+        if record is None:
+            return
+        yield record
 
 
 def url_key(url: str | None) -> str:
@@ -169,11 +218,12 @@ def url_key(url: str | None) -> str:
     return f"{','.join(reversed(host.split('.')))}{port}){parts.path.lower() or '/'}{query}"
 
 
-_CAPTURE = "url_key string, captured string, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, run string"
+_CAPTURE = "url_key string, captured string, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, run string, offset long, length long"
 _CAPTURE_ARROW = pa.schema(
     [
         ("url_key", pa.string()), ("captured", pa.string()), ("page_id", pa.int64()), ("payload_bytes", pa.int64()),
         ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("run", pa.string()),
+        ("offset", pa.int64()), ("length", pa.int64()),
     ]
 )
 
@@ -183,13 +233,14 @@ def _page(name: str | None) -> int | None:
     return int(number) if number else None
 
 
-def _entry(fields: dict[str, str], http: bytes, payload: bytes, run: str) -> tuple:
+def _entry(record: Record, run: str) -> tuple:
+    fields, http, payload, offset, length = record
     revisit = fields["warc-type"] == "revisit"
     digest = fields["warc-payload-digest"].removeprefix("sha1:") if revisit else hashlib.sha1(payload).hexdigest()
     size = int(_fields(http)["content-length"]) if revisit else len(payload)
     return (
         url_key(fields.get("warc-target-uri")), fields["warc-date"], _page(fields["warc-record-id"]), size, digest,
-        fields["warc-type"], _page(fields.get("warc-refers-to")), run,
+        fields["warc-type"], _page(fields.get("warc-refers-to")), run, offset, length,
     )
 
 
@@ -209,7 +260,7 @@ def sorted_runs(spark: SparkSession, folder: str) -> DataFrame:
         for batch in batches:
             for path, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 name = path.rsplit("/", 1)[-1]
-                yield _batch(sorted((_entry(*record, name) for record in records(raw.as_py())), key=_order))
+                yield _batch(sorted((_entry(record, name) for record in records(raw.as_py(), name)), key=_order))
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder).select("path", "content")
     return map_batches(files, run, _CAPTURE)
@@ -278,12 +329,44 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def capture_history(runs: DataFrame, ranges: int | None = None) -> DataFrame:
-    """All captures, ordered by URL key, time and id over the partitions and within them."""
+    """All captures, ordered by URL key, time and id over the partitions and within them.
+
+    ``runs`` is read twice, for the bounds of the ranges and for the merge, so it should
+    be a table. A range holds about ``CAPTURES_PER_RANGE`` captures, which one task merges in memory.
+    """
     columns = ["url_key", "captured", "page_id"]
-    dealt = runs.repartitionByRange(ranges, *columns) if ranges else runs.repartitionByRange(*columns)
-    return map_batches(dealt, _merge, _CAPTURE)
+    ranges = ranges or -(-max(1, runs.count()) // CAPTURES_PER_RANGE)
+    return map_batches(runs.repartitionByRange(ranges, *columns), _merge, _CAPTURE)
 
 
 def archived(pages: DataFrame) -> DataFrame:
     """Writes the archives, reads them back and returns one row per page in the order of the history."""
-    return capture_history(sorted_runs(pages.sparkSession, write_archives(pages))).withColumnRenamed("run", "archive")
+    runs = kept(sorted_runs(pages.sparkSession, write_archives(pages)), "index-runs")
+    return capture_history(runs).withColumnRenamed("run", "archive")
+
+
+def fetch(captures: DataFrame, folder: str, opener: Callable[[str], bytes] = open_bytes) -> DataFrame:
+    """(page_id, record_type, payload) of captures, read by archive, offset and length.
+
+    Each archive is opened once, by one task, and decompressed up to the last record
+    that is wanted. A revisit has an empty payload: fetch what it refers to.
+    """
+    places = F.sort_array(F.collect_list(F.struct("offset", "length")))
+    wanted = captures.select("archive", "offset", "length").distinct().groupBy("archive").agg(places.alias("places"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for archive, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                stream, found = _Stream(opener(f"{folder.rstrip('/')}/{archive}")), []
+                for place in places:
+                    stream.skip(place["offset"] - stream.taken)
+                    record = _next_record(stream)
+                    if record is None or record.length != place["length"]:
+                        raise ValueError(f"{archive} has no record of {place['length']} bytes at {place['offset']}")
+                    found.append((_page(record.fields["warc-record-id"]), record.fields["warc-type"], record.payload))
+                page_id, kind, payload = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(page_id, pa.int64()), pa.array(kind, pa.string()), pa.array(payload, pa.binary())], names=["page_id", "record_type", "payload"]
+                )
+
+    return map_batches(wanted, run, "page_id long, record_type string, payload binary")

@@ -1,7 +1,7 @@
 """Exact dedup by a tree merge of sorted digest runs.
 
-Each input partition makes one run: its digests in order, equal ones combined.  In
-round r the runs are taken in groups of ``fan_in`` ** r; a group's digests are dealt
+Each input partition makes runs of at most ``RUN_ROWS`` rows: their digests in order, equal
+ones combined.  In round r the runs are taken in groups of ``fan_in`` ** r; a group's digests are dealt
 to as many ranges as it has runs, so that every merge takes one slice of ``fan_in``
 earlier merges, and merges stay about as large as a run.  After the last round one
 group is left and each range of the digests has been merged whole.  A merge keeps,
@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 from quittance.llm.tables import content_keys, kept, map_batches, without_rows
 
 FAN_IN = 8
+RUN_ROWS = 200_000  # of one run, so a merge has about as many in memory, however short the texts are
 _BLANKS = b" \t\n\x0b\x0c\r"
 
 
@@ -40,14 +41,14 @@ def normal_bytes(text: str | None) -> bytes:
 
 
 def _keys(documents: DataFrame) -> DataFrame:
-    """Per row: its number, id, length, content keys, digests and the run that it belongs to."""
+    """A table: per row its number, id, length, content keys, digests and the run that it belongs to."""
     frame = documents.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"),
         *content_keys(), "text",
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
+        part, seen = TaskContext.get().partitionId(), 0
         for batch in batches:
             found = []
             for text in batch.column(5).to_pylist():
@@ -56,12 +57,16 @@ def _keys(documents: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns[:5], pa.array([d for d, _ in found], pa.binary()), pa.array([c for _, c in found], pa.binary()),
-                    pa.array([part] * len(found), pa.int64()),
+                    pa.array([part] * len(found), pa.int64()), pa.array([(seen + i) // RUN_ROWS for i in range(len(found))], pa.int64()),
                 ],
-                names=["row", "doc_id", "n_chars", "key_1", "key_2", "digest", "proof", "run"],
+                names=["row", "doc_id", "n_chars", "key_1", "key_2", "digest", "proof", "part", "piece"],
             )
+            seen += len(found)
 
-    return map_batches(frame, run, "row long, doc_id long, n_chars long, key_1 long, key_2 long, digest binary, proof binary, run long")
+    names = "row long, doc_id long, n_chars long, key_1 long, key_2 long, digest binary, proof binary, part long, piece long"
+    keys = kept(map_batches(frame, run, names), "keys")
+    pieces = (keys.agg(F.max("piece")).first()[0] or 0) + 1
+    return keys.withColumn("run", F.col("part") * pieces + F.col("piece")).drop("part", "piece")
 
 
 _ENTRY = "run long, digest binary, proof binary, n_chars long, doc_id long, row long, n long"
@@ -147,7 +152,7 @@ def resolve(keys: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
 
 def exact_groups(documents: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
     """One row per document, dropped ones too."""
-    found = resolve(kept(_keys(documents), "keys"), fan_in)
+    found = resolve(_keys(documents), fan_in)
     return found.select(
         "doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
@@ -160,5 +165,5 @@ def without_copies(documents: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
     Dropped rows are found again by two hashes of id and text; of rows that agree in
     both, one stays.
     """
-    found = resolve(kept(_keys(documents), "keys"), fan_in)
+    found = resolve(_keys(documents), fan_in)
     return without_rows(documents, found.select("key_1", "key_2", (F.col("row") == F.col("keep_row")).alias("kept")))

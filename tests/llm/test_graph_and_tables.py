@@ -159,3 +159,15 @@ def test_rarest_shingles():
         if shared >= 0.8 * len(np.union1d(x, y)):
             counts = rnd.integers(0, 5, near_dedup.SLOTS)
             assert np.intersect1d(near_dedup.rarest(x, counts, 0.8), near_dedup.rarest(y, counts, 0.8)).size
+
+
+@pytest.mark.parametrize("fan_in", [2, 8])
+def test_runs_and_merges_of_bounded_size(spark, monkeypatch, fan_in):
+    """Short texts in few partitions: runs, and what one merge gets, stay small."""
+    monkeypatch.setattr(exact_dedup, "RUN_ROWS", 50)
+    rnd = random.Random(2)
+    rows = [(i, rnd.choice(["", "x", f"t{rnd.randrange(900)}", f" t{i} "]), "en", "s", 1) for i in range(3000)]
+    frame = spark.createDataFrame(rows, brute.SCHEMA).coalesce(2)
+    keys = exact_dedup._keys(frame)
+    assert keys.groupBy("run").count().agg(F.max("count")).first()[0] <= 50 and keys.select("run").distinct().count() >= 60
+    assert brute._sorted(exact_dedup.exact_groups(frame, fan_in).collect()) == brute._sorted(brute._exact_expected(rows))

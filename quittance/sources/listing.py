@@ -150,17 +150,18 @@ def open_bytes(path: str) -> bytes:
 def read_listed(manifest: DataFrame, opener: Callable[[str], bytes] = open_bytes, bytes_per_task: int = BYTES_PER_TASK) -> DataFrame:
     """``path``, ``length``, ``content`` and ``read_error`` of exactly the listed files, each opened once by the task that returns it.
 
-    Only paths and lengths are dealt out, in lists of about ``bytes_per_task``; contents are
-    neither shuffled nor copied. A file that cannot be read has a NULL content and
+    Only paths and lengths are dealt out, in lists of equal bytes, about ``bytes_per_task`` or
+    as many as there are cores; contents are neither shuffled nor copied. A file that cannot be read has a NULL content and
     the reason. A path that is listed twice is read once. A file has to fit one cell.
     ``opener`` replaces opening, for file systems that Arrow cannot open by URI.
     """
     paths = manifest.groupBy("path").agg(F.coalesce(F.max("length"), F.lit(0)).cast("long").alias("length"))
     one_group = paths.withColumn("_cost", F.col("length") + 1).withColumn("_all", F.lit(0))
     placed = running_sums(one_group, ["_all"], ["path"], ["_cost"])
-    lists = placed.agg(F.max("_cost_total")).first()[0] or 0
-    count = max(1, -(-lists // bytes_per_task))
-    dealt = placed.withColumn("_list", F.least(F.floor((F.col("_cost_upto") - F.col("_cost")) / bytes_per_task), F.lit(count - 1)).cast("int"))
+    total = placed.agg(F.max("_cost_total")).first()[0] or 0
+    count = max(-(-total // bytes_per_task), manifest.sparkSession.sparkContext.defaultParallelism)
+    size = max(1, -(-total // count))
+    dealt = placed.withColumn("_list", F.least(F.floor((F.col("_cost_upto") - F.col("_cost")) / size), F.lit(count - 1)).cast("int"))
     dealt = dealt.repartitionById(count, "_list").select("path", "length")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,7 +12,8 @@ broadcast.  A text is first cut by the pre-tokeniser's pattern; the cut is found
 with character classes in numpy and gives the same pieces as the pattern.
 
 Nulls count as empty texts; an empty text has no tokens.  Repeated rows and repeated
-or null ids are encoded row by row; other columns are not read.
+or null ids are encoded row by row; other columns are not read.  A very long text is encoded
+whole, its tokens are in one task's memory.
 """
 
 from __future__ import annotations

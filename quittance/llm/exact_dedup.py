@@ -14,7 +14,8 @@ The way back joins per run: first the runs' entries with the result (at most one
 entry per run and digest), then the rows of each run with its entries.
 
 Null texts count as empty, and all empty (or all blank) texts are equal.  Null ids
-come after all others.  Of rows that agree in everything, one stays.
+come after all others.  Of rows that agree in everything, one stays.  A very long text is read
+whole, only its digests move.
 """
 
 from __future__ import annotations

@@ -14,7 +14,7 @@ wave is one map over the rows, and usually there is one.
 
 A line's key is the line without blanks at both ends, A-Z lower-cased.  Lines with an
 empty key always stay.  Null and empty texts are one empty line.  Each row is a
-document of its own, also where ids repeat or are null.
+document of its own, also where ids repeat or are null.  A very long text is split in one task.
 """
 
 from __future__ import annotations

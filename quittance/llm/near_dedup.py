@@ -26,7 +26,8 @@ from which only links leave.
 
 A class is a component of links.  Documents without words are in no group; those with
 fewer than five words have one shingle of all of them.  Null texts have no words.
-Repeated rows are members like all others.  Null ids come last in the order of ids.
+Repeated rows are members like all others.  Null ids come last in the order of ids.  Of a very
+long text the whole set of shingles is compared, in one cell of four bytes each.
 """
 
 from __future__ import annotations

@@ -9,8 +9,10 @@ statistics of its structure: shares of kinds of characters, word lengths,
 repetition, and size as metadata.  Labels, language, source and id are not inputs.
 
 The model is fitted on a bounded sample (``rows`` of ``fit``); its size is fixed and
-it is broadcast.  Scoring takes whole texts, row by row.  Null texts count as empty
-and get a score too.
+it is broadcast.  Scoring takes whole texts, row by row; a very long one is a block of its
+own.  Null texts count as empty and get a score too.  Null ids are never learnt from; of rows
+with one id one teaches, and ids with contradicting labels do not (see ``labelled``).  Repeated
+rows are scored alike, an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ has no value yet gives it the round's number as the common prefix length and is
 extended further; values thus appear in increasing order.  The rounds stop at the
 threshold: borders without a value separate suffixes that share at least that much.
 
-Null texts are empty.  Repeated rows are repeats of one another.
+Null texts are empty.  Repeated rows are repeats of one another.  A very long text is cut into
+strings like any other; only its spans come together again in one row.
 """
 
 from __future__ import annotations

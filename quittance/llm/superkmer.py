@@ -8,7 +8,8 @@ sorted and equal neighbours take the smallest id.
 
 Words are runs of other bytes than space, tab, line feed, vertical tab, form feed and
 carriage return.  Null texts have none.  A null id is larger than all others.  Rows
-that share an id are one document: none of them is smaller than the other.
+that share an id are one document: none of them is smaller than the other.  A very long text is
+cut into strings like any other.
 """
 
 from __future__ import annotations

@@ -9,6 +9,7 @@ answer (``response, error``). ``input_state`` is NULL, ``render_error`` or
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -16,6 +17,7 @@ from quittance import fixed_values as fv
 from quittance.functions.scalars import strip
 from quittance.operators.answers import Dialect, parse_answers, project_fields
 from quittance.operators.inference import Ask, AskHttp, apply_http, apply_inference
+from quittance.operators.ledger import apply_with_ledger
 from quittance.operators.requests import build_prompt, skip_empty_text
 from quittance.operators.responses import http_message, parse_envelope, request_message, status_failed
 
@@ -60,7 +62,7 @@ def answer_rows(documents: DataFrame, dialect: Dialect, page_no: int = 0) -> Dat
 
 def process_documents(
     documents: DataFrame, connect: Callable[[], Ask | AskHttp], dialect: Dialect, instruction: str | None = None,
-    request: Column | None = None, http: bool = False, page_no: int = 0, **options,
+    request: Column | None = None, http: bool = False, page_no: int = 0, ledger: str | None = None, **options,
 ) -> DataFrame:
     """Documents to outcome rows: request, one call per document, parse, fill.
 
@@ -69,8 +71,12 @@ def process_documents(
     caller's function returns ``(status, body)``, whose failures become outcomes too;
     else it returns the answer. No call for documents without a page, nor for blank
     text where the dialect skips it. ``options`` go to ``apply_inference``; ``limit``, the
-    seconds after which a call is given up, depends on the dialect otherwise.
+    seconds after which a call is given up, depends on the dialect otherwise, and ``seconds``
+    names a column for how long the call took. With ``ledger`` answers are kept in that folder:
+    the calls are made now, and a run after a failure asks only what is missing (not with ``http``).
     """
+    if ledger and http:
+        raise ValueError("a ledger holds answers, not HTTP responses")
     options = {"limit": fv.REQUEST_SECONDS[dialect.name]} | options
     text = build_prompt(F.coalesce("ocr_text", F.lit("")), instruction)
     asked = documents.withColumn("_prompt", F.when(F.col("input_state").isNull(), text if request is None else request))
@@ -79,7 +85,8 @@ def process_documents(
     if http:
         called = apply_http(asked, connect, "_prompt", **options).drop("_prompt", "error")
         return outcome_rows(called, dialect, page_no)
-    return answer_rows(apply_inference(asked, connect, "_prompt", **options).drop("_prompt"), dialect, page_no)
+    call = partial(apply_with_ledger, ledger=ledger) if ledger else apply_inference
+    return answer_rows(call(asked, connect, prompt="_prompt", **options).drop("_prompt"), dialect, page_no)
 
 
 def _finish(opened: DataFrame, documents: DataFrame, dialect: Dialect, page_no: int) -> DataFrame:

@@ -13,7 +13,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from quittance.operators import inference, ledger
+from quittance.operators import answers, inference, ledger, outcomes
 from quittance.operators.calls import CallWindow, called_batches
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -181,3 +181,22 @@ def test_errors_are_asked_again_or_kept(spark, tmp_path, log):
 def test_ledger_of_no_requests(spark, tmp_path, log):
     frame = spark.createDataFrame([], "id int, prompt string")
     assert ledger.apply_with_ledger(frame, _logging(str(log)), str(tmp_path / "ledger")).collect() == []
+
+
+def test_documents_through_a_ledger(spark, tmp_path, log):
+    """Outcome rows twice, one call per text; with the seconds of each call."""
+    schema = "file_name string, path string, input_state string, input_error string, ocr_text string"
+    texts = [(f"{i}.pdf", f"a/{i}.pdf", "page_missing" if i == 4 else None, None, None if i == 4 else "" if i == 3 else f"Text {i % 2}") for i in range(8)]
+    documents = spark.createDataFrame(texts, schema)
+    found = [
+        outcomes.process_documents(documents, _logging(str(log), fail=None), answers.MARKED, instruction="", ledger=str(tmp_path / "ledger"), seconds="took").collect()
+        for _ in range(2)
+    ]
+    assert len(found[0]) == 8 and sorted(found[0], key=lambda r: r.file_name) == sorted(found[1], key=lambda r: r.file_name)
+    assert {r.file_name: r.outcome for r in found[0]} == {
+        f"{i}.pdf": "page_missing" if i == 4 else "empty_text" if i == 3 else "no_json" for i in range(8)
+    }
+    assert _calls(log) == Counter(["Text 0", "Text 1"])
+    assert all((r.took is None) == (r.file_name in ("3.pdf", "4.pdf")) for r in found[0])
+    with pytest.raises(ValueError):
+        outcomes.process_documents(documents, _logging(str(log)), answers.MARKED, http=True, ledger="x")

@@ -13,6 +13,8 @@ from quittance import fixed_values as fv
 from quittance.functions.scalars import float_text, parse_german_date, parse_german_float
 from quittance.session import use_last_duplicate_key
 
+_JSON_SPACE, _JSON_FIRST = " \t\r\n", '{["-0123456789tfn'
+
 
 def with_strict_json(rows: DataFrame, text: Column, name: str) -> DataFrame:
     """Add ``name``: the whole text as one JSON value (VARIANT), or NULL.
@@ -24,10 +26,12 @@ def with_strict_json(rows: DataFrame, text: Column, name: str) -> DataFrame:
 
     Takes and gives a DataFrame because the parse needs a projection of its own:
     inside one CASE, Spark would parse for the condition and again for the value.
+    Texts that begin like no JSON value are not given to the parser, whose errors are dear.
     """
     use_last_duplicate_key(rows.sparkSession)
     mark = F.sha2(text.cast("binary"), 256)
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')))
+    first = F.substr(F.ltrim(text, F.lit(_JSON_SPACE)), F.lit(1), F.lit(1))
+    wrapped = F.try_parse_json(F.when(first.isin(*_JSON_FIRST), F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]'))))
     marked = F.try_variant_get("_wrapped", "$[1]", "string") == mark
     value = F.when(marked, F.try_variant_get("_wrapped", "$[0]", "variant"))
     return rows.withColumn("_wrapped", wrapped).withColumn(name, value).drop("_wrapped")

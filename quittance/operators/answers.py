@@ -58,12 +58,13 @@ def parse_answers(answers: DataFrame, dialect: Dialect, response: str = "respons
     found = answers.withColumn("_text", strip(F.col(response)))
     if dialect.finder == "direct_first":
         whole = F.col("_whole")
-        inner = jt.widest_object(jt.without_fence(text, ignore_case=True))
-        found = jt.with_strict_json(found, text, "_whole").withColumn(
-            "_source", F.when(whole.isNotNull(), text).otherwise(inner)
+        # Columns of their own: inside a branch of a CASE, Spark repeats the searches wherever their result is named.
+        inner = jt.widest_object(jt.without_fence(F.col("_rest"), ignore_case=True))
+        found = jt.with_strict_json(found, text, "_whole").withColumn("_rest", F.when(whole.isNull(), text))
+        found = jt.with_strict_json(found.withColumn("_object", inner), F.col("_object"), "_inner")
+        found = found.withColumn("answer", F.coalesce("_whole", "_inner")).withColumn(
+            "_source", F.when(whole.isNotNull(), text).otherwise(F.col("_object"))
         )
-        found = jt.with_strict_json(found, F.when(whole.isNull(), F.col("_source")), "_inner")
-        found = found.withColumn("answer", F.coalesce("_whole", "_inner"))
     else:
         if dialect.finder == "strip_fence":
             found = found.withColumn("_source", jt.widest_object(jt.without_fence(text)))
@@ -85,12 +86,13 @@ def parse_answers(answers: DataFrame, dialect: Dialect, response: str = "respons
 
 def field_parts(parsed: DataFrame, keys: Sequence[tuple[str, str]] = tuple(fv.FIELDS)) -> DataFrame:
     """Replace ``answer`` by the kind and the text of each key, as ``_k_<name>``
-    and ``_t_<name>``."""
-    value = F.col("answer")
-    return parsed.select(
-        *[c for c in parsed.columns if c != "answer"],
-        *[jt.field_kind(value, key).alias(f"_k_{name}") for key, name in keys],
-        *[jt.field_text(value, key).alias(f"_t_{name}") for key, name in keys],
+    and ``_t_<name>``; each key is looked up once."""
+    kept = [c for c in parsed.columns if c != "answer"]
+    found = parsed.select(*kept, *[jt.field(F.col("answer"), key).alias(f"_v_{name}") for key, name in keys])
+    return found.select(
+        *kept,
+        *[F.schema_of_variant(f"_v_{name}").alias(f"_k_{name}") for _, name in keys],
+        *[F.try_variant_get(f"_v_{name}", "$", "string").alias(f"_t_{name}") for _, name in keys],
     )
 
 

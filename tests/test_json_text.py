@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quittance.functions import json_text as jt
-from quittance.operators.answers import MARKED, PLAIN, TYPED, parse_answers, project_fields
+from quittance.operators.answers import MARKED, PLAIN, TYPED, field_parts, parse_answers, project_fields
 
 STRICT = [
     '{"a":1}', "{}", "[]", "null", "42", '"x"', '{"a":1,"a":2}', '{"a":{"b":1,"b":2}}', ' {"a":1} ',
@@ -109,3 +109,25 @@ def test_absent_null_and_types(spark):
 def test_only_strings_are_dates(spark):
     assert one(spark, TYPED, '{"Datum":5.12}').invoice_date is None
     assert str(one(spark, TYPED, '{"Datum":"5.12.2024"}').invoice_date) == "2024-12-05"
+
+
+def test_texts_that_cannot_be_json_are_not_parsed(spark):
+    texts = ["", "```json\n{}\n```", "Gerne", "]", ",1", "+1", "\v1", "\ufeff1", " \t\r\n1", "1 ", "-1", "true", "null", "\"x\"", "[]", "{}", None]
+    frame = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, x string")
+    rows = jt.with_strict_json(frame, F.col("x"), "v").select("i", F.col("v").isNotNull().alias("found")).collect()
+    assert [texts[row.i] for row in sorted(rows) if row.found] == [" \t\r\n1", "1 ", "-1", "true", "null", "\"x\"", "[]", "{}"]
+    plan = jt.with_strict_json(frame.repartition(1), F.col("x"), "v")._jdf.queryExecution().optimizedPlan().toString()
+    assert "parseJson(CASE WHEN" in plan
+
+
+def test_searches_of_direct_first_are_not_in_a_branch(spark):
+    """Inside a branch of a CASE each use of a search's result would be a search of its own."""
+    frame = spark.createDataFrame([(0, "x")], "i int, response string").repartition(1)
+    plan = parse_answers(frame, MARKED)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace(" in plan and "ELSE CASE WHEN Contains" not in plan
+
+
+def test_each_key_is_looked_up_once(spark):
+    frame = spark.createDataFrame([(0, "{}")], "i int, response string").repartition(1)
+    plan = field_parts(parse_answers(frame, TYPED), [("Datum", "day")])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count('$["Datum"]') == 1

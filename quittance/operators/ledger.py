@@ -9,6 +9,7 @@ the first answer counts, and an answer counts before any error.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -59,14 +60,23 @@ def ask_open_prompts(
     A lost task costs at most ``calls_per_task`` calls: its files enter the ledger as
     soon as it ends, not when the job does.
     """
-    todo = open_prompts(requests, ledger, model, prompt, ask_errors_again)
-    calls = todo.select("digest").count()
-    if not calls:
-        return
-    spread = todo.repartition(-(-calls // calls_per_task), "digest")
-    asked = apply_inference(spread, connect, "prompt", "answer", "error", seconds="seconds", **options)
-    rows = asked.select(F.lit(model).alias("model"), "digest", "answer", "error", "seconds", F.current_timestamp().alias("asked_at"))
-    rows.write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(ledger)
+    spark = requests.sparkSession
+    # Written down before they are counted, so that the requests are worked out once. Spark reads no folder that starts with "_".
+    folder = f"{ledger.rstrip('/')}/_open-{uuid.uuid4().hex}"
+    try:
+        todo = open_prompts(requests, ledger, model, prompt, ask_errors_again)
+        todo.write.parquet(folder)
+        todo = spark.read.schema(todo.schema).parquet(folder)
+        calls = todo.count()
+        if not calls:
+            return
+        spread = todo.repartition(-(-calls // calls_per_task), "digest")
+        asked = apply_inference(spread, connect, "prompt", "answer", "error", seconds="seconds", **options)
+        rows = asked.select(F.lit(model).alias("model"), "digest", "answer", "error", "seconds", F.current_timestamp().alias("asked_at"))
+        rows.write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(ledger)
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def apply_with_ledger(

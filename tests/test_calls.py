@@ -200,3 +200,19 @@ def test_documents_through_a_ledger(spark, tmp_path, log):
     assert all((r.took is None) == (r.file_name in ("3.pdf", "4.pdf")) for r in found[0])
     with pytest.raises(ValueError):
         outcomes.process_documents(documents, _logging(str(log)), answers.MARKED, http=True, ledger="x")
+
+
+def test_requests_are_worked_out_once_for_their_calls(spark, tmp_path, log):
+    """Counting the open prompts must not work out the requests a second time."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(rows):
+        for row in rows:
+            seen.add(1)
+            yield row
+
+    requests = spark.createDataFrame(spark.sparkContext.parallelize([(i, f"p{i}") for i in range(20)], 2).mapPartitions(count), "doc_id int, prompt string")
+    ledger.ask_open_prompts(requests, lambda: str.upper, str(tmp_path / "ledger"), parallel_calls=1)
+    assert seen.value == 20
+    assert ledger.answers(spark, str(tmp_path / "ledger")).count() == 20
+    assert not [path for path in (tmp_path / "ledger").iterdir() if path.name.startswith("_open")]

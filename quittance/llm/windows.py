@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quittance.llm.batches import Texts, blocks, mix
-from quittance.llm.tables import kept, map_batches
+from quittance.llm.tables import kept, map_batches, noted, remove
 
 GROUP = 2_000
 BATCH_BYTES = 1 << 19
@@ -326,29 +326,36 @@ def _combined(split: DataFrame, plan: Plan) -> DataFrame:
 
 def repeats(documents: DataFrame, plan: Plan) -> Found:
     """All rows, and the texts of which something is to be removed."""
-    rows = kept(_listed(documents, plan), "minimisers")
+    rows = kept(_listed(documents, plan), "minimisers", compression="zstd")
     seeds = rows.select(*_KEYS, F.explode("seeds").alias("seed"))
     # As a table it is shuffled by itself, and Spark can split what a frequent minimiser brings to the join.
     repeated = kept(seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("seed"), "repeated-minimisers")
     wanted = seeds.join(repeated, "seed", "left_semi").groupBy(*_KEYS).agg(F.collect_set("seed").alias("wanted"))
     copies = rows.groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("rows"))
     texts = documents.select(F.col("doc_id").cast("long"), *_content(), "text")
-    texts = kept(texts.join(wanted.join(copies, _KEYS), _KEYS).dropDuplicates(_KEYS), "texts")
-    packed = kept(_packed(texts, plan), "super-windows")
+    texts = kept(texts.join(wanted.join(copies, _KEYS), _KEYS).dropDuplicates(_KEYS), "texts", compression="zstd")
+    with noted() as strings:
+        packed = kept(_packed(texts, plan), "super-windows", compression="zstd")
     value = F.sum("rows") if plan.combine == "sum" else F.min(F.coalesce("doc_id", F.lit(NO_ID)))
-    distinct = kept(
-        packed.groupBy("seed", "digest").agg(value.alias("value"), F.first("packed").alias("packed"), F.first("windows").alias("windows")),
-        "distinct-windows",
-    )
+    with noted() as different:
+        distinct = kept(
+            packed.groupBy("seed", "digest").agg(value.alias("value"), F.first("packed").alias("packed"), F.first("windows").alias("windows")),
+            "distinct-windows", compression="zstd",
+        )
+    # From here on each string is needed once; of its occurrences the places are left.
+    places = kept(packed.select("doc_id", *_KEYS, "begin", "seed", "digest"), "places", compression="zstd")
+    remove(documents.sparkSession, strings)
     sizes = kept(distinct.groupBy("seed").agg(F.count(F.lit(1)).alias("n")), "sizes")
     sized = distinct.join(sizes, "seed").withColumn("groups", F.ceil(F.col("n") / GROUP).cast("int"))
     groups = sized.filter("n > 1").withColumn("group", F.pmod(F.xxhash64("digest"), F.col("groups")).cast("int"))
-    settled = kept(_settled(groups, plan), "settled")
+    settled = kept(_settled(groups, plan), "settled", compression="zstd")
     # A super-window alone with its minimiser: all its windows have its value.
     single = sized.filter("n = 1").select("seed", "digest", F.array("value").alias("values"), F.array("windows").alias("lengths"))
+    single = kept(single, "single", compression="zstd")
+    remove(documents.sparkSession, different)  # what is left are values, no strings
     whole = settled.filter("groups = 1").select("seed", "digest", "values", "lengths")
     found = single.union(whole).union(_combined(settled.filter("groups > 1"), plan))
-    occurrences = packed.select("doc_id", *_KEYS, "begin", "seed", "digest").join(found, ["seed", "digest"])
+    occurrences = places.join(found, ["seed", "digest"])
     ranges = _ranges(occurrences, plan).groupBy(*_KEYS).agg(F.collect_list(F.struct("first", "end")).alias("ranges"))
-    changed = kept(_cut(texts.join(ranges, _KEYS), plan), "changed")
+    changed = kept(_cut(texts.join(ranges, _KEYS), plan), "changed", compression="zstd")
     return Found(rows, changed)

@@ -5,10 +5,12 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from quittance.session import shared_folder
 from quittance.llm import (
     bpe, decontaminate, exact_dedup, line_dedup, near_dedup, quality, suffix_dedup, superkmer, toxicity, warc, windows,
 )
@@ -522,3 +524,14 @@ def test_counterfactuals_lower_the_score_of_mentions(spark):
     )
     assert fair < plain - 0.1
     assert toxicity.counterfactual("Muslims live here. Men too!") == "jews live here. women too!"
+
+
+def test_strings_of_windows_are_removed_once_used(spark):
+    """The two tables of packed strings are the largest ones; only places and values are needed after them."""
+    shared_folder(spark)
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    found = suffix_dedup.repeated_strings(spark.createDataFrame([(1, "ab" * 300), (2, "ab" * 200 + "c" * 250)], "doc_id long, text string"))
+    assert found.per_document().filter("n_removed > 0").count() == 2
+    left = {path.name.rsplit("-", 1)[0] for path in set(folder.iterdir()) - before}
+    assert "quittance-texts" in left and not left & {"quittance-super-windows", "quittance-distinct-windows"}

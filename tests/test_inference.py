@@ -6,10 +6,12 @@ import re
 import sys
 from pathlib import Path
 
+from conftest import SF_DIR
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from quittance.operators import inference, requests as rq
+from quittance.plans.queries import QUERIES
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -65,6 +67,23 @@ def test_number_of_tasks(spark):
     assert answered.select(F.spark_partition_id().alias("p")).distinct().count() == 3
 
 
+def test_rows_are_dealt_evenly(spark):
+    """All rows come in one part; every core gets as many calls as the others."""
+    frame = spark.range(0, 960, 1, 1).select(F.col("id"), F.lit("a").alias("prompt"))
+    cores = spark.sparkContext.defaultParallelism
+    for tasks, most in ((None, inference.SHARES_PER_CORE * cores), (6, 6)):
+        answered = inference.apply_inference(frame, shout, tasks=tasks, spread=True)
+        shares = [r["count"] for r in answered.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert len(shares) == most and max(shares) - min(shares) <= 1 and sum(shares) == 960
+        assert answered.filter("response = 'A'").select("id").distinct().count() == 960
+
+
+def test_calls_with_time_limits_are_dealt_evenly(spark):
+    """Left to the join before, the parts were fewer than two per core and of different length."""
+    plan = QUERIES["inference_time_limits"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert f"RoundRobinPartitioning({inference.SHARES_PER_CORE * spark.sparkContext.defaultParallelism})" in plan
+
+
 def test_only_the_prompt_goes_to_python(spark):
     frame = spark.range(3).select("id", F.lit("big").alias("content"), F.concat(F.lit("a"), "id").alias("prompt"))
     plan = inference.apply_inference(frame, shout)._jdf.queryExecution().executedPlan().toString()
